@@ -48,14 +48,15 @@ def walk(roots: DataFrame, edges: DataFrame) -> DataFrame:
     reading order, which is its smallest path; an occurrence with a larger path
     than one already found is not followed, so repeated and cyclic listings end.
     """
-    edges = checkpointed(edges.select("parent_id", "id", F.col("position").cast("int").alias("position"), "descend"))
+    edges = checkpointed(edges.select(
+        F.col("parent_id").alias("_at"), "id", F.col("position").cast("int").alias("position"), "descend"))
     repeated = not edges.groupBy("id").count().filter("count > 1").isEmpty()
     key = ["page_id", "id"]
 
     def next_level(frontier: DataFrame) -> DataFrame:
-        found = (frontier.join(edges, frontier["_at"] == edges["parent_id"])
-                 .select("page_id", edges["id"], edges["parent_id"], edges["position"], edges["descend"],
-                         F.concat(frontier["path"], F.array(edges["position"])).alias("path")))
+        found = frontier.join(edges, "_at").select(
+            "page_id", "id", F.col("_at").alias("parent_id"), "position", "descend",
+            F.concat("path", F.array("position")).alias("path"))
         return _smallest_path(found, key) if repeated else found
 
     empty_path = F.array().cast("array<int>").alias("path")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from contextlib import suppress
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
@@ -100,7 +101,8 @@ def sync_crm(store: TableStore, landing: CrmLanding, objects: Sequence[str] = OB
                 written = sync_object(store, name, landing.records[name], since, run_at, overlap_seconds)
             ledger.success(name, step.mode, written.rows, run_at, run_at)
         except Exception as error:  # recorded in the report; the other objects still run
-            ledger.failure(name, step.mode, described(error), run_at)
+            with suppress(Exception):  # the failure is in the report either way
+                ledger.failure(name, step.mode, described(error), run_at)
             report.append(summary(name, step.mode, "FAILED", 0, step.watermark, step.note, described(error)))
         else:
             report.append(summary(name, step.mode, "SUCCESS", written.rows, run_at, step.note, None))

@@ -147,8 +147,8 @@ class TableStore:
         try:
             self._write(following, new(old).withColumn(BUCKET, bucket))
             result = self.spark.table(self.name(following))
-            (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .insertInto(self.name(spec.name)))
+            with _only_written_partitions(self.spark):
+                result.write.mode("overwrite").insertInto(self.name(spec.name))
             left = {r[0] for r in result.select(BUCKET).distinct().collect()}
             for emptied in set(touched) - left:
                 self.spark.sql(f"ALTER TABLE {self.name(spec.name)} DROP IF EXISTS PARTITION ({BUCKET} = {emptied})")
@@ -222,13 +222,25 @@ class RowLevelStore(TableStore):
         return source.alias("s").mergeInto(self.name(spec.name), same)
 
 
+@contextmanager
+def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
+    """Overwrites replace the partitions they write and no others."""
+    # as a writer option this is ignored by insertInto
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(mode, before)
+
+
 def _observed(rows: DataFrame, order_by: str) -> tuple[DataFrame, Callable[[], Written]]:
     """Count rows and find the newest time while they stream past, without another pass."""
     seen = Observation()
     is_time = rows.schema[order_by].dataType.typeName().startswith("timestamp")
-    newest = F.max(instant_micros(F.col(order_by))) if is_time else F.lit(None).cast("bigint")
-    watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(newest).alias("newest")
-                           if not is_time else newest.alias("newest"))
+    at = instant_micros(F.col(order_by)) if is_time else F.lit(None).cast("bigint")
+    watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(at).alias("newest"))
     return watched, lambda: Written(seen.get["rows"], from_micros(seen.get["newest"]))
 
 
