@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)"
-_ISO = rf"^(?!0000)\d{{4}}-\d{{2}}-\d{{2}}([T ]\d{{2}}(:\d{{2}}(:\d{{2}}([.,]\d+)?)?)?{_OFFSET}?)?$"
-_ISO_BASIC = rf"^(?!0000)\d{{8}}([T ]\d{{4}}(\d{{2}}([.,]\d+)?)?{_OFFSET}?)?$"
+_DATE = r"^(?!0000)\d{4}-\d{2}-\d{2}"
+_ISO = rf"{_DATE}([T ]\d{{2}}:\d{{2}}:\d{{2}}([.,]\d+)?{_OFFSET}?)?$"
+_ISO_SHORT = rf"{_DATE}[T ]\d{{2}}(:\d{{2}})?{_OFFSET}?$"
+_ISO_BASIC = rf"^(?!0000)\d{{8}}([T ]\d{{2}}(\d{{2}}(\d{{2}}([.,]\d+)?)?)?{_OFFSET}?)?$"
 _ISSUE = (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}"
           r"(Z|[+-]\d{2}:?\d{2})$")
 # First and last millisecond of the years 1 to 9999.
@@ -19,13 +21,19 @@ def _iso(text: Column) -> Column:
 
     The pattern comes first because a plain cast also takes ``2026`` or ``12:30``.
     """
-    text = F.upper(text)
-    extended = F.regexp_replace(
-        F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
-        r"([T ]\d{2})(\d{2})(\d{2})?", "$1:$2:$3")
-    extended = F.regexp_replace(extended, r":(?=Z|[+-]\d|$)", "")
-    return (F.when(text.rlike(_ISO), F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp"))
-            .when(text.rlike(_ISO_BASIC), F.replace(extended, F.lit(","), F.lit(".")).try_cast("timestamp")))
+    text = F.replace(F.upper(text), F.lit(","), F.lit("."))
+    extended = F.regexp_replace(F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
+                                r"([T ]\d{2})(\d{2})", "$1:$2")
+    extended = F.regexp_replace(extended, r"([T ]\d{2}:\d{2})(\d{2})", "$1:$2")
+    return (F.when(text.rlike(_ISO), text.try_cast("timestamp"))
+            .when(text.rlike(_ISO_SHORT), _with_seconds(text).try_cast("timestamp"))
+            .when(text.rlike(_ISO_BASIC), _with_seconds(extended).try_cast("timestamp")))
+
+
+def _with_seconds(text: Column) -> Column:
+    """Times cut after the hour or minute filled up; a cast takes no offset right after them."""
+    minutes = F.regexp_replace(text, r"([T ]\d{2})(?=Z|[+-]|$)", "$1:00")
+    return F.regexp_replace(minutes, r"([T ]\d{2}:\d{2})(?=Z|[+-]|$)", "$1:00")
 
 
 def parse_iso(text: Column, field: str = "time") -> Column:

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from lakesync.operators.windows import instant_micros
 
 
-def watermark(df: DataFrame, column: str) -> Column:
+def watermark(column: str) -> Column:
     """Newest instant of a column in epoch microseconds, NULL when there is none."""
-    return F.max(instant_micros(df[column]))
+    return F.max(instant_micros(F.col(column)))
 
 
 def newest_or_kept(newest: Column, stored: Column) -> Column:

@@ -12,8 +12,7 @@ from lakesync.plans.store import TableStore
 
 
 def stored_watermark(store: TableStore, table: str, column: str) -> datetime | None:
-    df = store.read(table)
-    return from_micros(df.agg(watermark(df, column)).first()[0])
+    return from_micros(store.read(table).agg(watermark(column)).first()[0])
 
 
 def table_mode(store: TableStore, full: bool, existed: bool, since: datetime | None) -> str:

@@ -14,11 +14,11 @@ from lakesync.operators.windows import closed
 ID = "_id"
 
 
-def sampled_schema(lines: DataFrame, sample_size: int = 10_000) -> T.StructType:
-    """Schema of the first ``sample_size`` documents; a field of mixed types is read as text."""
+def sampled_schema(lines: DataFrame, sample_size: int | None = 10_000) -> T.StructType:
+    """Schema of the first ``sample_size`` documents, or of all; a field of mixed types is read as text."""
     # the row limit is the feature: it bounds how much is read to guess the types
-    sample = lines.select(F.parse_json("payload").alias("doc")).limit(sample_size)
-    ddl = sample.agg(F.schema_of_variant_agg("doc")).first()[0]
+    sample = lines if sample_size is None else lines.limit(sample_size)
+    ddl = sample.select(F.parse_json("payload").alias("doc")).agg(F.schema_of_variant_agg("doc")).first()[0]
     inferred = T._parse_datatype_string(ddl.replace("OBJECT<", "STRUCT<"))
     if not isinstance(inferred, T.StructType):
         raise ValueError("no document to take a schema from")
