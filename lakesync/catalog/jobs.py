@@ -81,7 +81,7 @@ def sync_issue(t: Tables):
 
 
 @query("sync_document", """
-    SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey) AS _id, epoch_us(l_shipdate) AS shipped,
+    SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INTEGER)) AS _id, epoch_us(l_shipdate) AS shipped,
            CAST(l_linenumber AS BIGINT) AS number,
            CASE WHEN l_shipdate >= TIMESTAMP '1999-12-31 23:55:00' THEN 2 ELSE 1 END AS batch
     FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-01-01' OR l_shipdate <= TIMESTAMP '2001-06-01'""")

@@ -193,7 +193,7 @@ def link_pages(t: Tables, to: str) -> DataFrame:
 
 def documents(t: Tables, extra: bool = False) -> DataFrame:
     """Line items as nested documents; ``extra`` adds a field the first schema did not have."""
-    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey")
+    key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("int"))
     fields = dict(
         _id=key, order_no=F.col("l_orderkey"), shipped=iso(F.col("l_shipdate").cast("timestamp")),
         price=F.col("l_extendedprice").cast("decimal(18,2)"),

@@ -26,7 +26,7 @@ def scan_listing(t: Tables):
 
 
 @query("paging_check", """
-    WITH pages AS (SELECT DISTINCT o_orderpriority AS listing, o_orderkey // 1000 AS page FROM orders),
+    WITH pages AS (SELECT DISTINCT o_orderpriority AS listing, o_orderkey // 100 AS page FROM orders),
          marked AS (SELECT *, page = max(page) OVER (PARTITION BY listing) AS last FROM pages)
     SELECT listing, count(*) AS n_pages,
            count(DISTINCT CASE WHEN last AND listing <> '5-LOW' THEN NULL WHEN listing = '3-MEDIUM' THEN page // 2
@@ -36,7 +36,7 @@ def scan_listing(t: Tables):
     FROM marked GROUP BY listing""")
 def paging_check(t: Tables):
     kind = F.col("listing")
-    pages = t.orders.select(F.col("o_orderpriority").alias("listing"), F.expr("o_orderkey div 1000").alias("page")).distinct()
+    pages = t.orders.select(F.col("o_orderpriority").alias("listing"), F.expr("o_orderkey div 100").alias("page")).distinct()
     last = pages.groupBy("listing").agg(F.max("page").alias("_last"))
     end = F.col("page") == F.col("_last")
     # each faulty listing breaks one paging rule
@@ -171,7 +171,7 @@ def link_join(t: Tables):
 
 # ---- documents ------------------------------------------------------------------------
 
-_ID = "concat_ws('-', l_orderkey, l_partkey, l_suppkey)"
+_ID = "concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INTEGER))"
 _PRICE = "CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(38,10)) AS VARCHAR)"
 
 

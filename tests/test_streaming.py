@@ -23,7 +23,7 @@ def event_rows(payloads):
 
 @pytest.fixture
 def lines(spark):
-    events = spark.read.parquet(f"{SF}/events.parquet").select("user_id", "event_type", "ts", "value").collect()
+    events = spark.read.parquet(f"{SF}/events.parquet").select("user_id", "event_type", "ts", "value").orderBy("ts").collect()
     return [json.dumps({"user_id": r[0], "event_type": r[1], "ts": r[2].isoformat(), "value": r[3]}) for r in events]
 
 
