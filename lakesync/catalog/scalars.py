@@ -74,7 +74,8 @@ def to_amount(t: Tables):
         F.when(F.col("l_linestatus") == "F", " -").otherwise(""), whole.cast("string"), F.lit("."), digits,
         F.when(F.col("l_returnflag") == "N", "50").otherwise("50000000000000000000000001"))
     bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-    return t.lineitem.select(
+    lines = t.spread("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    return lines.select(
         "l_orderkey", "l_partkey", "l_suppkey",
         values.to_amount(F.when(bad, F.concat(spelled, F.lit(" USD"))).otherwise(spelled)).alias("amount"))
 
@@ -131,7 +132,7 @@ def json_dynamic_path(t: Tables):
     SELECT doc_id, text, substring(text, 1, 1000) AS message FROM masked""")
 def mask_text(t: Tables):
     masked = text.mask_uri(F.col("text"), _URI, host_suffixes=["example.com"])
-    return t.documents.select("doc_id", masked.alias("text")).withColumn("message", text.shortened(F.col("text"), 1000))
+    return t.spread("documents", "doc_id", "text").select("doc_id", masked.alias("text")).withColumn("message", text.shortened(F.col("text"), 1000))
 
 
 @query("classify_errors", """

@@ -6,13 +6,45 @@ lookup in it. Lookups take the path without the leading ``$.``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+RECORD = "_record"
+
 # JSON spellings that are false as a truth value.
 _FALSY = ("null", "false", "0", '""', "[]", "{}")
 
 
+def once(df: DataFrame, **values: Column) -> DataFrame:
+    """Add columns that are computed a single time per row.
+
+    A filter on a plain column is pushed below the column's definition, which
+    repeats it per comparison; that must not happen to parsing. Rows of a
+    generator are not looked behind.
+    """
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return df.select("*", F.inline_outer(F.array(row)))
+
+
+def with_record(records: DataFrame) -> DataFrame:
+    """Add the parsed ``payload`` as ``_record``, unless it is there already."""
+    return records if RECORD in records.columns else once(records, **{RECORD: parsed(F.col("payload"))})
+
+
+def each(df: DataFrame, items: Column, keep: Sequence[str | Column] = (), item: str = "item",
+         place: str | None = None) -> DataFrame:
+    """One row per element of an array computed from the payload, with its ``place`` if asked for.
+
+    The outer form, because the plain one first filters on the array's size and
+    so computes the array again.
+    """
+    exploded = df.select(*keep, F.posexplode_outer(items).alias(place or "_place", item))
+    exploded = exploded.filter(F.col(place or "_place").isNotNull())
+    return exploded if place else exploded.drop("_place")
+
+
 def parsed(payload: Column) -> Column:
     return F.parse_json(payload)
 

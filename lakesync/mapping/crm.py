@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.functions.payload import canonical, is_true, parsed, text_at
+from lakesync.functions.payload import RECORD, canonical, each, is_true, once, text_at, with_record
 from lakesync.functions.times import to_time
 from lakesync.functions.values import id_list, to_amount, type_id
 from lakesync.operators.windows import instant
@@ -37,7 +37,7 @@ _LINK_PAGE = (
 
 def object_rows(records: DataFrame, kind: str, run_at: datetime, keep: Sequence[str] = ()) -> DataFrame:
     """One row per contact, company or deal."""
-    record = F.col("_record")
+    record = F.col(RECORD)
     archived = is_true(record, "archived")
     columns: dict[str, Column] = {
         "id": text_at(record, "id"),
@@ -51,29 +51,30 @@ def object_rows(records: DataFrame, kind: str, run_at: datetime, keep: Sequence[
     for column, name in PROPERTIES[kind].items():
         text = text_at(record, "properties." + name)
         columns[column] = _READERS[column](text) if column in _READERS else text
-    return (records.withColumn("_record", parsed(F.col("payload")))
-            .select(*[columns[name].alias(name) for name in CRM_TABLES[kind].names], *keep))
+    return with_record(records).select(*[columns[name].alias(name) for name in CRM_TABLES[kind].names], *keep)
 
 
-def modified_at(kind: str) -> Column:
-    """Change time of a landed record, read from its payload."""
-    return to_time(F.get_json_object("payload", "$.properties." + MODIFIED[kind]))
+def with_modified(records: DataFrame, kind: str, name: str = "modified") -> DataFrame:
+    """Add the change time of landed records, read from their payload."""
+    spelled = once(records, _spelled=F.get_json_object("payload", "$.properties." + MODIFIED[kind]))
+    return once(spelled, **{name: to_time(F.col("_spelled"))}).drop("_spelled")
 
 
 def merged_away(records: DataFrame) -> DataFrame:
     """Ids that were merged into another record and no longer exist on their own."""
     ids = id_list(F.get_json_object("payload", "$.properties." + MERGED_IDS))
-    return records.select(F.explode(ids).alias("id"))
+    return each(records, ids, item="id")
 
 
 def link_rows(pages: DataFrame, from_object: str, to_object: str, run_at: datetime) -> DataFrame:
     """One row per (from, to, link type) of the landed link pages, continuation pages included."""
-    inputs = pages.select(F.inline(F.from_json("payload", _LINK_PAGE)["results"]))
-    targets = inputs.select(F.col("from.id").alias("from_id"), F.inline("to"))
-    kinds = targets.select("from_id", F.col("toObjectId").alias("to_id"), F.inline("associationTypes"))
+    inputs = each(pages, F.from_json("payload", _LINK_PAGE)["results"], item="input")
+    targets = each(inputs, F.col("input.to"), [F.col("input.from.id").alias("from_id")], item="target")
+    kinds = each(targets, F.col("target.associationTypes"), ["from_id", F.col("target.toObjectId").alias("to_id")],
+                 item="kind")
     return kinds.select(
         F.lit(from_object).alias("from_object"), "from_id",
         F.lit(to_object).alias("to_object"), "to_id",
-        type_id(F.col("typeId")).alias("association_type_id"), "category", "label",
+        type_id(F.col("kind.typeId")).alias("association_type_id"), "kind.category", "kind.label",
         instant(run_at).alias("_ingested_at"),
     ).select(*ASSOCIATIONS.names)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.functions.payload import other_fields, parsed, text_at
+from lakesync.functions.payload import RECORD, other_fields, text_at, with_record
 from lakesync.functions.times import parse_issue_time
 from lakesync.schemas import ISSUES
 
@@ -27,10 +27,9 @@ def requested_fields(extra: Sequence[str] = ()) -> list[str]:
 
 def issue_rows(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per issue; fields without a typed column end up in ``raw_fields``."""
-    issue = F.col("_record")
+    issue = F.col(RECORD)
     columns = {"key": text_at(issue, "key")}
     columns |= {name: text_at(issue, "fields." + path) for name, path in _PATHS.items()}
     columns |= {name: parse_issue_time(text_at(issue, "fields." + name), name) for name in _TIMES}
     columns["raw_fields"] = other_fields(issue, "fields", ["key", *_PATHS, *_TIMES])
-    return (records.withColumn("_record", parsed(F.col("payload")))
-            .select(*[columns[name].alias(name) for name in ISSUES.names], *keep))
+    return with_record(records).select(*[columns[name].alias(name) for name in ISSUES.names], *keep)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.functions.payload import (
-    canonical, first_title, node_at, parsed, plain_text, string_only, text_at, truthy,
+    RECORD, canonical, first_title, node_at, plain_text, string_only, text_at, truthy, with_record,
 )
 from lakesync.functions.times import parse_iso
 from lakesync.operators.windows import instant
@@ -43,13 +43,12 @@ def _common(record: Column) -> dict[str, Column]:
 
 def _rows(records: DataFrame, spec: TableSpec, columns: dict[str, Column], run_at: datetime,
           keep: Sequence[str]) -> DataFrame:
-    columns = columns | {"raw_json": canonical(F.col("_record")), "_ingested_at": instant(run_at)}
-    return (records.withColumn("_record", parsed(F.col("payload")))
-            .select(*[columns[name].alias(name) for name in spec.names], *keep))
+    columns = columns | {"raw_json": canonical(F.col(RECORD)), "_ingested_at": instant(run_at)}
+    return with_record(records).select(*[columns[name].alias(name) for name in spec.names], *keep)
 
 
 def page_rows(records: DataFrame, run_at: datetime, keep: Sequence[str] = ()) -> DataFrame:
-    record = F.col("_record")
+    record = F.col(RECORD)
     columns = _common(record) | {
         "url": text_at(record, "url"),
         "public_url": text_at(record, "public_url"),
@@ -59,7 +58,7 @@ def page_rows(records: DataFrame, run_at: datetime, keep: Sequence[str] = ()) ->
 
 
 def data_source_rows(records: DataFrame, run_at: datetime, keep: Sequence[str] = ()) -> DataFrame:
-    record = F.col("_record")
+    record = F.col(RECORD)
     parts = F.from_json("payload", "title array<struct<plain_text:string>>")["title"]
     columns = _common(record) | {
         "url": text_at(record, "url"),
@@ -70,7 +69,7 @@ def data_source_rows(records: DataFrame, run_at: datetime, keep: Sequence[str] =
 
 def block_rows(records: DataFrame, run_at: datetime, keep: Sequence[str] = ()) -> DataFrame:
     """Blocks with the ``page_id``, ``depth`` and ``position`` columns of the tree walk."""
-    record = F.col("_record")
+    record = F.col(RECORD)
     columns = _common(record) | {
         "type": text_at(record, "type"),
         "has_children": truthy(node_at(record, "has_children")),
@@ -82,7 +81,7 @@ def block_rows(records: DataFrame, run_at: datetime, keep: Sequence[str] = ()) -
 
 
 def user_rows(records: DataFrame, run_at: datetime, keep: Sequence[str] = ()) -> DataFrame:
-    record = F.col("_record")
+    record = F.col(RECORD)
     columns = {name: text_at(record, name) for name in ("id", "type", "name", "avatar_url")}
     columns["email"] = text_at(record, "person.email")
     return _rows(records, USERS, columns, run_at, keep)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakesync.functions.payload import each
+
 
 def key_check(df: DataFrame, key: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Row count and distinct key count; they are equal when the key is unique."""
@@ -41,9 +43,9 @@ def paging_faults(pages: DataFrame, listing: str, strict: bool) -> DataFrame:
 
 def untolerated_errors(payloads: DataFrame, tolerated: Sequence[str]) -> DataFrame:
     """Partial errors of landed batch reads outside the tolerated categories."""
-    errors = payloads.select("*", F.inline(F.from_json(
-        "payload", "errors array<struct<status:string,category:string,message:string,"
-                   "context:struct<ids:array<string>>>>")["errors"]))
+    listed = F.from_json("payload", "errors array<struct<status:string,category:string,message:string,"
+                                    "context:struct<ids:array<string>>>>")["errors"]
+    errors = each(payloads, listed, payloads.columns, item="error").select(*payloads.columns, "error.*")
     return errors.filter(~F.coalesce(F.col("category"), F.lit("")).isin(*tolerated))
 
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.functions.payload import node_at, parsed, text_at, truthy
+from lakesync.functions.payload import RECORD, node_at, text_at, truthy, with_record
 from lakesync.operators.dedup import newest
 from lakesync.operators.ranking import ordered_index
 from lakesync.session import checkpointed
@@ -35,9 +35,9 @@ def child_edges(children: DataFrame, order_by: Sequence[str]) -> DataFrame:
     Positions count every listed child, repeated ones included. Payloads stay
     behind and are joined back once the walk is done.
     """
-    narrow = (children.withColumn("_record", parsed(F.col("payload")))
-              .select("parent_id", *order_by, text_at(F.col("_record"), "id").alias("id"),
-                      descends(F.col("_record")).alias("descend")))
+    record = F.col(RECORD)
+    narrow = with_record(children).select(
+        "parent_id", *order_by, text_at(record, "id").alias("id"), descends(record).alias("descend"))
     return ordered_index(narrow, order_by, within=["parent_id"])
 
 

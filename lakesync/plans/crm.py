@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.mapping.crm import LINK_PAIRS, link_rows, merged_away, modified_at, object_rows
+from lakesync.mapping.crm import LINK_PAIRS, link_rows, merged_away, object_rows, with_modified
 from lakesync.operators.windows import half_open, instant
 from lakesync.plans.ledger import Ledger
 from lakesync.plans.modes import described, started, summary, wants_full
@@ -35,8 +35,8 @@ class CrmLanding:
 def modified_records(records: DataFrame, kind: str, since: datetime, until: datetime,
                      overlap_seconds: int = 300) -> DataFrame:
     """Live records changed in ``[since - overlap, until)``."""
-    dated = live(records).withColumn("_modified", modified_at(kind))
-    return half_open(dated, "_modified", since, until, overlap_seconds).drop("_modified")
+    dated = with_modified(live(records), kind)
+    return half_open(dated, "modified", since, until, overlap_seconds).drop("modified")
 
 
 def archive_marks(records: DataFrame, changed: DataFrame, run_at: datetime) -> DataFrame:

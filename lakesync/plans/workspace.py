@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.functions.payload import parsed
+from lakesync.functions.payload import RECORD, text_at, with_record
 from lakesync.mapping.workspace import block_rows, data_source_rows, in_trash, page_rows, user_rows
 from lakesync.operators.dedup import newest
 from lakesync.operators.tree import page_blocks
@@ -40,9 +40,8 @@ class WorkspaceLanding:
 def page_refs(pages: DataFrame) -> DataFrame:
     """Newest reference per page (``id``, ``edited``, ``in_trash``) of a discovery feed."""
     keep = [c for c in (SEQ,) if c in pages.columns]
-    refs = (pages.withColumn("_v", parsed(F.col("payload")))
-            .select(F.get_json_object("payload", "$.id").alias("id"), "edited", in_trash(F.col("_v")).alias("in_trash"),
-                    *keep))
+    record = F.col(RECORD)
+    refs = with_record(pages).select(text_at(record, "id").alias("id"), "edited", in_trash(record).alias("in_trash"), *keep)
     return newest(refs, ["id"], "edited", keep).drop(*keep)
 
 
@@ -73,7 +72,7 @@ class _Run:
         if self._discovered is None:
             thresholds = [self.since(n) for n in ("pages", "blocks") if n in self.plan]
             lowest = None if None in thresholds else min(thresholds)
-            self._discovered = changes_since(self.landing.pages, "page", lowest).persist()
+            self._discovered = changes_since(self.landing.pages, "page", lowest).drop(RECORD).persist()
         return self._discovered
 
     def close(self) -> None:

@@ -16,6 +16,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when an input comes in far fewer splits than there are cores.
+
+    For work that is bound by parsing, where one split would be one busy task.
+    Inputs with enough splits, which is any large one, are not moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir():

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakesync.functions.payload import once
 from lakesync.operators.windows import closed
 
 ID = "_id"
@@ -74,7 +75,8 @@ def read_documents(lines: DataFrame, schema: T.StructType, watermark_field: str
     """
     if watermark_field is None and (since is not None or until is not None):
         raise ValueError("since and until need a watermark field")
-    docs = lines.select(F.from_json("payload", schema, {"mode": "FAILFAST"}).alias("_d")).select("_d.*")
+    typed = once(lines.select("payload"), _doc=F.from_json("payload", schema, {"mode": "FAILFAST"}))
+    docs = typed.select("_doc.*")
     return closed(docs, watermark_field, since, until, overlap_seconds) if watermark_field else docs
 
 

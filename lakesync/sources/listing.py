@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.functions.payload import text_at
+from lakesync.functions.payload import RECORD, each, once, text_at, with_record
 from lakesync.functions.times import parse_iso, to_time
 from lakesync.operators.windows import open_ended
 
@@ -21,7 +21,7 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
 def listing_items(pages: DataFrame, field: str = "results", keep: Sequence[str] = ()) -> DataFrame:
     """The items of every page: one ``payload`` each, ``item`` being its place on the page."""
     items = F.from_json("payload", f"{field} array<string>")[field]
-    return pages.select(*keep, F.posexplode(items).alias("item", "payload"))
+    return each(pages, items, keep, item="payload", place="item")
 
 
 def _flag(payload: str = "payload") -> Column:
@@ -47,7 +47,7 @@ def archived_ids(records: DataFrame) -> DataFrame:
 def property_names(records: DataFrame) -> DataFrame:
     """Names of all properties any record carries."""
     names = F.json_object_keys(F.get_json_object("payload", "$.properties"))
-    return records.select(F.explode(names).alias("name")).distinct()
+    return each(records, names, item="name").distinct()
 
 
 def read_by_ids(records: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
@@ -66,8 +66,11 @@ def live_ids(table: DataFrame) -> DataFrame:
 
 
 def changes_since(objects: DataFrame, kind: str, since: datetime | None = None, overlap_seconds: int = 0) -> DataFrame:
-    """Landed objects of one type edited since the watermark; partial ones (no edit time) are left out."""
-    feed = objects.withColumn("_v", F.parse_json("payload"))
-    feed = (feed.filter(text_at(F.col("_v"), "object") == kind)
-            .withColumn("edited", parse_iso(text_at(F.col("_v"), "last_edited_time"), "last_edited_time")))
-    return open_ended(feed, "edited", since, overlap_seconds).drop("_v")
+    """Landed objects of one type edited since the watermark; partial ones (no edit time) are left out.
+
+    Adds ``edited`` and the parsed record.
+    """
+    record = F.col(RECORD)
+    feed = once(with_record(objects).filter(text_at(record, "object") == kind),
+                edited=parse_iso(text_at(record, "last_edited_time"), "last_edited_time"))
+    return open_ended(feed, "edited", since, overlap_seconds)
