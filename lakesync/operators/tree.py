@@ -41,21 +41,21 @@ def child_edges(children: DataFrame, order_by: Sequence[str]) -> DataFrame:
     return ordered_index(narrow, order_by, within=["parent_id"])
 
 
-def walk(roots: DataFrame, edges: DataFrame) -> DataFrame:
-    """Every block reachable from each ``page_id`` of ``roots``, once per page.
+def walk(roots: DataFrame, edges: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Every block reachable from each ``page_id`` of ``roots``, once per page, with ``keep`` columns of its edge.
 
     One join per level. A block listed more than once keeps its first place in
     reading order, which is its smallest path; an occurrence with a larger path
     than one already found is not followed, so repeated and cyclic listings end.
     """
     edges = checkpointed(edges.select(
-        F.col("parent_id").alias("_at"), "id", F.col("position").cast("int").alias("position"), "descend"))
+        F.col("parent_id").alias("_at"), "id", F.col("position").cast("int").alias("position"), "descend", *keep))
     repeated = not edges.groupBy("id").count().filter("count > 1").isEmpty()
     key = ["page_id", "id"]
 
     def next_level(frontier: DataFrame) -> DataFrame:
         found = frontier.join(edges, "_at").select(
-            "page_id", "id", F.col("_at").alias("parent_id"), "position", "descend",
+            "page_id", "id", F.col("_at").alias("parent_id"), "position", "descend", *keep,
             F.concat("path", F.array("position")).alias("path"))
         return _smallest_path(found, key) if repeated else found
 
@@ -84,9 +84,6 @@ def _smallest_path(found: DataFrame, key: list[str]) -> DataFrame:
 
 def page_blocks(roots: DataFrame, children: DataFrame, order_by: Sequence[str] = ("seq",)) -> DataFrame:
     """Blocks of each page with payload, ready for the block mapping."""
-    edges = child_edges(children, order_by)
-    placed = walk(roots, edges).drop("id", "descend")
-    located = edges.select("parent_id", *order_by, F.col("position").cast("int").alias("position"))
-    with_order = placed.join(located, ["parent_id", "position"])
-    return (with_order.join(children, ["parent_id", *order_by])
+    placed = walk(roots, child_edges(children, order_by), keep=order_by)
+    return (placed.join(children, ["parent_id", *order_by])
             .select("page_id", "depth", "position", "path", "parent_id", "payload"))

@@ -17,10 +17,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakesync.operators import apply
+from lakesync.operators.dedup import newest_counted
 from lakesync.operators.windows import from_micros, instant_micros
 from lakesync.schemas import TableSpec
 
 BUCKET = "key_bucket"
+COPIES = "_copies"
 SEQ = "seq"  # optional arrival number of landed rows; decides between equal times
 
 
@@ -90,11 +92,9 @@ class TableStore:
 
     def replace_all(self, spec: TableSpec, rows: DataFrame, dedup: bool = True) -> Written:
         """The table becomes ``rows``, with their schema; no rows empties it."""
-        watched, outcome = _observed(rows, spec.order_by)
         if dedup:
-            watched = apply.overwrite(watched, spec.key, spec.order_by, _tie(rows))
-        self._swap(spec, watched.drop(SEQ))
-        return outcome()
+            rows = newest_counted(rows, spec.key, spec.order_by, _tie(rows), COPIES)
+        return self._swap(spec, rows.drop(SEQ))
 
     def upsert(self, spec: TableSpec, rows: DataFrame) -> Written:
         self.ensure(spec)
@@ -145,7 +145,7 @@ class TableStore:
         old = self.spark.table(self.name(spec.name)).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
         following = f"{spec.name}__next_{self.run_id}"
         try:
-            self._write(following, new(old).withColumn(BUCKET, bucket))
+            self._write(following, new(old).withColumn(BUCKET, bucket), spec.order_by)
             result = self.spark.table(self.name(following))
             with _only_written_partitions(self.spark):
                 result.write.mode("overwrite").insertInto(self.name(spec.name))
@@ -155,12 +155,12 @@ class TableStore:
         finally:
             self.drop(following)
 
-    def _swap(self, spec: TableSpec, result: DataFrame) -> None:
+    def _swap(self, spec: TableSpec, result: DataFrame) -> Written:
         following, old = f"{spec.name}__next_{self.run_id}", f"{spec.name}__old_{self.run_id}"
         try:
             if self.buckets:
                 result = result.withColumn(BUCKET, _bucket(spec, self.buckets))
-            self._write(following, result)
+            outcome = self._write(following, result, spec.order_by)
             replaced = self.exists(spec.name)
             if replaced:
                 self._rename(spec.name, old)
@@ -169,14 +169,18 @@ class TableStore:
                 self.drop(old)
         finally:
             self.drop(following)
+        return outcome()
 
-    def _write(self, table: str, result: DataFrame) -> None:
+    def _write(self, table: str, result: DataFrame, order_by: str) -> Callable[[], Written]:
         self.drop(table)
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in result.schema if f.name != BUCKET)
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in result.schema
+                        if f.name not in (BUCKET, COPIES))
         self._create(table, ddl)
         if BUCKET in result.columns:
             result = result.hint("rebalance", BUCKET)  # whole files per bucket, big buckets split
-        result.write.insertInto(self.name(table))
+        watched, outcome = _observed(result, order_by)
+        watched.drop(COPIES).write.insertInto(self.name(table))
+        return outcome
 
     def _stored_buckets(self, table: str) -> int | None:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").filter("key = 'lakesync.buckets'").collect()
@@ -189,9 +193,11 @@ class RowLevelStore(TableStore):
     def __init__(self, spark: SparkSession, namespace: str, provider: str = "delta", run_id: str | None = None):
         super().__init__(spark, namespace, provider, None, run_id)
 
-    def _swap(self, spec: TableSpec, result: DataFrame) -> None:
-        (result.write.format(self.provider).mode("overwrite").option("overwriteSchema", "true")
+    def _swap(self, spec: TableSpec, result: DataFrame) -> Written:
+        watched, outcome = _observed(result, spec.order_by)
+        (watched.drop(COPIES).write.format(self.provider).mode("overwrite").option("overwriteSchema", "true")
          .saveAsTable(self.name(spec.name)))
+        return outcome()
 
     def upsert(self, spec: TableSpec, rows: DataFrame) -> Written:
         self.ensure(spec)
@@ -236,12 +242,17 @@ def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
 
 
 def _observed(rows: DataFrame, order_by: str) -> tuple[DataFrame, Callable[[], Written]]:
-    """Count rows and find the newest time while they stream past, without another pass."""
+    """Count rows and find the newest time while they are written, without another pass.
+
+    Only right next to a write: a stage whose output is shuffled may run again
+    after a lost executor and would be counted twice.
+    """
     seen = Observation()
     is_time = rows.schema[order_by].dataType.typeName().startswith("timestamp")
     at = instant_micros(F.col(order_by)) if is_time else F.lit(None).cast("bigint")
-    watched = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(at).alias("newest"))
-    return watched, lambda: Written(seen.get["rows"], from_micros(seen.get["newest"]))
+    handed_in = F.sum(COPIES) if COPIES in rows.columns else F.count(F.lit(1))
+    watched = rows.observe(seen, handed_in.alias("rows"), F.max(at).alias("newest"))
+    return watched, lambda: Written(seen.get["rows"] or 0, from_micros(seen.get["newest"]))
 
 
 def _tie(rows: DataFrame) -> list[str]:

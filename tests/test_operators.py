@@ -304,3 +304,14 @@ def test_sampled_schema_and_typed_read(spark):
         documents.read_documents(bad, schema).collect()
     with pytest.raises(ValueError):
         documents.read_documents(lines, schema, since=at(1))
+
+
+def test_newest_counted_agrees_with_newest(spark):
+    from lakesync.operators.dedup import newest_counted
+
+    rnd = random.Random(2)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, 1, 2]), i) for i in range(60)]
+    df = frame(spark, rows, "k string, t int, seq int")
+    counted = newest_counted(df, ["k"], "t", ["seq"])
+    assert sorted_rows(counted.drop("_copies")) == sorted_rows(newest(df, ["k"], "t", ["seq"]))
+    assert counted.agg(F.sum("_copies")).first()[0] == 60
