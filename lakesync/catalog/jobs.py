@@ -10,10 +10,12 @@ from lakesync.catalog import Tables, landed, query
 from lakesync.catalog.mapped import CHANGED, WORKSPACE_PAGE, contact_sql, issue_sql
 from lakesync.mapping import crm, workspace
 from lakesync.operators import apply
+from lakesync.operators.tree import page_blocks
 from lakesync.plans.crm import archive_marks, modified_records
 from lakesync.plans.documents import first_schema
 from lakesync.plans.issues import changed_issues
-from lakesync.schemas import CONTACTS, ISSUES, PAGES
+from lakesync.plans.workspace import page_refs, readable_pages
+from lakesync.schemas import BLOCKS, CONTACTS, ISSUES, PAGES
 from lakesync.sources.documents import read_documents
 from lakesync.sources.listing import archived, changes_since, live
 
@@ -75,11 +77,46 @@ def sync_notionlike(t: Tables):
             BETWEEN epoch_us(TIMESTAMP '1999-12-31 23:55:00') AND epoch_us(TIMESTAMP '2001-06-01 12:30:00')""")
 def sync_issue(t: Tables):
     since = datetime(2000, 1, 1, tzinfo=UTC)
-    target = changed_issues(landed.issues(t), None, since)
+    target = apply.overwrite(changed_issues(landed.issues(t), None, since), ISSUES.key, ISSUES.order_by)
     delta = changed_issues(landed.issues(t, edited=True), since, datetime(2001, 6, 1, 12, 30, 59, tzinfo=UTC))
     return apply.upsert(target, delta, ISSUES.key, ISSUES.order_by)
 
 
+@query("sync_blocks", """
+    WITH RECURSIVE ends AS (SELECT conv_id, max(turn) AS top FROM conversations GROUP BY conv_id),
+    changed AS (SELECT * FROM ends WHERE conv_id % 525600 >= 25),
+    listed AS (SELECT conv_id, turn, role, CASE WHEN role = 'assistant' AND turn > 0 THEN conv_id || '-' || (turn - 1)
+                      ELSE CAST(conv_id AS VARCHAR) END AS parent FROM conversations),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY turn) - 1 AS position FROM listed),
+    walk AS (
+        SELECT conv_id, turn, role, 0 AS depth, position FROM placed WHERE parent = CAST(conv_id AS VARCHAR)
+        UNION ALL SELECT p.conv_id, p.turn, p.role, w.depth + 1, p.position
+        FROM walk w JOIN placed p ON p.parent = w.conv_id || '-' || w.turn)
+    SELECT CAST(conv_id AS VARCHAR) AS page_id, conv_id || '-' || turn AS id, role AS type, depth, position FROM walk
+    WHERE conv_id IN (SELECT conv_id FROM changed WHERE top > 0 AND top < 7)
+    UNION ALL SELECT CAST(conv_id AS VARCHAR), conv_id || '-' || turn, role, 0, CAST(turn AS BIGINT) FROM conversations
+    WHERE conv_id NOT IN (SELECT conv_id FROM changed)""")
+def sync_blocks(t: Tables):
+    ends = t.conversations.groupBy("conv_id").agg(F.max("turn").alias("top"))
+    # pages of eight turns are in the trash, those of a single turn cannot be read
+    pages = landed.land(ends, landed.json_object(
+        object=F.lit("page"), id=landed.text("conv_id"), in_trash=F.col("top") >= 7,
+        last_edited_time=landed.iso(landed.minutes_after_base("conv_id"))))
+    unreadable = ends.filter("top = 0").select(landed.text("conv_id").alias("page_id"))
+    # answers are listed below the turn they answer
+    turns = landed.blocks(t, has_children=True)
+    nested = (F.col("role") == "assistant") & (F.col("turn") > 0)
+    children = turns.select(
+        F.when(nested, F.concat_ws("-", "conv_id", F.col("turn") - 1)).otherwise(landed.text("conv_id")).alias("parent_id"),
+        F.col("turn").alias("seq"), "payload")
+    stored = workspace.block_rows(landed.blocks(t), SINCE)
+    refs = page_refs(changes_since(pages, "page", datetime(2024, 1, 1, 0, 30, tzinfo=UTC), 300))
+    fresh = workspace.block_rows(page_blocks(readable_pages(refs, unreadable), children), UNTIL)
+    replaced = apply.replace_by_parent(stored, fresh, refs.select(F.col("id").alias("page_id")), BLOCKS.parent,
+                                       BLOCKS.key, BLOCKS.order_by, ["position"])
+    return replaced.select("page_id", "id", "type", "depth", "position")
+
+
 @query("sync_document", """
     SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INTEGER)) AS _id, epoch_us(l_shipdate) AS shipped,
            CAST(l_linenumber AS BIGINT) AS number,

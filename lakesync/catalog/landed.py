@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.catalog import Tables
+from lakesync.functions.payload import once
 
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 BASE_MICROS = 1704067200000000
@@ -24,9 +25,14 @@ def iso(instant: Column) -> Column:
     return F.date_format(instant, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
-def payload(**fields: Column) -> Column:
+def json_object(**fields: Column) -> Column:
     """A JSON object; fields that are NULL are left out."""
-    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("payload")
+    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+
+
+def land(rows: DataFrame, record: Column, *keep: str | Column) -> DataFrame:
+    """The record of each row as its ``payload``, built once as if it had been read from a file."""
+    return once(rows.select(record.alias("_payload"), *keep), payload=F.col("_payload")).drop("_payload")
 
 
 def text(column: str) -> Column:
@@ -58,7 +64,7 @@ def contacts(t: Tables, edited: bool = False) -> DataFrame:
             ";", (F.col("c_custkey") + 1).cast("string"), F.lit(" "),
             F.concat(F.lit(" "), (F.col("c_custkey") + 2).cast("string")), (F.col("c_custkey") + 1).cast("string"))
                ).alias("hs_merged_object_ids"))
-    return t.spread("customer").select(payload(
+    return land(t.spread("customer"), json_object(
         id=text("c_custkey"), createdAt=F.lit("2024-01-01T00:00:00Z"), updatedAt=iso(changed), archived=gone,
         archivedAt=F.when(gone, iso(changed)), properties=properties))
 
@@ -68,7 +74,7 @@ def companies(t: Tables) -> DataFrame:
         F.col("s_name").alias("name"), F.concat(F.lit("s"), text("s_suppkey"), F.lit(".example.com")).alias("domain"),
         text("s_nationkey").alias("industry"))
     # the text "true" is not an archive flag
-    return t.supplier.select(payload(
+    return land(t.supplier, json_object(
         id=text("s_suppkey"), createdAt=F.lit("2024-01-01"), updatedAt=iso(minutes_after_base("s_suppkey")),
         archived=F.when(F.col("s_acctbal") < 5000, "true").otherwise("false"), properties=properties))
 
@@ -82,7 +88,7 @@ def deals(t: Tables) -> DataFrame:
         F.lit("USD").alias("deal_currency_code"), F.col("o_orderstatus").alias("dealstage"),
         F.lit("default").alias("pipeline"), F.unix_millis(day).cast("string").alias("closedate"),
         F.col("o_custkey").alias("hubspot_owner_id"))
-    return t.spread("orders").select(payload(
+    return land(t.spread("orders"), json_object(
         id=text("o_orderkey"), createdAt=iso(day), updatedAt=iso(day), archived=gone,
         archivedAt=F.when(gone, iso(day)), properties=properties))
 
@@ -107,7 +113,7 @@ def issues(t: Tables, edited: bool = False) -> DataFrame:
         F.date_format(issue_updated(), stamp).alias("updated"),
         F.when(F.col("o_orderstatus") == "P", F.col("o_custkey")).alias("customfield_2"),
         F.when(F.col("o_orderstatus") == "P", F.struct(F.col("c_mktsegment").alias("value"))).alias("customfield_1"))
-    return rows.select(payload(key=F.concat(F.lit("ORD-"), text("o_orderkey")), fields=fields))
+    return land(rows, json_object(key=F.concat(F.lit("ORD-"), text("o_orderkey")), fields=fields))
 
 
 def _quoted(column: Column) -> Column:
@@ -144,35 +150,34 @@ def pages(t: Tables, edited: bool = False) -> DataFrame:
         F.lit('"created_by":{"object":"user","id":"u1"},"last_edited_by":{"object":"user","id":'), _quoted(source),
         F.lit('},'), trash, F.lit(',"parent":'), parent, F.lit(',"url":"https://ws.example.com/p'), text("doc_id"),
         F.lit('","public_url":null,"properties":'), title, F.lit("}"))
-    return t.spread("documents", "doc_id", "source", "lang", "n_chars").select(record.alias("payload"))
+    return land(t.spread("documents", "doc_id", "source", "lang", "n_chars"), record)
 
 
 def data_sources(t: Tables) -> DataFrame:
     title = F.when(F.col("n_regionkey") > 0, F.array(
         F.struct(F.col("n_name").alias("plain_text")), F.struct(F.lit("!").alias("plain_text"))))
-    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(payload(
+    return land(t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")), json_object(
         object=F.lit("data_source"), id=text("n_nationkey"), created_time=F.lit("2024-01-01"),
         last_edited_time=F.lit("2024-01-02T00:00:00Z"), in_trash=F.lit(False),
         parent=F.struct(F.lit("database_id").alias("type"), F.col("r_name").alias("database_id")),
         url=F.concat(F.lit("https://ws.example.com/"), F.col("n_name")), title=title))
 
 
-def blocks(t: Tables) -> DataFrame:
+def blocks(t: Tables, has_children: bool = False) -> DataFrame:
     """Conversation turns as blocks whose body sits under the name of their type."""
     body = F.to_json(F.create_map("role", F.struct(F.array(F.struct(F.col("text").alias("plain_text"))).alias("rich_text"))))
     record = F.concat(
         F.lit('{"object":"block","id":"'), text("conv_id"), F.lit("-"), text("turn"), F.lit('","type":"'), F.col("role"),
-        F.lit('","has_children":false,"in_trash":false,"last_edited_time":"'),
+        F.lit(f'","has_children":{str(has_children).lower()},"in_trash":false,"last_edited_time":"'),
         iso(minutes_after_base("turn")), F.lit('","parent":{"type":"page_id","page_id":"'), text("conv_id"), F.lit('"},'),
         F.substr(body, F.lit(2)))
-    return t.spread("conversations").select(
-        text("conv_id").alias("page_id"), F.lit(0).alias("depth"), F.col("turn").cast("int").alias("position"),
-        "conv_id", "turn", record.alias("payload"))
+    return land(t.spread("conversations"), record, text("conv_id").alias("page_id"), F.lit(0).alias("depth"),
+                F.col("turn").cast("int").alias("position"), "conv_id", "turn", "role")
 
 
 def users(t: Tables) -> DataFrame:
     bot = F.col("c_mktsegment") == "MACHINERY"
-    return t.customer.select(payload(
+    return land(t.customer, json_object(
         object=F.lit("user"), id=text("c_custkey"), type=F.when(bot, "bot").otherwise("person"), name=F.col("c_name"),
         avatar_url=F.when(F.col("c_acctbal") > 0, F.concat(F.lit("https://img.example.com/"), text("c_custkey"))),
         person=F.when(~bot, F.struct(F.concat(text("c_custkey"), F.lit("@example.com")).alias("email")))))
@@ -187,9 +192,9 @@ def link_pages(t: Tables, to: str) -> DataFrame:
     target = F.concat(F.lit('{"toObjectId":'), text(to), F.lit(',"associationTypes":'), kinds, F.lit("}"))
     lines = t.spread("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     pages = paged(lines.select("l_orderkey", target.alias("item")), by="l_orderkey", field="targets")
-    return pages.select(F.concat(
+    return land(pages, F.concat(
         F.lit('{"results":[{"from":{"id":"'), text("l_orderkey"), F.lit('"},"to":['),
-        F.array_join("targets", ","), F.lit("]}]}")).alias("payload"))
+        F.array_join("targets", ","), F.lit("]}]}")))
 
 
 def documents(t: Tables, extra: bool = False) -> DataFrame:
@@ -204,5 +209,5 @@ def documents(t: Tables, extra: bool = False) -> DataFrame:
         fields["added"] = F.lit(1)
     # a number in some documents, text in others
     mixed = F.when(F.col("l_returnflag") == "N", '"N"').otherwise(text("l_linenumber"))
-    record = F.concat(F.lit('{"mixed":'), mixed, F.lit(","), F.substr(payload(**fields), F.lit(2)))
-    return t.spread("lineitem").select(record.alias("payload"), "l_shipdate", "l_linestatus")
+    record = F.concat(F.lit('{"mixed":'), mixed, F.lit(","), F.substr(json_object(**fields), F.lit(2)))
+    return land(t.spread("lineitem"), record, "l_shipdate", "l_linestatus")

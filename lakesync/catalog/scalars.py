@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lakesync.catalog import Tables, landed, query
 from lakesync.functions import text, times, values
+from lakesync.functions.payload import once
 from lakesync.operators import windows
 
 _URI = "mongodb+srv://the:token@mail1.example.com:27017/db"
@@ -107,9 +108,10 @@ def type_ids(t: Tables):
     number = F.parse_json(F.concat(F.col("l_linenumber").cast("string"), F.lit(".75")))
     spelled = F.parse_json(F.concat(F.lit('"'), F.when(F.col("l_returnflag") == "A", "1.5").otherwise(
         F.col("l_linenumber").cast("string")), F.lit('"')))
-    return t.lineitem.groupBy("l_linenumber", "l_returnflag").agg(
-        F.count(F.lit(1)).alias("n_links"), F.count(values.type_id(spelled)).alias("n_text_ids"),
-        F.sum(values.type_id(number)).alias("sum_number_ids"))
+    nodes = once(t.lineitem, number=number, spelled=spelled)
+    return nodes.groupBy("l_linenumber", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_links"), F.count(values.type_id(F.col("spelled"))).alias("n_text_ids"),
+        F.sum(values.type_id(F.col("number"))).alias("sum_number_ids"))
 
 
 @query("json_extract", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")

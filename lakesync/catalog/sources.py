@@ -20,7 +20,7 @@ _ISSUE_SQL = "'ORD-' || o_orderkey AS key, epoch_us(o_orderdate) + (o_orderkey %
 @query("scan_listing", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
 def scan_listing(t: Tables):
     items = t.orders.select(F.struct("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").alias("item"))
-    pages = landed.paged(items).select(landed.payload(results=F.col("results")))
+    pages = landed.land(landed.paged(items), landed.json_object(results=F.col("results")))
     record = F.from_json("payload", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string")
     return listing.listing_items(pages).select(record.alias("r")).select("r.*")
 
@@ -66,7 +66,7 @@ def error_triage(t: Tables):
     category = (F.when(lang == "en", "OBJECT_NOT_FOUND").when(lang == "fr", "NO_ASSOCIATIONS_FOUND")
                 .when(lang == "de", "VALIDATION_ERROR"))
     error = F.struct(F.lit("error").alias("status"), category.alias("category"), F.col("source").alias("message"))
-    answers = t.documents.select(landed.payload(errors=F.array(error)))
+    answers = landed.land(t.documents, landed.json_object(errors=F.array(error)))
     found = quality.untolerated_errors(answers, ["OBJECT_NOT_FOUND", "NO_ASSOCIATIONS_FOUND"])
     return found.groupBy(F.coalesce("category", F.lit("")).alias("category"), F.col("message").alias("source")).agg(
         F.count(F.lit(1)).alias("n_errors"))
@@ -92,9 +92,9 @@ def archived_ids(t: Tables):
 @query("property_names", """
     SELECT DISTINCT 'size_' || p_size AS name FROM part UNION SELECT 'brand' UNION SELECT 'type'""")
 def property_names(t: Tables):
-    records = t.part.select(F.concat(
+    records = landed.land(t.part, F.concat(
         F.lit('{"properties":{"brand":"'), "p_brand", F.lit('","type":"'), "p_type", F.lit('","size_'),
-        F.col("p_size").cast("string"), F.lit('":1}}')).alias("payload"))
+        F.col("p_size").cast("string"), F.lit('":1}}')))
     return listing.property_names(records)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.functions.payload import RECORD, other_fields, text_at, with_record
+from lakesync.functions.payload import RECORD, once, other_fields, text_at, with_record
 from lakesync.functions.times import parse_issue_time
 from lakesync.schemas import ISSUES
 
@@ -30,6 +30,8 @@ def issue_rows(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     issue = F.col(RECORD)
     columns = {"key": text_at(issue, "key")}
     columns |= {name: text_at(issue, "fields." + path) for name, path in _PATHS.items()}
-    columns |= {name: parse_issue_time(text_at(issue, "fields." + name), name) for name in _TIMES}
+    columns |= {name: F.col("_" + name) for name in _TIMES}
     columns["raw_fields"] = other_fields(issue, "fields", ["key", *_PATHS, *_TIMES])
-    return with_record(records).select(*[columns[name].alias(name) for name in ISSUES.names], *keep)
+    # change windows compare `updated`, so it is worth having as a value
+    times = {"_" + name: parse_issue_time(text_at(issue, "fields." + name), name) for name in _TIMES}
+    return once(with_record(records), **times).select(*[columns[name].alias(name) for name in ISSUES.names], *keep)

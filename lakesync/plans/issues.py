@@ -19,12 +19,11 @@ from lakesync.schemas import ISSUES
 
 def changed_issues(records: DataFrame, since: datetime | None, until: datetime, overlap_seconds: int = 300,
                    where: Column | None = None) -> DataFrame:
-    """Newest row per issue updated inside the window and matching the caller's filter."""
-    keep = [c for c in (SEQ,) if c in records.columns]
-    rows = issue_rows(records, keep)
+    """Rows of issues updated inside the window and matching the caller's filter, copies included."""
+    rows = issue_rows(records, [c for c in (SEQ,) if c in records.columns])
     if where is not None:
         rows = rows.filter(where)
-    return newest(by_minute(rows, "updated", since, until, overlap_seconds), ISSUES.key, "updated", keep)
+    return by_minute(rows, "updated", since, until, overlap_seconds)
 
 
 def preview(records: DataFrame, limit: int = 10, where: Column | None = None) -> DataFrame:
@@ -41,7 +40,8 @@ def sync_issues(store: TableStore, records: DataFrame, table: str = "issues", mo
     store.ensure_schema()
     exists = store.exists(table)
     since = stored_watermark(store, table, "updated") if exists and not full else None
-    rows = changed_issues(records, since, started(now), overlap_seconds, where)
+    changed = changed_issues(records, since, started(now), overlap_seconds, where)
+    rows = newest(changed, ISSUES.key, "updated", [c for c in (SEQ,) if c in changed.columns])
     if full or not exists:
         written = store.replace_all(spec, rows, dedup=False)
     else:

@@ -39,9 +39,9 @@ def archived(records: DataFrame) -> DataFrame:
 
 def archived_ids(records: DataFrame) -> DataFrame:
     """``(id, archived_at)`` of every archived record."""
-    return archived(records).select(
-        F.get_json_object("payload", "$.id").alias("id"),
-        to_time(F.get_json_object("payload", "$.archivedAt")).alias("archived_at"))
+    spelled = once(archived(records), id=F.get_json_object("payload", "$.id"),
+                   _at=F.get_json_object("payload", "$.archivedAt"))
+    return spelled.select("id", to_time(F.col("_at")).alias("archived_at"))
 
 
 def property_names(records: DataFrame) -> DataFrame:
