@@ -40,10 +40,12 @@ def _round_digits(text: Column) -> Column:
 
 def type_id(node: Column) -> Column:
     """INT of a JSON value: numbers are truncated, text must spell an integer, else NULL."""
-    spelled = F.to_json(node)
-    return (F.when(F.schema_of_variant(node) == "STRING", F.trim(node.cast("string")).try_cast("int"))
-            .when(spelled == "true", 1).when(spelled == "false", 0)
-            .otherwise(spelled.try_cast("double").try_cast("int")))
+    spelled = F.try_variant_get(node, "$", "string")
+    # nearly always an integer; only other spellings ask for the JSON type
+    other = F.when(F.schema_of_variant(node) != "STRING",
+                   F.when(spelled == "true", 1).when(spelled == "false", 0)
+                   .otherwise(spelled.try_cast("double").try_cast("int")))
+    return F.coalesce(F.trim(spelled).try_cast("int"), other)
 
 
 def id_list(text: Column) -> Column:

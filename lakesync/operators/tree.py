@@ -38,7 +38,8 @@ def child_edges(children: DataFrame, order_by: Sequence[str]) -> DataFrame:
     record = F.col(RECORD)
     narrow = with_record(children).select(
         "parent_id", *order_by, text_at(record, "id").alias("id"), descends(record).alias("descend"))
-    return ordered_index(narrow, order_by, within=["parent_id"])
+    # numbering reads its input twice; payloads are parsed once
+    return ordered_index(checkpointed(narrow), order_by, within=["parent_id"])
 
 
 def walk(roots: DataFrame, edges: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
