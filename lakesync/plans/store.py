@@ -69,10 +69,13 @@ class TableStore:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
 
     def _create(self, table: str, ddl: str) -> None:
-        layout = f", {BUCKET} INT) USING {self.provider} PARTITIONED BY ({BUCKET})" if self.buckets \
-            else f") USING {self.provider}"
-        properties = f" TBLPROPERTIES ('lakesync.buckets' = '{self.buckets}')" if self.buckets else ""
-        self.spark.sql(f"CREATE TABLE {self.name(table)} ({ddl}{layout}{properties}")
+        if not self.buckets:
+            self.spark.sql(f"CREATE TABLE {self.name(table)} ({ddl}) USING {self.provider}")
+            return
+        # kept with the table: overwrites replace the partitions they write and no others
+        self.spark.sql(f"CREATE TABLE {self.name(table)} ({ddl}, {BUCKET} INT) USING {self.provider} "
+                       f"OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY ({BUCKET}) "
+                       f"TBLPROPERTIES ('lakesync.buckets' = '{self.buckets}')")
 
     def _rename(self, table: str, to: str) -> None:
         schema = self.namespace.split(".")[-1]
@@ -147,8 +150,7 @@ class TableStore:
         try:
             self._write(following, new(old).withColumn(BUCKET, bucket), spec.order_by)
             result = self.spark.table(self.name(following))
-            with _only_written_partitions(self.spark):
-                result.write.mode("overwrite").insertInto(self.name(spec.name))
+            result.write.mode("overwrite").insertInto(self.name(spec.name))
             left = {r[0] for r in result.select(BUCKET).distinct().collect()}
             for emptied in set(touched) - left:
                 self.spark.sql(f"ALTER TABLE {self.name(spec.name)} DROP IF EXISTS PARTITION ({BUCKET} = {emptied})")
@@ -228,19 +230,6 @@ class RowLevelStore(TableStore):
         return source.alias("s").mergeInto(self.name(spec.name), same)
 
 
-@contextmanager
-def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
-    """Overwrites replace the partitions they write and no others."""
-    # as a writer option this is ignored by insertInto
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(mode, before)
-
-
 def _observed(rows: DataFrame, order_by: str) -> tuple[DataFrame, Callable[[], Written]]:
     """Count rows and find the newest time while they are written, without another pass.
 
