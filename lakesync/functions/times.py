@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 _OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)"
 _DATE = r"^(?!0000)\d{4}-\d{2}-\d{2}"
-_ISO = rf"{_DATE}([T ]\d{{2}}:\d{{2}}:\d{{2}}([.,]\d+)?{_OFFSET}?)?$"
+_ISO = rf"{_DATE}([T ]\d{{2}}:\d{{2}}:\d{{2}}(\.\d+)?{_OFFSET}?)?$"
 _ISO_SHORT = rf"{_DATE}[T ]\d{{2}}(:\d{{2}})?{_OFFSET}?$"
 _ISO_BASIC = rf"^(?!0000)\d{{8}}([T ]\d{{2}}(\d{{2}}(\d{{2}}([.,]\d+)?)?)?{_OFFSET}?)?$"
 _ISSUE = (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}"
@@ -21,6 +21,11 @@ def _iso(text: Column) -> Column:
 
     The pattern comes first because a plain cast also takes ``2026`` or ``12:30``.
     """
+    return F.when(text.rlike(_ISO), text.try_cast("timestamp")).otherwise(_unusual_iso(text))
+
+
+def _unusual_iso(text: Column) -> Column:
+    """Lower-case letters, decimal commas, times without seconds, and the form without separators."""
     text = F.replace(F.upper(text), F.lit(","), F.lit("."))
     extended = F.regexp_replace(F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
                                 r"([T ]\d{2})(\d{2})", "$1:$2")
@@ -53,9 +58,10 @@ def to_time(text: Column) -> Column:
     """Epoch milliseconds (all digits) or ISO 8601 as an instant; anything else is NULL."""
     text = F.trim(text)
     millis = text.try_cast("bigint")
-    return (F.when(text.rlike(r"^-?\d+$"),
-                   F.when(millis.between(_MIN_MILLIS, _MAX_MILLIS), F.timestamp_millis(millis)))
-            .otherwise(_iso(text)))
+    return (F.when(text.rlike(_ISO), text.try_cast("timestamp"))
+            .when(text.rlike(r"^-?\d+$"),
+                  F.when(millis.between(_MIN_MILLIS, _MAX_MILLIS), F.timestamp_millis(millis)))
+            .otherwise(_unusual_iso(text)))
 
 
 def minute_in_zone(instant: Column, zone: str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 AMOUNT = "decimal(38,6)"
 _PLAIN = r"^([+-]?)(\d*)\.?(\d*)$"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def to_amount(text: Column) -> Column:
@@ -19,9 +20,11 @@ def to_amount(text: Column) -> Column:
     dot = F.instr(text, ".")
     short = (dot == 0) | (F.length(text) - dot <= 18)
     narrow = F.bround(text.try_cast("decimal(38,18)"), 6).cast(AMOUNT)
-    return (F.when(short & narrow.isNotNull(), narrow)
-            .when(text.rlike(_PLAIN) & text.rlike(r"\d"), _round_digits(text))
-            .otherwise(F.coalesce(narrow, text.try_cast(AMOUNT))))
+    rounded = (F.when(short & narrow.isNotNull(), narrow)
+               .when(text.rlike(_PLAIN), _round_digits(text))
+               .otherwise(F.coalesce(narrow, text.try_cast(AMOUNT))))
+    # looked at before casting: a failed cast costs an exception
+    return F.when(text.rlike(_NUMBER), rounded)
 
 
 def _round_digits(text: Column) -> Column:
@@ -40,12 +43,12 @@ def _round_digits(text: Column) -> Column:
 
 def type_id(node: Column) -> Column:
     """INT of a JSON value: numbers are truncated, text must spell an integer, else NULL."""
-    spelled = F.try_variant_get(node, "$", "string")
-    # nearly always an integer; only other spellings ask for the JSON type
-    other = F.when(F.schema_of_variant(node) != "STRING",
-                   F.when(spelled == "true", 1).when(spelled == "false", 0)
-                   .otherwise(spelled.try_cast("double").try_cast("int")))
-    return F.coalesce(F.trim(spelled).try_cast("int"), other)
+    spelled = F.to_json(node)
+    quoted = F.trim(F.substr(spelled, F.lit(2), F.length(spelled) - 2))
+    # looked at before casting: a failed cast costs an exception
+    return (F.when(spelled.startswith('"'), F.when(quoted.rlike(r"^[+-]?\d+$"), quoted.try_cast("int")))
+            .when(spelled.rlike(r"^-?\d"), spelled.try_cast("double").try_cast("int"))
+            .when(spelled == "true", 1).when(spelled == "false", 0))
 
 
 def id_list(text: Column) -> Column:
