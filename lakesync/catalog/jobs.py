@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -14,10 +15,13 @@ from lakesync.operators.tree import page_blocks
 from lakesync.plans.crm import archive_marks, modified_records
 from lakesync.plans.documents import first_schema
 from lakesync.plans.issues import changed_issues
+from lakesync.plans.store import SEQ, TableStore
 from lakesync.plans.workspace import page_refs, readable_pages
-from lakesync.schemas import BLOCKS, CONTACTS, ISSUES, PAGES
+from lakesync.schemas import BLOCKS, CONTACTS, ISSUES, PAGES, TableSpec
+from lakesync.session import shared_folder
 from lakesync.sources.documents import read_documents
 from lakesync.sources.listing import archived, changes_since, live
+from lakesync.streaming.landing import upsert_stream
 
 UTC = timezone.utc
 SINCE = datetime(2024, 1, 1, 6, tzinfo=UTC)
@@ -83,8 +87,10 @@ def sync_issue(t: Tables):
 
 
 @query("sync_blocks", """
-    WITH RECURSIVE ends AS (SELECT conv_id, max(turn) AS top FROM conversations GROUP BY conv_id),
-    changed AS (SELECT * FROM ends WHERE conv_id % 525600 >= 25),
+    WITH RECURSIVE ends AS (SELECT conv_id, max(turn) AS top,
+            make_timestamp(1704067200000000 + (conv_id % 525600) * 60000000) AS edited
+        FROM conversations GROUP BY conv_id),
+    changed AS (SELECT * FROM ends WHERE edited >= TIMESTAMP '2024-01-01 00:25:00'),
     listed AS (SELECT conv_id, turn, role, CASE WHEN role = 'assistant' AND turn > 0 THEN conv_id || '-' || (turn - 1)
                       ELSE CAST(conv_id AS VARCHAR) END AS parent FROM conversations),
     placed AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY turn) - 1 AS position FROM listed),
@@ -117,6 +123,28 @@ def sync_blocks(t: Tables):
     return replaced.select("page_id", "id", "type", "depth", "position")
 
 
+@query("stream_upsert", """
+    SELECT user_id, event_type, epoch_us(ts) AS ts, value FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+    WHERE rn = 1""")
+def stream_upsert(t: Tables):
+    columns = (("user_id", "BIGINT"), ("event_type", "STRING"), ("ts", "TIMESTAMP"), ("value", "DOUBLE"), ("event_id", "BIGINT"))
+    spec = TableSpec("stream_upsert", columns, key=("user_id", "event_type"), order_by="ts")
+    run = uuid.uuid4().hex[:8]
+    store = TableStore(t.spark, f"lakesync_{run}", run_id=run)
+    events = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events*.parquet")
+    fields = {name: F.col(name) for name, _ in columns}
+    fields["ts"] = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    payloads = events.select(landed.json_object(**fields).alias("payload"))
+
+    def rows(batch):
+        typed = batch.select(F.from_json("payload", spec.ddl).alias("e")).select("e.*")
+        return typed.withColumn(SEQ, F.col("event_id"))
+
+    upsert_stream(payloads, rows, store, spec, f"{shared_folder(t.spark)}/stream-{run}").awaitTermination()
+    return store.read(spec.name).drop("event_id")
+
+
 @query("sync_document", """
     SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INTEGER)) AS _id, epoch_us(l_shipdate) AS shipped,
            CAST(l_linenumber AS BIGINT) AS number,

@@ -26,17 +26,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor reaches, for checkpoints of frames and streams."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        return shared
+    if spark.sparkContext.master.startswith("local"):
+        return spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -45,5 +42,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     Survives executor loss, and pins row order and partitioning for callers
     that number rows by partition.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -1,4 +1,5 @@
 import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import SparkSession
@@ -25,6 +26,6 @@ def spark():
 
 @pytest.fixture
 def namespace(spark):
-    name = "t_" + next(tempfile._get_candidate_names()).lower()
+    name = "t_" + uuid.uuid4().hex[:8]
     yield "spark_catalog." + name
     spark.sql(f"DROP SCHEMA IF EXISTS {name} CASCADE")
