@@ -26,7 +26,9 @@ def upsert_stream(payloads: DataFrame, rows: Callable[[DataFrame], DataFrame], s
 
     No event-time watermark: rows that arrive late or again are absorbed by the
     keyed merge, where a watermark would drop them. Progress is kept only
-    after the write, and repeating a batch changes nothing.
+    after the write, and repeating a batch changes nothing. Files are applied
+    in the order they landed; as in batch, a later file's row replaces an
+    earlier one whatever its time.
     """
     store.ensure_schema()
     store.ensure(spec)

@@ -1,6 +1,7 @@
 """Landing files as a stream: same table as one batch, whatever the order, and over restarts."""
 
 import json
+import os
 import random
 
 import pytest
@@ -28,7 +29,9 @@ def lines(spark):
 
 
 def land(folder, number, lines):
-    (folder / f"part-{number}.json").write_text("\n".join(lines) + "\n")
+    path = folder / f"part-{number}.json"
+    path.write_text("\n".join(lines) + "\n")
+    os.utime(path, (1_700_000_000 + 60 * number,) * 2)  # files are read in the order they landed
 
 
 def rows(df):
