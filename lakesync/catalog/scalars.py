@@ -30,7 +30,7 @@ def to_time(t: Tables):
                .when(kind == "signup", F.date_format(at, "yyyy-MM-dd"))
                .when(kind == "purchase", F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS'999z'"))
                .otherwise(F.date_format(at, "yyyy-MM-dd'T25:'mm:ss")))
-    return _events(t).select("event_id", times.to_time(spelled).alias("at"))
+    return once(_events(t), spelled=spelled).select("event_id", times.to_time(F.col("spelled")).alias("at"))
 
 
 @query("parse_ts_iso", """
@@ -47,13 +47,14 @@ def parse_ts_iso(t: Tables):
                .when(kind == "signup", F.date_format(at, "yyyyMMdd'T'HHmmss"))
                .when(kind == "purchase", F.date_format(at, "yyyy-MM-dd' 'HH"))
                .otherwise(""))
-    return _events(t).select("event_id", times.parse_iso(spelled).alias("at"))
+    return once(_events(t), spelled=spelled).select("event_id", times.parse_iso(F.col("spelled")).alias("at"))
 
 
 @query("parse_ts_strict", "SELECT event_id, epoch_us(ts) // 1000 * 1000 + 12600000000 AS at FROM events")
 def parse_ts_strict(t: Tables):
     spelled = F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSS'-0330'")
-    return _events(t).select("event_id", times.parse_issue_time(spelled, "updated").alias("at"))
+    return once(_events(t), spelled=spelled).select(
+        "event_id", times.parse_issue_time(F.col("spelled"), "updated").alias("at"))
 
 
 @query("to_amount", """
@@ -76,9 +77,8 @@ def to_amount(t: Tables):
         F.when(F.col("l_returnflag") == "N", "50").otherwise("50000000000000000000000001"))
     bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     lines = t.spread("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
-    return lines.select(
-        "l_orderkey", "l_partkey", "l_suppkey",
-        values.to_amount(F.when(bad, F.concat(spelled, F.lit(" USD"))).otherwise(spelled)).alias("amount"))
+    landed_text = once(lines, spelled=F.concat(spelled, F.when(bad, " USD").otherwise("")))
+    return landed_text.select("l_orderkey", "l_partkey", "l_suppkey", values.to_amount(F.col("spelled")).alias("amount"))
 
 
 @query("merged_ids", """

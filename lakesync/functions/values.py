@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 AMOUNT = "decimal(38,6)"
-_PLAIN = r"^([+-]?)(\d*)\.?(\d*)$"
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -20,25 +19,22 @@ def to_amount(text: Column) -> Column:
     dot = F.instr(text, ".")
     short = (dot == 0) | (F.length(text) - dot <= 18)
     narrow = F.bround(text.try_cast("decimal(38,18)"), 6).cast(AMOUNT)
-    rounded = (F.when(short & narrow.isNotNull(), narrow)
-               .when(text.rlike(_PLAIN), _round_digits(text))
-               .otherwise(F.coalesce(narrow, text.try_cast(AMOUNT))))
+    plain = ~F.contains(F.lower(text), F.lit("e"))
+    rounded = F.coalesce(F.when(short, narrow), F.when(plain, _round_digits(text, dot)),
+                         F.when(~plain, F.coalesce(narrow, text.try_cast(AMOUNT))))
     # looked at before casting: a failed cast costs an exception
     return F.when(text.rlike(_NUMBER), rounded)
 
 
-def _round_digits(text: Column) -> Column:
-    whole = F.regexp_extract(text, _PLAIN, 2)
-    decimals = F.regexp_extract(text, _PLAIN, 3)
-    kept = F.rpad(F.substring(decimals, 1, 6), 6, "0")
-    rest = F.rtrim(F.substr(decimals, F.lit(7)), F.lit("0"))
-    odd = F.substring(kept, 6, 1).isin("1", "3", "5", "7", "9")
+def _round_digits(text: Column, dot: Column) -> Column:
+    """Half-even rounding of a plain number read from its digits after the sixth decimal."""
+    kept = F.when(dot > 0, F.substr(text, F.lit(1), dot + 6)).otherwise(text)
+    rest = F.when(dot > 0, F.rtrim(F.substr(text, dot + 7), F.lit("0"))).otherwise("")
+    odd = F.substr(text, dot + 6, F.lit(1)).isin("1", "3", "5", "7", "9")
     up = (rest > "5") | ((rest == "5") & odd)
-    # the sign is part of both texts: negating a wide decimal keeps only 34 digits
-    sign = F.regexp_extract(text, _PLAIN, 1)
-    base = F.concat(sign, F.lit("0"), whole, F.lit("."), kept).try_cast(AMOUNT)
-    step = F.when(up, F.concat(sign, F.lit("0.000001"))).otherwise("0").cast(AMOUNT)
-    return F.try_add(base, step).cast(AMOUNT)
+    # the step has the number's sign: negating a wide decimal keeps only 34 digits
+    step = F.when(~up, "0").when(text.startswith("-"), "-0.000001").otherwise("0.000001").cast(AMOUNT)
+    return F.try_add(kept.try_cast(AMOUNT), step).cast(AMOUNT)
 
 
 def type_id(node: Column) -> Column:

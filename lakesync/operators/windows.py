@@ -44,7 +44,8 @@ def overlapped(since: datetime | None, overlap_seconds: int) -> datetime | None:
 
 def _bound(df: DataFrame, column: str, value: datetime) -> Column:
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):
-        return F.lit(utc(value).replace(tzinfo=None)).cast("timestamp_ntz")
+        # as text: a naive datetime would be taken in the Python process's own zone
+        return F.lit(utc(value).strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
     return instant(value)
 
 
