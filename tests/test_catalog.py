@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as driver
+from lakesync import catalog
 from tests.conftest import SF
 from tools.compare import connect, differences
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = catalog.QUERIES, catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
