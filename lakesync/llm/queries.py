@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.llm import chat, rules
+from lakesync.llm import chat, rules, simhash
 from lakesync.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,9 @@ FROM failed JOIN rates ON failed.source IS NOT DISTINCT FROM rates.source""")
 def host_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = rules.judge(table(spark, folder, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op7_simhash_groups")
+def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_groups(table(spark, folder, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", "fingerprint", "component_id")
