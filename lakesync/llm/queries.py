@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.llm import chat, rules, simhash
+from lakesync.llm import chat, language, quality, rules, simhash
 from lakesync.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,20 @@ def host_rules(spark: SparkSession, folder: str) -> DataFrame:
 def simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_groups(table(spark, folder, "documents"), shingle=3, radius=2)
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query("op5_language_network")
+def language_network(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = docs.select("doc_id", language.identify(language.train(docs), "text").alias("found"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "found.lang_pred", "found.score")
+
+
+@query("op9_quality_model")
+def quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality.score(model, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
