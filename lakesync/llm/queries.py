@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.llm import chat, language, quality, rules, simhash
+from lakesync.llm import chat, imatch, language, quality, rules, simhash
 from lakesync.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,8 @@ def quality_model(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     scored = docs.select("doc_id", held_out.alias("held_out"), quality.score(model, "text").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op2_imatch_prints")
+def imatch_prints(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.compared_with_next(table(spark, folder, "documents"))
