@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.llm import chat, imatch, language, quality, rules, simhash
+from lakesync.llm import bpe, chat, imatch, language, packing, quality, rules, simhash
 from lakesync.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +103,21 @@ def quality_model(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_imatch_prints")
 def imatch_prints(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.compared_with_next(table(spark, folder, "documents"))
+
+
+def word_bpe() -> str:
+    """The public word-level tokenizer's file."""
+    return bpe.read_spec(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_bpe_roundtrip")
+def bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    spec = word_bpe()
+    decoded = bpe.decode(bpe.encode(table(spark, folder, "documents"), spec), spec)
+    return decoded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                          F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op3_packed_sequences")
+def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), word_bpe()).drop("ids")
