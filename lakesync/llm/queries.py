@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.llm import bpe, chat, imatch, language, packing, quality, rules, simhash
+from lakesync.llm import bpe, chat, imatch, language, packing, quality, rules, simhash, substrings
+from lakesync.llm.shared import text_of, words_of
 from lakesync.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +122,10 @@ def bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_packed_sequences")
 def packed_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), word_bpe()).drop("ids")
+
+
+@query("op4_repeated_passages")
+def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = substrings.dedup(table(spark, folder, "documents").select("doc_id", "text"), window=13)
+    kept = F.array_join(words_of(text_of()), " ")
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
