@@ -170,7 +170,7 @@ def pack(docs: DataFrame, spec: str, costs: Costs = Costs()) -> DataFrame:
     column, count = slices(docs.select("doc_id"))
     dealt = bpe.encode(docs, spec).withColumn("slice", column).repartitionById(count, "slice").sortWithinPartitions("slice", F.asc_nulls_first("doc_id"), "ids")
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
-                        ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
+                        ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def packed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends, here = _sentence_ends(shared.value), [0]
@@ -186,9 +186,9 @@ def pack(docs: DataFrame, spec: str, costs: Costs = Costs()) -> DataFrame:
                 offset = 0
                 for doc_id, start, ids, whole in pieces:
                     data = ids.astype("<u4").tobytes()
-                    yield doc_id, start, len(ids), crc32(data), whole, (here[0] << 40) + number, offset, data
+                    yield doc_id, start, len(ids), crc32(data), whole, (here[0] << 40) + number, offset, ids.astype(np.int32)
                     offset += len(ids)
 
         return batches(rows(), schema)
 
-    return dealt.mapInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary")
+    return dealt.mapInArrow(packed, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>")

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.llm import bpe, chat, imatch, language, packing, quality, rules, simhash, substrings
+import corpus_pipeline
+from lakesync.llm import bpe, chat, imatch, language, lines, packing, quality, rules, simhash, substrings
 from lakesync.llm.shared import text_of, words_of
 from lakesync.session import configure
 
@@ -129,3 +130,12 @@ def repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = substrings.dedup(table(spark, folder, "documents").select("doc_id", "text"), window=13)
     kept = F.array_join(words_of(text_of()), " ")
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+@query("op10_fuzzy_lines")
+def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.dedup(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(text_of(), 256).alias("kept_sha256"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

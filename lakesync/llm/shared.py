@@ -36,6 +36,31 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bits of the maps that tell early which rows cannot find a partner; their size is the same for any input.
+_MAP_BITS = 24
+
+
+def marked(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows with ``_maybe``: false only if the value is surely not among the keys (one column of longs).
+
+    Each key sets one of 2**24 bits. The bits are sent to every task as at most 2**18 words of 64, whatever the input;
+    what is marked gets joined exactly afterwards.
+    """
+    spot = lambda name: F.pmod(F.xxhash64(F.col(name)), F.lit(1 << _MAP_BITS))
+    one = lambda place: F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    bits = keys.select(spot(keys.columns[0]).alias("_spot"))
+    bits = bits.groupBy(F.shiftright("_spot", 6).alias("_word")).agg(F.bit_or(one(F.col("_spot"))).alias("_bits"))
+    placed = rows.withColumn("_spot", spot(column)).withColumn("_word", F.shiftright("_spot", 6))
+    found = placed.join(F.broadcast(bits), "_word", "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(one(F.col("_spot"))) != 0, F.lit(False))
+    return found.select(*rows.columns, maybe.alias("_maybe"))
+
+
+def maybe_in(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The marked rows: all whose value is among the keys, and few others while the keys are few."""
+    return marked(rows, column, keys).where("_maybe").drop("_maybe")
+
+
 class Scratch:
     """Tables written to the shared folder: lineage ends there, and a lost executor costs only a re-read.
 
