@@ -28,7 +28,7 @@ from lakesync.llm.shared import batches, partitions, text_of
 #: Distinct words after which a block is closed.
 BLOCK_WORDS = 200_000
 #: Words whose ids a task of the word table keeps.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 200_000
 
 #: The tokenizer's own rule for splitting lower-cased text (fixed value).
 _RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -83,7 +83,7 @@ class WordEncoder:
                 new.update(parts)
             else:
                 split.append(text)
-        self._merge(sorted(new - self.parts.keys()))
+        self._merge(sorted(part for part in new if part not in self.parts))
         known = self.parts
         out = [b"".join([known[part] for part in parts]) if isinstance(parts, list)
                else np.array(self.whole.encode(parts, add_special_tokens=False).ids, "<u4").tobytes() for parts in split]
@@ -116,23 +116,57 @@ class _Numbers(dict):
         return number
 
 
-def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes], list[tuple]]]:
-    """(block, its distinct words, its documents as (doc_id, numbers)); a block is named by a hash of its words."""
+def _ints(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers, byte by byte of their value and compressed: small ones take little room."""
+    data = np.ascontiguousarray(values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(data).to_bytes(8, "little") + (pa.compress(data, codec="zstd", asbytes=True) if data else b"")
+
+
+def _from_ints(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    if not size:
+        return np.empty(0, "<u4")
+    planes = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _blocks(parts: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple]:
+    """(block, words by shard, place of each number among those words, ids of documents, their sizes, their numbers).
+
+    The words of a block are ordered by shard and then by themselves. Numbers go by how often a word occurs, which
+    makes most of them small. A block is named by a hash of its words.
+    """
 
     def closed():
         words = list(numbers)
-        return xxhash.xxh3_64_intdigest(b"\n".join(words)) - (1 << 63), words, held
-
-    numbers, held, seen = _Numbers(), [], False
+        flat = np.concatenate(held) if held else np.empty(0, "<u4")
+        often = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+        number = np.empty(len(words), "<u4")
+        number[often] = np.arange(len(words), dtype="<u4")
+        shard = np.fromiter(map(crc32, words), np.uint32, len(words)) % np.uint32(shards)
+        order = sorted(range(len(words)), key=words.__getitem__)
+        order = np.array(order, np.int64)[np.argsort(shard[order], kind="stable")] if words else np.empty(0, np.int64)
+        place = np.empty(len(words), "<u4")
+        place[number[order]] = np.arange(len(words), dtype="<u4")
+        by_shard, at = [], 0
+        for chosen in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1) if words else ():
+            by_shard.append((int(shard[chosen[0]]), at, [words[i] for i in chosen.tolist()]))
+            at += len(chosen)
+        block = xxhash.xxh3_64_intdigest(b"\n".join(words)) - (1 << 63)
+        return block, by_shard, place, ids, np.array([len(one) for one in held], "<u4"), number[flat]
+
+    numbers, held, ids = _Numbers(), [], []
     for part in parts:
-        for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-            words = text.split()
-            held.append((doc_id, np.fromiter(map(numbers.__getitem__, words), "<u4", len(words))))
-            seen = True
-            if len(numbers) >= BLOCK_WORDS or len(held) >= 50_000:
-                yield closed()
-                numbers, held, seen = _Numbers(), [], False
-    if seen:
+        for start in range(0, part.num_rows, 512):
+            few = part.slice(start, 512)
+            for doc_id, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
+                words = text.split()
+                held.append(np.fromiter(map(numbers.__getitem__, words), "<u4", len(words)))
+                ids.append(doc_id)
+                if len(numbers) >= BLOCK_WORDS or len(held) >= 20_000:
+                    yield closed()
+                    numbers, held, ids = _Numbers(), [], []
+    if held:
         yield closed()
 
 
@@ -146,84 +180,75 @@ def encode(docs: DataFrame, spec: str) -> DataFrame:
     count = partitions(docs.sparkSession)
     texts = docs.select("doc_id", text_of().cast("binary").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(spec)  # the tokenizer file, whose size is fixed
-    word_schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("words", pa.binary()), ("numbers", pa.binary())])
-    row_schema = pa.schema([("block", pa.int64()), ("kind", pa.int8()), ("doc_id", pa.int64()), ("numbers", pa.binary()),
-                            ("sizes", pa.binary()), ("ids", pa.binary())])
-    row_types = "block long, kind byte, doc_id long, numbers binary, sizes binary, ids binary"
+    word_schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("words", pa.binary())])
+    row_schema = pa.schema([("block", pa.int64()), ("kind", pa.int8()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+                            ("sizes", pa.binary()), ("values", pa.binary()), ("places", pa.binary())])
+    row_types = "block long, kind byte, start long, doc_ids array<long>, sizes binary, values binary, places binary"
 
     def word_rows(parts):
-        for block, words, _ in _blocks(parts):
-            shards = np.fromiter(map(crc32, words), np.uint32, len(words)) % count
-            order = np.argsort(shards, kind="stable")
-            edges = np.flatnonzero(np.diff(shards[order])) + 1
-            for chosen in np.split(order, edges) if len(order) else ():
-                yield int(shards[chosen[0]]), block, b"\n".join([words[i] for i in chosen]), chosen.astype("<u4").tobytes()
+        for block, by_shard, *_ in _blocks(parts, count):
+            for shard, start, words in by_shard:
+                data = b"\n".join(words)
+                yield shard, block, start, len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
     def doc_rows(parts):
-        for block, words, held in _blocks(parts):
-            for doc_id, numbers in held:
-                yield block, 1, doc_id, _pack(numbers.tobytes()), str(len(words)).encode(), None
+        for block, _, place, ids, sizes, numbers in _blocks(parts, count):
+            yield block, 1, None, ids, _ints(sizes), _ints(numbers), _ints(place)
 
     def encoded(parts):
         encoder, known = _encoder(shared.value), {}
         for part in parts:
-            for block, words, numbers in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
-                words = words.split(b"\n")
+            for block, start, data in zip(*(part.column(i).to_pylist() for i in (1, 2, 3))):
+                words = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True).split(b"\n")
                 new = [word for word in words if word not in known]
                 known.update(zip(new, encoder.encode(new)))
                 found = [known[word] for word in words]
                 sizes = np.fromiter(map(len, found), "<u4", len(found)) // 4
-                yield block, 0, None, numbers, sizes.tobytes(), b"".join(found)
+                yield block, 0, start, None, _ints(sizes), _ints(np.frombuffer(b"".join(found), "<u4")), None
                 if len(known) > KEPT_WORDS:
                     known = {}
 
     def to_rows(make, schema):
-        return lambda parts: batches(make(parts), schema)
+        return lambda parts: batches(make(parts), schema, size=64)
 
-    words = texts.mapInArrow(to_rows(word_rows, word_schema), "shard int, block long, words binary, numbers binary")
+    words = texts.mapInArrow(to_rows(word_rows, word_schema), "shard int, block long, start long, words binary")
     table = words.repartitionById(count, "shard").mapInArrow(to_rows(encoded, row_schema), row_types)
     numbered = texts.mapInArrow(to_rows(doc_rows, row_schema), row_types)
     rows = table.unionByName(numbered).repartition(count, "block").sortWithinPartitions("block", "kind")
     return rows.mapInArrow(_in_place, "doc_id long, ids binary")
 
 
-def _pack(data: bytes) -> bytes:
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if data else b""
-
-
-def _unpack(data: bytes) -> bytes:
-    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True) if data else b""
-
-
 def _in_place(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of each document from its block's words, whose rows come before the documents."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def rows():
-        block, pending, starts, sizes, ids = None, [], None, None, None
+        block, pending = None, []
         for part in parts:
-            for at, kind, doc_id, numbers, counts, found in zip(*(column.to_pylist() for column in part.columns)):
+            for at, kind, start, doc_ids, sizes, values, places in zip(*(column.to_pylist() for column in part.columns)):
                 if at != block:
-                    block, pending, starts = at, [], None
+                    block, pending = at, []
                 if kind == 0:
-                    pending.append((np.frombuffer(numbers, "<u4"), np.frombuffer(counts, "<u4"), np.frombuffer(found, "<u4")))
+                    pending.append((start, _from_ints(sizes), _from_ints(values)))
                     continue
-                if starts is None:
-                    starts, sizes, ids = _block_table(pending, int(counts))
-                    pending = []
-                yield doc_id, _gather(starts, sizes, ids, np.frombuffer(_unpack(numbers), "<u4")).tobytes()
+                place, end = _from_ints(places), 0
+                starts, counts, ids = _block_table(pending, len(place))
+                starts, counts = starts[place], counts[place]
+                numbers = _from_ints(values)
+                for doc_id, size in zip(doc_ids, _from_ints(sizes).tolist()):
+                    yield doc_id, _gather(starts, counts, ids, numbers[end:end + size]).tobytes()
+                    end += size
 
     return batches(rows(), schema)
 
 
 def _block_table(pending: list[tuple], count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and size of every word's ids, and the ids; from parts in any order, repeated or not."""
+    """Start and size of the ids of every word of a block, and the ids; from parts in any order, repeated or not."""
     starts, sizes, at = np.full(count, -1, np.int64), np.zeros(count, np.int64), 0
-    for numbers, counts, found in pending:
-        if len(numbers) and numbers.max() >= count:
-            break
-        starts[numbers] = at + np.cumsum(counts, dtype=np.int64) - counts
-        sizes[numbers] = counts
+    for start, counts, found in pending:
+        if start + len(counts) <= count:
+            starts[start:start + len(counts)] = at + np.cumsum(counts, dtype=np.int64) - counts
+            sizes[start:start + len(counts)] = counts
         at += len(found)
     if (starts < 0).any():
         raise RuntimeError("the documents were not read alike twice; encode a written table")

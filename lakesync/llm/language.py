@@ -192,7 +192,7 @@ class Labeller:
         new = set()
         for text in texts:
             new.update(text.split())
-        self._learn(new - self.codes.keys())
+        self._learn({word for word in new if word not in self.codes})
 
     def _learn(self, new: set[bytes]) -> None:
         ordered = sorted(new, key=lambda word: (len(word), word))
