@@ -13,7 +13,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -26,9 +26,9 @@ from tokenizers import Tokenizer
 from lakesync.llm.shared import batches, partitions, text_of
 
 #: Distinct words after which a block is closed.
-BLOCK_WORDS = 200_000
+BLOCK_WORDS = 120_000
 #: Words whose ids a task of the word table keeps.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 
 #: The tokenizer's own rule for splitting lower-cased text (fixed value).
 _RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -55,9 +55,7 @@ class WordEncoder:
 
     def __init__(self, spec: str):
         content = json.loads(spec)
-        self.whole = Tokenizer.from_str(spec)
-        self.whole.no_truncation()
-        self.whole.no_padding()
+        self.spec = spec
         model, split = content["model"], (content.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
         steps = [step["type"] for step in (content.get("normalizer") or {}).get("normalizers", [])]
         self.simple = (steps == ["NFC", "Replace", "Lowercase"] and split.get("pattern") == {"Regex": _RULE}
@@ -72,6 +70,14 @@ class WordEncoder:
         self.ends[[number for piece, number in vocabulary.items() if piece.endswith("</w>")]] = True
         self.parts: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The tokenizer as it is, for words the simple rule does not cover."""
+        tokenizer = Tokenizer.from_str(self.spec)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
         split, new = [], set()
@@ -157,8 +163,8 @@ def _blocks(parts: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple]:
 
     numbers, held, ids = _Numbers(), [], []
     for part in parts:
-        for start in range(0, part.num_rows, 512):
-            few = part.slice(start, 512)
+        for start in range(0, part.num_rows, 256):
+            few = part.slice(start, 256)
             for doc_id, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
                 words = text.split()
                 held.append(np.fromiter(map(numbers.__getitem__, words), "<u4", len(words)))

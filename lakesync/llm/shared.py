@@ -102,6 +102,7 @@ def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 2048, most_byt
             held, weight = [], 0
     if held:
         yield _batch(held, schema)
+    pa.default_memory_pool().release_unused()  # the worker process lives on
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
