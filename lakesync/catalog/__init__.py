@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesync.operators.windows import instant_micros
-from lakesync.session import configure, spread
+from lakesync.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,9 +27,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str, *columns: str) -> DataFrame:
-        """Columns of a table for parsing-heavy work: see ``session.spread``."""
-        return spread(getattr(self, name).select(*columns or "*"))
+    def only(self, name: str, *columns: str) -> DataFrame:
+        """Some columns of a table, or all."""
+        return getattr(self, name).select(*columns or "*")
 
 
 def query(name: str, sql: str | None = None):

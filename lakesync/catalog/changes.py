@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.catalog import Tables, landed, query
@@ -349,6 +351,26 @@ def tree_walk(t: Tables):
                          F.array_join(F.col("path").cast("array<string>"), "/").alias("path"))
 
 
+@query("tree_cycles", """
+    SELECT 'c' || c_custkey AS page_id, prefix || c_custkey AS id, depth, position, path
+    FROM customer, (VALUES ('z', 0, 0, '0'), ('b', 0, 1, '1'), ('c', 1, 0, '1/0')) v(prefix, depth, position, path)""")
+def tree_cycles(t: Tables):
+    """Pages that list themselves and are listed by their own block, whose lists were landed twice, and a child without order."""
+    number = F.col("c_custkey").cast("string")
+
+    def child(prefix, seq, landing, below="c"):
+        payload = F.concat(F.lit(f'{{"object":"block","type":"paragraph","has_children":{str(prefix != "z").lower()},"id":"{prefix}'), number, F.lit('"}'))
+        return t.customer.select(F.concat(F.lit(below), number).alias("parent_id"), F.lit(seq).cast("int").alias("seq"),
+                                 F.lit(landing).alias("landing"), payload.alias("payload"))
+
+    children = reduce(DataFrame.unionByName, [
+        child("old", 0, 1), child("z", None, 2), child("b", 1, 2), child("c", 1, 2), child("c", 0, 2, below="b")])
+    pages = t.customer.select(F.concat(F.lit("c"), number).alias("page_id"))
+    blocks = tree.page_blocks(pages, children, landing="landing")
+    return blocks.select("page_id", F.get_json_object("payload", "$.id").alias("id"), "depth", "position",
+                         F.array_join(F.col("path").cast("array<string>"), "/").alias("path"))
+
+
 @query("page_outcomes", """
     SELECT CASE WHEN source IN ('src1', 'src2') THEN 'trashed'
                 WHEN lang = 'es' THEN 'skipped' ELSE 'walked' END AS outcome, count(*) AS n_pages

@@ -64,7 +64,7 @@ def contacts(t: Tables, edited: bool = False) -> DataFrame:
             ";", (F.col("c_custkey") + 1).cast("string"), F.lit(" "),
             F.concat(F.lit(" "), (F.col("c_custkey") + 2).cast("string")), (F.col("c_custkey") + 1).cast("string"))
                ).alias("hs_merged_object_ids"))
-    return land(t.spread("customer"), json_object(
+    return land(t.only("customer"), json_object(
         id=text("c_custkey"), createdAt=F.lit("2024-01-01T00:00:00Z"), updatedAt=iso(changed), archived=gone,
         archivedAt=F.when(gone, iso(changed)), properties=properties))
 
@@ -88,7 +88,7 @@ def deals(t: Tables) -> DataFrame:
         F.lit("USD").alias("deal_currency_code"), F.col("o_orderstatus").alias("dealstage"),
         F.lit("default").alias("pipeline"), F.unix_millis(day).cast("string").alias("closedate"),
         F.col("o_custkey").alias("hubspot_owner_id"))
-    return land(t.spread("orders"), json_object(
+    return land(t.only("orders"), json_object(
         id=text("o_orderkey"), createdAt=iso(day), updatedAt=iso(day), archived=gone,
         archivedAt=F.when(gone, iso(day)), properties=properties))
 
@@ -101,7 +101,7 @@ def issue_updated() -> Column:
 def issues(t: Tables, edited: bool = False) -> DataFrame:
     """Orders as issues, assigned to their customer; urgent ones have no reporter."""
     stamp = "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"
-    rows = t.spread("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    rows = t.only("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     summary = F.concat(F.lit("order "), text("o_orderkey"), F.lit(" v2" if edited else ""))
     fields = F.struct(
         summary.alias("summary"), F.struct(F.col("o_orderstatus").alias("name")).alias("status"),
@@ -150,7 +150,7 @@ def pages(t: Tables, edited: bool = False) -> DataFrame:
         F.lit('"created_by":{"object":"user","id":"u1"},"last_edited_by":{"object":"user","id":'), _quoted(source),
         F.lit('},'), trash, F.lit(',"parent":'), parent, F.lit(',"url":"https://ws.example.com/p'), text("doc_id"),
         F.lit('","public_url":null,"properties":'), title, F.lit("}"))
-    return land(t.spread("documents", "doc_id", "source", "lang", "n_chars"), record)
+    return land(t.only("documents", "doc_id", "source", "lang", "n_chars"), record)
 
 
 def data_sources(t: Tables) -> DataFrame:
@@ -171,7 +171,7 @@ def blocks(t: Tables, has_children: bool = False) -> DataFrame:
         F.lit(f'","has_children":{str(has_children).lower()},"in_trash":false,"last_edited_time":"'),
         iso(minutes_after_base("turn")), F.lit('","parent":{"type":"page_id","page_id":"'), text("conv_id"), F.lit('"},'),
         F.substr(body, F.lit(2)))
-    return land(t.spread("conversations"), record, text("conv_id").alias("page_id"), F.lit(0).alias("depth"),
+    return land(t.only("conversations"), record, text("conv_id").alias("page_id"), F.lit(0).alias("depth"),
                 F.col("turn").cast("int").alias("position"), "conv_id", "turn", "role")
 
 
@@ -190,7 +190,7 @@ def link_pages(t: Tables, to: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", "x").otherwise(text("l_linenumber")), F.lit('","label":'),
         _quoted(F.col("l_returnflag")), F.lit("}]"))
     target = F.concat(F.lit('{"toObjectId":'), text(to), F.lit(',"associationTypes":'), kinds, F.lit("}"))
-    lines = t.spread("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+    lines = t.only("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     pages = paged(lines.select("l_orderkey", target.alias("item")), by="l_orderkey", field="targets")
     return land(pages, F.concat(
         F.lit('{"results":[{"from":{"id":"'), text("l_orderkey"), F.lit('"},"to":['),
@@ -210,4 +210,4 @@ def documents(t: Tables, extra: bool = False) -> DataFrame:
     # a number in some documents, text in others
     mixed = F.when(F.col("l_returnflag") == "N", '"N"').otherwise(text("l_linenumber"))
     record = F.concat(F.lit('{"mixed":'), mixed, F.lit(","), F.substr(json_object(**fields), F.lit(2)))
-    return land(t.spread("lineitem"), record, "l_shipdate", "l_linestatus")
+    return land(t.only("lineitem"), record, "l_shipdate", "l_linestatus")

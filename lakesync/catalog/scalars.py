@@ -75,8 +75,13 @@ def to_amount(t: Tables):
     spelled = F.concat(
         F.when(F.col("l_linestatus") == "F", " -").otherwise(""), whole.cast("string"), F.lit("."), digits,
         F.when(F.col("l_returnflag") == "N", "50").otherwise("50000000000000000000000001"))
+    # the same number with its point moved, for every other line number
+    moved = F.concat(F.when(F.col("l_linestatus") == "F", "-").otherwise(""), F.lit("0.0"), whole.cast("string"), digits,
+                     F.when(F.col("l_returnflag") == "N", "50").otherwise("50000000000000000000000001"),
+                     F.lit("e+"), (F.length(whole.cast("string")) + 1).cast("string"))
+    spelled = F.when(F.col("l_linenumber") % 2 == 0, moved).otherwise(spelled)
     bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
-    lines = t.spread("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    lines = t.only("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_linenumber")
     landed_text = once(lines, spelled=F.concat(spelled, F.when(bad, " USD").otherwise("")))
     return landed_text.select("l_orderkey", "l_partkey", "l_suppkey", values.to_amount(F.col("spelled")).alias("amount"))
 
@@ -134,7 +139,7 @@ def json_dynamic_path(t: Tables):
     SELECT doc_id, text, substring(text, 1, 1000) AS message FROM masked""")
 def mask_text(t: Tables):
     masked = text.mask_uri(F.col("text"), _URI, host_suffixes=["example.com"])
-    return t.spread("documents", "doc_id", "text").select("doc_id", masked.alias("text")).withColumn("message", text.shortened(F.col("text"), 1000))
+    return t.only("documents", "doc_id", "text").select("doc_id", masked.alias("text")).withColumn("message", text.shortened(F.col("text"), 1000))
 
 
 @query("classify_errors", """

@@ -189,7 +189,7 @@ def doc_scan(t: Tables):
 def schema_reuse(t: Tables):
     first = landed.documents(t)
     stored = documents.read_documents(first.filter("l_linestatus = 'F'"), documents.read_schema(
-        documents.sampled_schema(first), ["mixed"], ["_id", "order_no", "shipped", "mixed"]))
+        documents.document_schema(first), ["mixed"], ["_id", "order_no", "shipped", "mixed"]))
     # the later batch has a new field; reading with the stored schema leaves it out
     later = documents.read_documents(landed.documents(t, extra=True).filter("l_linestatus <> 'F'"), stored.schema)
     return apply.upsert(stored, later, ["_id"], "shipped").select(
@@ -207,7 +207,7 @@ def prune_fields(t: Tables):
     FROM lineitem GROUP BY 1""")
 def string_fields(t: Tables):
     lines = landed.documents(t)
-    schema = documents.read_schema(documents.sampled_schema(lines), ["mixed"], documents.kept_fields(["mixed"]))
+    schema = documents.read_schema(documents.document_schema(lines), ["mixed"], documents.kept_fields(["mixed"]))
     return documents.read_documents(lines, schema).groupBy("mixed").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
@@ -218,7 +218,7 @@ def string_fields(t: Tables):
         ('flags', 'array<string>')) v(name, type)""")
 def schema_widen(t: Tables):
     lines = landed.documents(t)
-    schema = documents.read_schema(documents.sampled_schema(lines, sample_size=None))  # from every document
+    schema = documents.read_schema(documents.document_schema(lines))
     docs = documents.read_documents(lines, schema)
     counted = docs.agg(F.map_from_entries(F.array(*[
         F.struct(F.lit(f"{f.name}:{f.dataType.simpleString()}"), F.count(F.col(f.name))) for f in schema.fields])).alias("m"))
@@ -227,6 +227,34 @@ def schema_widen(t: Tables):
                         F.regexp_extract("field", "^([^:]+):(.*)$", 2).alias("type"), "n_values")
 
 
+@query("doc_rare", """
+    SELECT l_orderkey, l_partkey, l_suppkey, CAST(CASE WHEN l_partkey % 997 = 5 THEN l_quantity + 0.5 ELSE l_quantity END AS DECIMAL(38,1))::VARCHAR AS size,
+           CASE WHEN l_partkey % 997 = 5 THEN l_comment_no END AS seldom
+    FROM (SELECT *, CAST(l_orderkey AS VARCHAR) AS l_comment_no FROM lineitem)""")
+def doc_rare(t: Tables):
+    # few documents have the field, and in the same ones a number is wider than in all others
+    few = F.pmod("l_partkey", F.lit(997)) == 5
+    size = F.when(few, (F.col("l_quantity") + 0.5).cast("decimal(9,1)").cast("string")).otherwise(F.col("l_quantity").cast("int").cast("string"))
+    rest = F.when(few, F.concat(F.lit(',"seldom":"'), landed.text("l_orderkey"), F.lit('"}'))).otherwise("}")
+    lines = landed.land(t.lineitem, F.concat(F.lit('{"_id":"'), F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey"), F.lit('","size":'), size, rest))
+    docs = documents.read_documents(lines, first_schema(lines))
+    key = [F.split("_id", "-")[i].cast("bigint").alias(name) for i, name in enumerate(("l_orderkey", "l_partkey", "l_suppkey"))]
+    return docs.select(*key, F.col("size").cast("decimal(38,1)").cast("string").alias("size"), "seldom")
+
+
+@query("doc_types", """
+    SELECT 'o' || o_orderkey AS _id, epoch_us(o_orderdate) AS placed, CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,10)) AS VARCHAR) AS total,
+           o_custkey AS customer, 'a {"$oid":"x"}' AS note FROM orders""")
+def doc_types(t: Tables):
+    # as an export spells types JSON does not have; the note only looks like one
+    lines = landed.land(t.orders, F.concat(
+        F.lit('{"_id":{"$oid":"o'), landed.text("o_orderkey"), F.lit('"},"placed":{"$date":"'), landed.iso(F.col("o_orderdate").cast("timestamp")),
+        F.lit('"},"total":{"$numberDecimal":"'), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit('"},"customer":{ "$numberLong" : "'),
+        landed.text("o_custkey"), F.lit(r'"},"note":"a {\"$oid\":\"x\"}"}')))
+    docs = documents.read_documents(lines, first_schema(lines))
+    return docs.select("_id", "placed", "total", "customer", "note")
+
+
 @query("probe", "SELECT count(*) AS n_docs FROM (SELECT 1 FROM lineitem LIMIT 1)")
 def probe(t: Tables):
     return documents.probe(landed.documents(t)).agg(F.count("payload").alias("n_docs"))

@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.functions.payload import RECORD, node_at, text_at, truthy, with_record
-from lakesync.operators.dedup import newest
 from lakesync.operators.ranking import ordered_index
-from lakesync.session import checkpointed
+from lakesync.session import Scratch
 
 # Content of these belongs to another page or data source.
 NEVER_DESCEND = ("child_page", "child_database")
@@ -29,52 +28,59 @@ def descends(record: Column) -> Column:
     return truthy(node_at(record, "has_children")) & ~barred
 
 
-def child_edges(children: DataFrame, order_by: Sequence[str]) -> DataFrame:
-    """Narrow child rows: ``parent_id``, ``id``, ``position`` among siblings, ``descend``.
+def latest_lists(children: DataFrame, landing: str) -> DataFrame:
+    """Of parents whose child list was landed more than once, the list of the newest landing alone.
 
-    Positions count every listed child, repeated ones included. Payloads stay
-    behind and are joined back once the walk is done.
+    One value per parent is shuffled; the lists themselves are only filtered.
+    """
+    newest = children.groupBy(F.col("parent_id").alias("_parent")).agg(F.max(landing).alias("_newest"))
+    same = (F.col("parent_id") == F.col("_parent")) & F.col(landing).eqNullSafe(F.col("_newest"))
+    return children.join(newest, same, "left_semi")
+
+
+def numbered_children(children: DataFrame, order_by: Sequence[str], scratch: Scratch) -> DataFrame:
+    """Child rows written once: ``edge`` (a number of their own), ``parent_id``, ``id``, ``position``, ``descend``, ``payload``.
+
+    Positions count every listed child, repeated ones and those without an
+    ordering value included; equal ordering values go by id.
     """
     record = F.col(RECORD)
-    narrow = with_record(children).select(
-        "parent_id", *order_by, text_at(record, "id").alias("id"), descends(record).alias("descend"))
-    # numbering reads its input twice; payloads are parsed once
-    return ordered_index(checkpointed(narrow), order_by, within=["parent_id"])
+    parsed = with_record(children).select(
+        "parent_id", *order_by, "payload", text_at(record, "id").alias("id"), descends(record).alias("descend"))
+    placed = ordered_index(parsed, [*order_by, "id"], within=["parent_id"], number="edge", scratch=scratch)
+    return scratch.cut(placed.withColumn("position", F.col("position").cast("int")))
 
 
-def walk(roots: DataFrame, edges: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Every block reachable from each ``page_id`` of ``roots``, once per page, with ``keep`` columns of its edge.
+def walk(roots: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """Every block reachable from each ``page_id`` of ``roots``, once per page: its ``edge``, ``depth`` and ``path``.
 
-    One join per level. A block listed more than once keeps its first place in
-    reading order, which is its smallest path; an occurrence with a larger path
-    than one already found is not followed, so repeated and cyclic listings end.
+    One join per level, of narrow rows. A block listed more than once keeps its
+    first place in reading order, which is its smallest path. A place with a
+    larger path than one already found is not followed, so every walk ends,
+    also where a block is its own ancestor or lists its page.
     """
-    edges = checkpointed(edges.select(
-        F.col("parent_id").alias("_at"), "id", F.col("position").cast("int").alias("position"), "descend", *keep))
-    repeated = not edges.groupBy("id").count().filter("count > 1").isEmpty()
     key = ["page_id", "id"]
+    edges = edges.select(F.col("parent_id").alias("_at"), "id", "edge", "position", "descend")
 
     def next_level(frontier: DataFrame) -> DataFrame:
         found = frontier.join(edges, "_at").select(
-            "page_id", "id", F.col("_at").alias("parent_id"), "position", "descend", *keep,
+            "page_id", "id", F.col("_at").alias("parent_id"), "position", "descend", "edge",
             F.concat("path", F.array("position")).alias("path"))
-        return _smallest_path(found, key) if repeated else found
+        return _smallest_path(found, key)
 
     empty_path = F.array().cast("array<int>").alias("path")
-    level = checkpointed(next_level(roots.select("page_id", F.col("page_id").alias("_at"), empty_path).distinct()))
-    reached = level
+    reached = level = scratch.cut(next_level(roots.select("page_id", F.col("page_id").alias("_at"), empty_path).distinct()))
     while True:
-        level = next_level(level.filter("descend").select("page_id", F.col("id").alias("_at"), "path"))
-        if repeated:
-            known = reached.select("page_id", "id", F.col("path").alias("_known"))
-            level = (level.join(known, key, "left")
-                     .filter(F.col("_known").isNull() | (F.col("path") < F.col("_known"))).drop("_known"))
-        level = checkpointed(level)
-        if level.isEmpty():
+        found = next_level(level.filter("descend").select("page_id", F.col("id").alias("_at"), "path"))
+        known = reached.select("page_id", "id", F.col("path").alias("_known"))
+        better = scratch.cut(found.join(known, key, "left")
+                             .filter(F.col("_known").isNull() | (F.col("path") < F.col("_known"))).drop("_known"))
+        if better.isEmpty():
             return reached.withColumn("depth", F.size("path") - 1)
-        reached = reached.unionByName(level)
-        if repeated:
-            reached = checkpointed(_smallest_path(reached, key))
+        before, reached = reached, scratch.cut(_smallest_path(reached.unionByName(better), key))
+        for done in {id(before): before, id(level): level}.values():
+            scratch.drop(done)
+        level = better
 
 
 def _smallest_path(found: DataFrame, key: list[str]) -> DataFrame:
@@ -83,8 +89,16 @@ def _smallest_path(found: DataFrame, key: list[str]) -> DataFrame:
     return best.select(*key, *[F.col("_best")[c].alias(c) for c in ["path", *others]]).select(*found.columns)
 
 
-def page_blocks(roots: DataFrame, children: DataFrame, order_by: Sequence[str] = ("seq",)) -> DataFrame:
-    """Blocks of each page with payload, ready for the block mapping."""
-    placed = walk(roots, child_edges(children, order_by), keep=order_by)
-    return (placed.join(children, ["parent_id", *order_by])
+def page_blocks(roots: DataFrame, children: DataFrame, order_by: Sequence[str] = ("seq",),
+                landing: str | None = None, scratch: Scratch | None = None) -> DataFrame:
+    """Blocks of each page with payload, ready for the block mapping.
+
+    ``landing`` names a column that grows with each landing of a child list;
+    without it all rows of a parent are one list. Payloads are met again by
+    the number of their row, so nothing hangs on ordering values being unique.
+    """
+    scratch = scratch or Scratch(children.sparkSession)
+    listed = numbered_children(latest_lists(children, landing) if landing else children, order_by, scratch)
+    placed = walk(roots, listed.drop("payload"), scratch)
+    return (placed.join(listed.select("edge", "payload"), "edge")
             .select("page_id", "depth", "position", "path", "parent_id", "payload"))

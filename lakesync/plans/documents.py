@@ -1,4 +1,4 @@
-"""One collection to one table, schema sampled on the first run and reused afterwards."""
+"""One collection to one table, schema taken on the first run and reused afterwards."""
 
 from __future__ import annotations
 
@@ -13,33 +13,42 @@ from lakesync.plans.modes import started, wants_full
 from lakesync.plans.store import TableStore
 from lakesync.plans.tables import stored_watermark, table_mode
 from lakesync.schemas import TableSpec
-from lakesync.sources.documents import ID, kept_fields, probe, read_documents, read_schema, sampled_schema
+from lakesync.sources.documents import (
+    EXTRA, ID, document_schema, kept_fields, probe, read_documents, read_schema, with_room)
 
 
 def first_schema(lines: DataFrame, string_fields: Sequence[str] = (), fields: Sequence[str] = (),
-                 watermark_field: str | None = None, sample_size: int = 10_000) -> T.StructType:
-    """Read schema from a sample; the watermark is a time, which JSON can only spell as text."""
+                 watermark_field: str | None = None, sample_size: int | None = None) -> T.StructType:
+    """Read schema of all documents, the watermark being a time whatever its spelling.
+
+    With ``sample_size`` numbers get room for any other number and ``_extra``
+    holds fields the sample did not show.
+    """
     kept = kept_fields(fields, string_fields, watermark_field)
-    schema = read_schema(sampled_schema(lines, sample_size), string_fields, kept)
+    found = document_schema(lines, sample_size)
+    schema = read_schema(with_room(found) if sample_size is not None else found, string_fields, kept)
+    extra = [T.StructField(EXTRA, T.StringType())] if sample_size is not None and not kept else []
     return T.StructType([
         T.StructField(f.name, T.TimestampType() if f.name == watermark_field else f.dataType, True)
-        for f in schema.fields])
+        for f in schema.fields] + extra)
 
 
 def sync_documents(store: TableStore, lines: DataFrame, table: str, mode: str | None = None,
                    schema: T.StructType | None = None, string_fields: Sequence[str] = (),
-                   fields: Sequence[str] = (), sample_size: int = 10_000, watermark_field: str | None = None,
+                   fields: Sequence[str] = (), sample_size: int | None = None, watermark_field: str | None = None,
                    overlap_seconds: int = 300, now: datetime | None = None) -> dict[str, Any]:
     """First run: the whole collection. Later: documents whose watermark moved, merged on ``_id``.
 
-    Without a watermark field every run reads everything. A full run samples
-    the schema again and replaces the table.
+    Without a watermark field every run reads everything. A full run takes the
+    schema anew and replaces the table; it needs a document, a later run that
+    finds none writes nothing.
     """
     full = wants_full(mode)
-    if probe(lines).isEmpty():
-        raise ValueError("the collection holds no document")
     store.ensure_schema()
     exists = store.exists(table)
+    empty = probe(lines).isEmpty()
+    if empty and (full or not exists):
+        raise ValueError("the collection holds no document")
     since = None
     if exists and not full:
         schema = store.read(table).schema
@@ -48,12 +57,13 @@ def sync_documents(store: TableStore, lines: DataFrame, table: str, mode: str |
     elif schema is None:
         schema = first_schema(lines, string_fields, fields, watermark_field, sample_size)
     until = started(now) if watermark_field else None
-    docs = read_documents(lines, schema, watermark_field, since, until, overlap_seconds)
     columns = tuple((f.name, f.dataType.simpleString()) for f in schema.fields)
     spec = TableSpec(table, columns, key=(ID,), order_by=watermark_field or ID)
-    if full or not exists:
-        store.replace_all(spec, docs, dedup=False)
-    else:
-        store.upsert(spec, docs)
+    if not empty:
+        docs = read_documents(lines, schema, watermark_field, since, until, overlap_seconds)
+        if full or not exists:
+            store.replace_all(spec, docs, dedup=False)
+        else:
+            store.upsert(spec, docs)
     return {"table": store.name(table), "mode": table_mode(store, full, exists, since),
             "since": since.isoformat() if since else None, "rows_in_table": store.read(table).count()}

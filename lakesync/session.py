@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,16 +18,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when an input comes in far fewer splits than there are cores.
-
-    For work that is bound by parsing, where one split would be one busy task.
-    Inputs with enough splits, which is any large one, are not moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor reaches, for checkpoints of frames and streams."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,13 +28,33 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back.
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark keeps it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
 
-    Survives executor loss, and pins row order and partitioning for callers
-    that number rows by partition.
+class Scratch:
+    """Tables written to the shared folder: lineage ends there, and a lost executor costs only a re-read.
+
+    Tables of loops are dropped as soon as the next one is written; the rest
+    stay for the frames that read them and go with ``drop_all``.
     """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+        self.root = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{len(self.paths)}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        back._scratch_path = path
+        return back
+
+    def drop(self, df: DataFrame) -> None:
+        remove(self.spark, df._scratch_path)
+
+    def drop_all(self) -> None:
+        remove(self.spark, self.root)

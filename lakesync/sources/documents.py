@@ -1,11 +1,12 @@
-"""Landed documents: sampled schema, widened types, typed reads."""
+"""Landed documents: schema of all of them, widened types, typed reads."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,27 +16,62 @@ from lakesync.operators.windows import closed
 ID = "_id"
 
 
-def sampled_schema(lines: DataFrame, sample_size: int | None = 10_000) -> T.StructType:
-    """Schema of the first ``sample_size`` documents, or of all; a field of mixed types is read as text."""
-    # the row limit is the feature: it bounds how much is read to guess the types
-    sample = lines if sample_size is None else lines.limit(sample_size)
-    ddl = sample.select(F.parse_json("payload").alias("doc")).agg(F.schema_of_variant_agg("doc")).first()[0]
-    inferred = T._parse_datatype_string(ddl.replace("OBJECT<", "STRUCT<"))
+# How exported documents spell types JSON does not have.
+_EXPORTED = {"$oid": T.StringType(), "$date": T.TimestampType(), "$numberDecimal": T.DecimalType(38, 10), "$numberLong": T.LongType(),
+             "$numberInt": T.IntegerType(), "$numberDouble": T.DoubleType()}
+EXTRA = "_extra"
+
+
+def plain_json(payload: Column) -> Column:
+    """A document with exported types as bare values: ids and dates as text, numbers as numbers.
+
+    Quotes inside JSON text are escaped, so a text that looks like such a type
+    is left alone.
+    """
+    value = F.regexp_replace(payload, r'\{\s*"\$(?:oid|date)"\s*:\s*("(?:[^"\\]|\\.)*")\s*\}', "$1")
+    value = F.regexp_replace(value, r'\{\s*"\$number(?:Decimal|Long|Int|Double)"\s*:\s*"([-+0-9.eE]+)"\s*\}', "$1")
+    return F.when(payload.contains('"$'), value).otherwise(payload)
+
+
+def document_schema(lines: DataFrame, sample_size: int | None = None) -> T.StructType:
+    """Schema of all documents; a field of mixed types is read as text, one of an exported type as that type.
+
+    Types are merged per task and then once. With ``sample_size`` about so many
+    documents, drawn from all of them, are looked at; ``read_documents`` then
+    keeps what the sample did not show in ``_extra``.
+    """
+    if sample_size is not None:
+        share = min(1.0, sample_size / max(1, lines.count()))
+        lines = lines.sample(fraction=share, seed=0) if share < 1 else lines
+    ddl = lines.select(F.parse_json("payload").alias("doc")).agg(F.schema_of_variant_agg("doc")).first()[0]
+    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], ddl)
+    inferred = T.StructType.fromDDL(f"doc {ddl}")["doc"].dataType
     if not isinstance(inferred, T.StructType):
         raise ValueError("no document to take a schema from")
-    return _without_unknown(inferred)
+    return _known(inferred)
 
 
-def _without_unknown(kind: T.DataType) -> T.DataType:
+def _known(kind: T.DataType) -> T.DataType:
     if isinstance(kind, T.StructType):
-        return T.StructType([T.StructField(f.name, _without_unknown(f.dataType)) for f in kind.fields])
+        if len(kind) == 1 and kind.names[0] in _EXPORTED:
+            return _EXPORTED[kind.names[0]]
+        return T.StructType([T.StructField(f.name, _known(f.dataType)) for f in kind.fields])
     if isinstance(kind, T.ArrayType):
-        return T.ArrayType(_without_unknown(kind.elementType))
+        return T.ArrayType(_known(kind.elementType))
     return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
 
 
+def with_room(kind: T.DataType) -> T.DataType:
+    """Types for documents nobody has looked at: any number fits where the sample had one of some kind."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, with_room(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(with_room(kind.elementType))
+    return T.DecimalType(38, 10) if isinstance(kind, (T.IntegerType, T.LongType, T.DecimalType)) else kind
+
+
 def widen(kind: T.DataType) -> T.DataType:
-    """A type that also holds values the sample did not show: wide decimals, longs, all nullable."""
+    """A type that also holds values of later runs: wide decimals, longs, all nullable."""
     if isinstance(kind, T.StructType):
         return T.StructType([T.StructField(f.name, widen(f.dataType), True, f.metadata) for f in kind.fields])
     if isinstance(kind, T.ArrayType):
@@ -58,7 +94,7 @@ def read_schema(inferred: T.StructType, string_fields: Sequence[str] = (), field
     """Schema to read with: widened, pruned to ``fields`` when given, mixed-type fields as text."""
     unknown = sorted((set(string_fields) | set(fields)) - set(inferred.names))
     if unknown:
-        raise ValueError("fields not in the sampled schema: " + ", ".join(unknown))
+        raise ValueError("fields no document has: " + ", ".join(unknown))
     wide = widen(inferred)
     return T.StructType([
         T.StructField(f.name, T.StringType() if f.name in string_fields else f.dataType, True, f.metadata)
@@ -72,11 +108,18 @@ def read_documents(lines: DataFrame, schema: T.StructType, watermark_field: str
     """Documents typed exactly as ``schema`` says, narrowed to the watermark window when there is one.
 
     A value that does not fit its type fails the job; name the field as a text field.
+    A schema with ``_extra`` also keeps, as JSON text, the fields it does not name.
     """
     if watermark_field is None and (since is not None or until is not None):
         raise ValueError("since and until need a watermark field")
-    typed = once(lines.select("payload"), _doc=F.from_json("payload", schema, {"mode": "FAILFAST"}))
-    docs = typed.select("_doc.*")
+    named = T.StructType([f for f in schema.fields if f.name != EXTRA])
+    typed = once(lines.select("payload"), _plain=plain_json(F.col("payload")))
+    typed = once(typed, _doc=F.from_json("_plain", named, {"mode": "FAILFAST"}))
+    columns = [F.col("_doc")[name].alias(name) for name in named.names]
+    if EXTRA in schema.names:
+        others = F.map_filter(F.from_json("_plain", "map<string,string>"), lambda name, _: ~name.isin(named.names))
+        columns.append(F.when(F.size(others) > 0, F.to_json(others)).alias(EXTRA))
+    docs = typed.select(*columns)
     return closed(docs, watermark_field, since, until, overlap_seconds) if watermark_field else docs
 
 

@@ -24,16 +24,20 @@ def instants(spark, expression, inputs):
     return [None if m is None else datetime(1970, 1, 1, tzinfo=UTC) + timedelta(microseconds=m) for m in micros]
 
 
-def test_amounts(spark):
-    cases = {
-        "1234.5": "1234.500000", "  42  ": "42.000000", "1e3": "1000.000000", "1.5E+2": "150.000000",
-        "1.1234567": "1.123457", "-0.0000004": "0.000000", "9" * 32: "9" * 32 + ".000000",
-        "2.0000025": "2.000002", "2.0000035": "2.000004", "-2.0000025": "-2.000002", "-2.0000035": "-2.000004",
-        "2.00000250000000000000000001": "2.000003", "1_000.5": "1000.500000", ".5": "0.500000", "7.": "7.000000",
-        "9" * 31 + ".0000005": "9" * 31 + ".000000", "9" * 31 + ".0000015": "9" * 31 + ".000002",
-    }
-    assert evaluate(spark, values.to_amount, list(cases)) == [Decimal(v) for v in cases.values()]
-    bad = ["1e40", "1" * 33, "9" * 32 + ".9999999", "NaN", "Infinity", "-inf", "abc", "", "  ", None, "true", ".", "-"]
+def test_amounts_of_every_spelling(spark):
+    """One number spelled in many ways, and the nearest texts that are no number."""
+    for sign in ("", "-", "+"):
+        digits = "70350125"
+        forms = [f" {sign}{digits[:k]}.{digits[k:]}{mark}{k0:+d}" for k in range(1, 8) for mark in "eE" for k0 in (5 - k, 12 - k)]
+        forms += [f"{sign}70350.125", f"{sign}70_350.125000\t".strip(), f"{sign}.70350125e5", f"{sign}0000070350.1250", f"{sign}70350125e-3", f"{sign}7035012500000.e-8"]
+        want = [Decimal(f.strip().replace("_", "")).quantize(Decimal("0.000001")) for f in forms]
+        assert evaluate(spark, values.to_amount, forms) == want
+    tie = {"4.0000005e-0": "4.000000", "40000015e-7": "4.000002", "4.00000050000000000000000000000001e0": "4.000001",
+           "2.5000000000000000000001e-6": "0.000003", "1234567890123456789012.0000005e0": "1234567890123456789012.000000",
+           "5e-7": "0.000000", "15e-7": "0.000002", "1e-400": "0.000000", "0e999999999999": "0.000000", "8" * 32: "8" * 32 + ".000000",
+           "8" * 31 + "e1": "8" * 31 + "0.000000"}
+    assert evaluate(spark, values.to_amount, list(tie)) == [Decimal(v) for v in tie.values()]
+    bad = ["e5", "1e", "1e+", "1e5.0", "--1", "1 2", "0x1", "inf", "nan", "", " ", ".", "+", None, "1e33", "8" * 33, "1e999999999999", "9" * 32 + ".9999995"]
     assert evaluate(spark, values.to_amount, bad) == [None] * len(bad)
 
 
@@ -41,7 +45,7 @@ def test_amounts(spark):
 @given(st.lists(st.decimals(allow_nan=False, allow_infinity=False, places=None,
                             min_value=-(10 ** 30), max_value=10 ** 30), min_size=20, max_size=40))
 def test_amounts_match_decimal_rounding(spark, numbers):
-    plain = [format(n, "f") for n in numbers]
+    plain = [format(n, "f") if i % 2 else format(n, "E") for i, n in enumerate(numbers)]
     exact = Context(prec=400, rounding=ROUND_HALF_EVEN)
     expected = [exact.quantize(Decimal(t), Decimal("0.000001")) for t in plain]
     wrong = [c for c in zip(plain, evaluate(spark, values.to_amount, plain), expected) if c[1] != c[2]]

@@ -1,5 +1,6 @@
 """Operators on small fixtures, with expected rows worked out by hand or by plain Python."""
 
+import json
 import random
 from datetime import datetime, timezone
 
@@ -160,11 +161,31 @@ def reference_walk(children, root):
     return out
 
 
-def test_walk_is_depth_first(spark):
-    children = {"page": [block("a", has_children=True), block("b")], "a": [block("a1"), block("a2", has_children=True)],
-                "a2": [block("a21")]}
-    assert walk(spark, children) == [("page", "a", 0, 0), ("page", "a1", 1, 0), ("page", "a2", 1, 1),
-                                     ("page", "a21", 2, 0), ("page", "b", 0, 1)]
+def test_every_block_of_a_full_tree_has_its_place(spark):
+    # a node is named by its path, so order, depth and position can be read off its name
+    children, names = {}, ["t"]
+    for name in names:
+        if len(name) < 4:
+            below = [name + digit for digit in "012"]
+            children[name] = [block(b, has_children=len(b) < 4) for b in below]
+            names += below
+    expected = sorted(("t", n, len(n) - 2, int(n[-1])) for n in names if n != "t")
+    assert walk(spark, children, ["t"]) == expected
+
+
+def test_walk_ends_when_a_page_is_listed_below_itself(spark):
+    children = {"page": [block("mid", has_children=True)], "mid": [block("page", has_children=True)]}
+    assert walk(spark, children) == [("page", "mid", 0, 0), ("page", "page", 1, 0)]
+
+
+def test_lists_landed_twice_and_children_without_order(spark):
+    rows = [("p", None, 2, block("n")), ("p", 0, 2, block("x")), ("p", 0, 2, block("y")), ("p", 0, 1, block("gone")), ("q", 5, 1, block("w"))]
+    df = spark.createDataFrame(rows, "parent_id string, seq int, landing int, payload string")
+    pages = spark.createDataFrame([("p",), ("q",)], "page_id string")
+    found = tree.page_blocks(pages, df, landing="landing").withColumn("id", F.get_json_object("payload", "$.id"))
+    assert sorted((r["page_id"], r["position"], r["id"]) for r in found.collect()) == [("p", 0, "n"), ("p", 1, "x"), ("p", 2, "y"), ("q", 0, "w")]
+    whole = tree.page_blocks(pages, df).withColumn("id", F.get_json_object("payload", "$.id"))
+    assert sorted(r["position"] for r in whole.where("page_id = 'p'").collect()) == [0, 1, 2, 3]
 
 
 def test_walk_stops_at_other_pages_references_and_leaves(spark):
@@ -275,35 +296,53 @@ def test_changes_skip_partial_objects(spark):
     assert listing.changes_since(feed, "page", at(6), 60).count() == 1
 
 
-def test_widened_schema():
+def test_read_schema_leaves_room():
     from pyspark.sql import types as T
-    inferred = T.StructType.fromDDL(
-        "_id string not null, price decimal(5,2), year int, released timestamp, awards struct<wins int>, "
-        "scores array<decimal(3,1)>, attrs map<string,int>, exact decimal(20,12)")
-    expected = T.StructType.fromDDL(
-        "_id string, price decimal(38,10), year bigint, released timestamp, awards struct<wins bigint>, "
-        "scores array<decimal(38,10)>, attrs map<string,bigint>, exact decimal(38,12)")
-    assert documents.read_schema(inferred) == expected
-    assert documents.read_schema(inferred, ["year"], ["_id", "year"]).simpleString() == "struct<_id:string,year:string>"
-    with pytest.raises(ValueError, match="nope"):
-        documents.read_schema(inferred, ["nope"])
-    assert documents.kept_fields(["a", "b"], ["b", "c"], "w") == ["_id", "a", "b", "c", "w"]
-    assert documents.kept_fields([], ["c"], "w") == []
-
-
-def test_sampled_schema_and_typed_read(spark):
-    lines = frame(spark, [('{"_id":"1","n":1,"mixed":1,"s":{"d":1.25},"l":[1,2]}',),
-                          ('{"_id":"2","n":null,"mixed":"x","s":null,"l":[],"o":null}',)], "payload string")
-    schema = documents.read_schema(documents.sampled_schema(lines))
-    assert {f.name: f.dataType.simpleString() for f in schema.fields} == {
-        "_id": "string", "n": "bigint", "mixed": "string", "s": "struct<d:decimal(38,10)>", "l": "array<bigint>", "o": "string"}
-    rows = documents.read_documents(lines, schema).orderBy("_id").collect()
-    assert [r["mixed"] for r in rows] == ["1", "x"] and rows[0]["l"] == [1, 2]
-    bad = frame(spark, [('{"_id":"3","n":"text"}',)], "payload string")
+    for scale, wide in ((0, 10), (10, 10), (11, 11), (38, 38)):
+        assert documents.widen(T.DecimalType(38, scale)) == T.DecimalType(38, wide)
+    nested = T.StructType.fromDDL("_id string not null, a array<struct<k map<string, array<int>>, f float>> not null, b boolean")
+    assert documents.read_schema(nested).simpleString() == "struct<_id:string,a:array<struct<k:map<string,array<bigint>>,f:float>>,b:boolean>"
+    assert all(f.nullable for f in documents.read_schema(nested).fields)
+    assert documents.read_schema(nested, ["a"], ["a"]).simpleString() == "struct<a:string>"
+    with pytest.raises(ValueError, match="missing"):
+        documents.read_schema(nested, fields=["b", "missing"])
+    assert documents.kept_fields(["x"], ["y", "x"], "z") == ["_id", "x", "y", "z"] and documents.kept_fields([], ["y"], "z") == []
+
+
+def test_schema_of_every_document(spark):
+    few = [(json.dumps({"_id": "late", "n": 2.5, "rare": {"deep": [1, None]}, "OBJECT<x": True}),)]
+    lines = frame(spark, [(json.dumps({"_id": str(i), "n": i, "m": i if i % 2 else "odd", "none": None}),) for i in range(300)] + few, "payload string")
+    found = documents.read_schema(documents.document_schema(lines))
+    assert {f.name: f.dataType.simpleString() for f in found.fields} == {
+        "_id": "string", "n": "decimal(38,10)", "m": "string", "none": "string", "rare": "struct<deep:array<bigint>>", "OBJECT<x": "boolean"}
+    late = documents.read_documents(lines, found).where("_id = 'late'").first()
+    assert float(late["n"]) == 2.5 and late["rare"]["deep"] == [1, None]
     with pytest.raises(Exception):
-        documents.read_documents(bad, schema).collect()
+        documents.read_documents(frame(spark, [('{"n":"text"}',)], "payload string"), found).collect()
     with pytest.raises(ValueError):
-        documents.read_documents(lines, schema, since=at(1))
+        documents.read_documents(lines, found, since=at(1))
+
+
+def test_a_sample_keeps_what_it_did_not_show(spark):
+    from lakesync.plans.documents import first_schema
+
+    seen = frame(spark, [('{"_id":"1","n":1}',)], "payload string")
+    schema = first_schema(seen, sample_size=10)
+    assert schema.names == ["_id", "n", "_extra"]
+    later = frame(spark, [('{"_id":"2","n":2.5,"new":{"a":[1]},"t":"x"}',), ('{"_id":"3","n":3}',)], "payload string")
+    rows = {r["_id"]: r for r in documents.read_documents(later, schema).collect()}
+    assert float(rows["2"]["n"]) == 2.5 and json.loads(rows["2"]["_extra"]) == {"new": '{"a":[1]}', "t": "x"} and rows["3"]["_extra"] is None
+
+
+def test_exported_types(spark):
+    from pyspark.sql import types as T
+
+    lines = frame(spark, [('{"_id":{"$oid":"64ab"},"at":{"$date":"2026-02-03T04:05:06.007Z"},"list":[{"$numberLong":"7"}],"d":{"$numberDecimal":"1.25"},"t":"{\\"$oid\\":1}"}',)], "payload string")
+    schema = documents.document_schema(lines)
+    assert schema.simpleString() == "struct<_id:string,at:timestamp,d:decimal(38,10),list:array<bigint>,t:string>"
+    row = documents.read_documents(lines, schema).withColumn("at", F.unix_micros("at")).first()
+    assert (row["_id"], row["at"], row["list"], float(row["d"]), row["t"]) == ("64ab", 1770091506007000, [7], 1.25, '{"$oid":1}')
+    assert isinstance(schema["at"].dataType, T.TimestampType)
 
 
 def test_newest_counted_agrees_with_newest(spark):
