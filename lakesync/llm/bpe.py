@@ -11,6 +11,7 @@ Blanks separate words and never become part of a piece, so the ids of a text are
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -18,6 +19,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,10 +27,10 @@ from tokenizers import Tokenizer
 
 from lakesync.llm.shared import batches, partitions, text_of
 
-#: Distinct words after which a block is closed.
-BLOCK_WORDS = 120_000
-#: Words whose ids a task of the word table keeps.
-KEPT_WORDS = 100_000
+#: Bytes of text after which a block is closed.
+BLOCK_BYTES = 6_000_000
+#: Words and word parts whose ids a task of the word table keeps.
+KEPT_WORDS = 300_000
 
 #: The tokenizer's own rule for splitting lower-cased text (fixed value).
 _RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -111,17 +113,10 @@ class WordEncoder:
 
 @lru_cache(maxsize=2)
 def _encoder(spec: str) -> WordEncoder:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     return WordEncoder(spec)
 
 
-class _Numbers(dict):
-    """Numbers words in order of first sight."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 def _ints(values: np.ndarray) -> bytes:
     """Unsigned 32-bit integers, byte by byte of their value and compressed: small ones take little room."""
     data = np.ascontiguousarray(values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T).tobytes()
@@ -139,19 +134,20 @@ def _from_ints(data: bytes) -> np.ndarray:
 def _blocks(parts: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple]:
     """(block, words by shard, place of each number among those words, ids of documents, their sizes, their numbers).
 
-    The words of a block are ordered by shard and then by themselves. Numbers go by how often a word occurs, which
-    makes most of them small. A block is named by a hash of its words.
+    Numbers go by how often a word occurs, which makes most of them small. A block is named by a hash of its words.
     """
 
     def closed():
-        words = list(numbers)
-        flat = np.concatenate(held) if held else np.empty(0, "<u4")
+        split = pc.ascii_split_whitespace(pa.concat_arrays([part.column(1) for part in held]))
+        real = np.asarray(pc.binary_length(split.values)) > 0  # blanks at the ends of a text give empty words
+        sizes = np.diff(np.concatenate(([0], np.cumsum(real)))[np.asarray(split.offsets)]).astype("<u4")
+        coded = split.values.filter(pa.array(real)).dictionary_encode()
+        words, flat = coded.dictionary.cast(pa.binary()).to_pylist(), np.asarray(coded.indices)
         often = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
         number = np.empty(len(words), "<u4")
         number[often] = np.arange(len(words), dtype="<u4")
         shard = np.fromiter(map(crc32, words), np.uint32, len(words)) % np.uint32(shards)
-        order = sorted(range(len(words)), key=words.__getitem__)
-        order = np.array(order, np.int64)[np.argsort(shard[order], kind="stable")] if words else np.empty(0, np.int64)
+        order = np.argsort(shard, kind="stable")
         place = np.empty(len(words), "<u4")
         place[number[order]] = np.arange(len(words), dtype="<u4")
         by_shard, at = [], 0
@@ -159,19 +155,21 @@ def _blocks(parts: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple]:
             by_shard.append((int(shard[chosen[0]]), at, [words[i] for i in chosen.tolist()]))
             at += len(chosen)
         block = xxhash.xxh3_64_intdigest(b"\n".join(words)) - (1 << 63)
-        return block, by_shard, place, ids, np.array([len(one) for one in held], "<u4"), number[flat]
+        return block, by_shard, place, [i for part in held for i in part.column(0).to_pylist()], sizes, number[flat]
 
-    numbers, held, ids = _Numbers(), [], []
+    held, weight = [], 0
     for part in parts:
-        for start in range(0, part.num_rows, 256):
-            few = part.slice(start, 256)
-            for doc_id, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
-                words = text.split()
-                held.append(np.fromiter(map(numbers.__getitem__, words), "<u4", len(words)))
-                ids.append(doc_id)
-                if len(numbers) >= BLOCK_WORDS or len(held) >= 20_000:
-                    yield closed()
-                    numbers, held, ids = _Numbers(), [], []
+        ends = np.cumsum(np.asarray(pc.binary_length(part.column(1)), np.int64))
+        begin = 0
+        while begin < part.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + BLOCK_BYTES - weight, side="right")))
+            held.append(part.slice(begin, end - begin))
+            weight += int(ends[end - 1]) - before
+            begin = end
+            if weight >= BLOCK_BYTES or begin < part.num_rows:
+                yield closed()
+                held, weight = [], 0
     if held:
         yield closed()
 
@@ -184,7 +182,7 @@ def encode(docs: DataFrame, spec: str) -> DataFrame:
     mixing them up.
     """
     count = partitions(docs.sparkSession)
-    texts = docs.select("doc_id", text_of().cast("binary").alias("text"))
+    texts = docs.select("doc_id", text_of().alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(spec)  # the tokenizer file, whose size is fixed
     word_schema = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("words", pa.binary())])
     row_schema = pa.schema([("block", pa.int64()), ("kind", pa.int8()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())),

@@ -8,7 +8,7 @@ is the least value in a sliding window, kept in a monotone queue, so a place cos
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from zlib import crc32
@@ -40,30 +40,29 @@ def padding(size: int, length: int) -> int:
     return 0 if size & (size - 1) == 0 else length - size
 
 
-def cuts(places: np.ndarray, penalties: np.ndarray, costs: Costs) -> list[int]:
-    """Places where sequences end, the last one included; ``places`` ascend from above 0 and lie at most a length apart."""
-    length, total = costs.length, [0.0]
-    spots, before = [0, *places.tolist()], [0] * (len(places) + 1)
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # (cost so far + place, number), ascending in both
-    where = {0: 0}
+def cuts(places: np.ndarray, penalties: np.ndarray, costs: Costs, rest: Callable[[int], int]) -> list[int]:
+    """Places where whole sequences end; what is left after the last one costs ``rest`` of its size.
+
+    ``places`` ascend from above 0 and lie at most a length apart.
+    """
+    length = costs.length
+    spots, before, total = [0, *places.tolist()], [0] * (len(places) + 1), [0]
+    queue: deque[tuple[int, int, int]] = deque([(0, 0, 0)])  # (cost so far + place, place, number), ascending in all
     for number, (spot, penalty) in enumerate(zip(spots[1:], penalties.tolist()), 1):
-        while spot - spots[queue[0][1]] > length:
+        least = spot - length
+        while queue[0][1] < least:
             queue.popleft()
-        value, start = queue[0]
-        best = value + length - spot
-        for size in (length, length >> 1, length >> 2):  # sequences that need no padding
-            other = where.get(spot - size)
-            if other is not None and total[other] < best:
-                best, start = total[other], other
-        best += penalty
-        total.append(best)
-        before[number] = start
-        where[spot] = number
-        value = best + spot
+        first = queue[0]
+        before[number] = first[2]
+        value = first[0] + length + penalty  # the cost of a sequence that ends here, + spot
+        total.append(value - spot)
         while queue and queue[-1][0] >= value:
             queue.pop()
-        queue.append((value, number))
-    found, number = [], len(places)
+        queue.append((value, spot, number))
+    last = len(spots) - 1
+    first = int(np.searchsorted(spots, spots[-1] - length))
+    number = min(range(last, first - 1, -1), key=lambda n: total[n] + rest(spots[-1] - spots[n]))
+    found = []
     while number:
         found.append(spots[number])
         number = before[number]
@@ -89,10 +88,14 @@ def candidates(held: list[tuple], ends: np.ndarray, costs: Costs) -> tuple[np.nd
 def tail(size: int, costs: Costs) -> list[int]:
     """Sizes the last stretch is split into: powers of two, unless padding it costs less than the cuts."""
     if padding(size, costs.length) <= costs.inside * (size.bit_count() - 1):
-        return [size]
+        return [size] if size else []
     return [1 << bit for bit in range(size.bit_length() - 1, -1, -1) if size >> bit & 1]
 
 
+def tail_cost(size: int, costs: Costs) -> int:
+    return min(padding(size, costs.length), costs.inside * max(0, size.bit_count() - 1))
+
+
 def sequences(rows: Iterator[tuple], ends: np.ndarray, costs: Costs) -> Iterator[list[tuple]]:
     """Pieces (doc_id, start, ids, doc_tokens) of one sequence after another, from (doc_id, ids) in order."""
     held, size = [], 0  # (doc_id, start, doc_tokens, ids)
@@ -113,9 +116,11 @@ def sequences(rows: Iterator[tuple], ends: np.ndarray, costs: Costs) -> Iterator
         return out, list(parts)
 
     def run(parts: list[tuple], last: bool) -> tuple[list[list[tuple]], list[tuple]]:
-        found = cuts(*candidates(parts, ends, costs), costs)
-        begin = found[-2] if len(found) > 1 else 0
-        found = found[:-1] + ((begin + np.cumsum(tail(found[-1] - begin, costs))).tolist() if last else [])
+        places, penalties = candidates(parts, ends, costs)
+        found = cuts(places, penalties, costs, lambda size: tail_cost(size, costs) if last else 0)
+        if last:
+            begin = found[-1] if found else 0
+            found += (begin + np.cumsum(tail(int(places[-1]) - begin, costs), dtype=np.int64)).tolist()
         return taken(found, parts)
 
     for doc_id, ids in rows:

@@ -11,25 +11,26 @@ from tests.llm.brute import check_pieces
 from tests.llm.test_bpe import HARD, ids_of
 
 
-def best_cost(places, penalties, costs):
+def best_cost(places, penalties, costs, rest):
     """All ways to cut, by the plain recurrence."""
-    spots, total = [0, *places], [0.0]
+    spots, total = [0, *places], [0]
     for i in range(1, len(spots)):
-        sizes = [(j, spots[i] - spots[j]) for j in range(i) if spots[i] - spots[j] <= costs.length]
-        total.append(min(total[j] + (0 if size in (costs.length, costs.length // 2, costs.length // 4) else costs.length - size) for j, size in sizes) + penalties[i - 1])
-    return total[-1]
+        total.append(min(total[j] + costs.length - (spots[i] - spots[j]) for j in range(i) if spots[i] - spots[j] <= costs.length) + penalties[i - 1])
+    return min(total[j] + rest(spots[-1] - spots[j]) for j in range(len(spots)) if spots[-1] - spots[j] <= costs.length)
 
 
 def test_cuts_cost_no_more_than_the_best():
     costs, rng = packing.Costs(length=64, sentence=3, inside=9), random.Random(3)
-    for _ in range(60):
-        places = np.cumsum([rng.randint(1, 40) for _ in range(rng.randint(1, 40))])
-        penalties = np.array([rng.choice([0, 3, 9]) for _ in places])
-        ends = packing.cuts(places, penalties, costs)
-        assert ends[-1] == places[-1] and all(b - a <= costs.length for a, b in zip([0, *ends], ends))
-        penalty = dict(zip(places.tolist(), penalties.tolist()))
-        cost = sum(penalty[b] + (0 if b - a in (64, 32, 16) else 64 - (b - a)) for a, b in zip([0, *ends], ends))
-        assert cost == best_cost(places.tolist(), penalties.tolist(), costs)
+    for rest in (lambda size: 0, lambda size: packing.tail_cost(size, costs)):
+        for _ in range(60):
+            places = np.cumsum([rng.randint(1, 40) for _ in range(rng.randint(1, 40))])
+            penalties = np.array([rng.choice([0, 3, 9]) for _ in places])
+            ends = packing.cuts(places, penalties, costs, rest)
+            assert all(b - a <= costs.length for a, b in zip([0, *ends], ends))
+            penalty = dict(zip(places.tolist(), penalties.tolist()))
+            left = int(places[-1]) - (ends[-1] if ends else 0)
+            cost = sum(penalty[b] + 64 - (b - a) for a, b in zip([0, *ends], ends)) + rest(left)
+            assert left <= costs.length and cost == best_cost(places.tolist(), penalties.tolist(), costs, rest)
 
 
 def test_long_and_short_documents_in_runs(monkeypatch):
