@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakesync.llm.shared import batches, partitions, text_of
+from lakesync.llm.shared import batches, partitions, text_of, utf8
 
 #: Bytes of text after which a block is closed.
 BLOCK_BYTES = 6_000_000
@@ -62,7 +62,8 @@ class WordEncoder:
         steps = [step["type"] for step in (content.get("normalizer") or {}).get("normalizers", [])]
         self.simple = (steps == ["NFC", "Replace", "Lowercase"] and split.get("pattern") == {"Regex": _RULE}
                        and model.get("end_of_word_suffix") == "</w>")
-        self.special = [token["content"] for token in content["added_tokens"]]
+        special = [re.escape(token["content"]) for token in content["added_tokens"]]
+        self.special = re.compile("|".join(special) if special else r"(?!)")
         self.letters = _byte_letters()
         bare = {**content, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None,
                 "truncation": None, "padding": None, "added_tokens": []}
@@ -85,7 +86,7 @@ class WordEncoder:
         split, new = [], set()
         for word in words:
             text = word.decode("utf-8", "replace")
-            if self.simple and _SIMPLE.match(text) and not any(token in text for token in self.special):
+            if self.simple and _SIMPLE.match(text) and not self.special.search(text):
                 parts = _PARTS.findall(text.lower())
                 split.append(parts)
                 new.update(parts)
@@ -142,7 +143,7 @@ def _blocks(parts: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple]:
         real = np.asarray(pc.binary_length(split.values)) > 0  # blanks at the ends of a text give empty words
         sizes = np.diff(np.concatenate(([0], np.cumsum(real)))[np.asarray(split.offsets)]).astype("<u4")
         coded = split.values.filter(pa.array(real)).dictionary_encode()
-        words, flat = coded.dictionary.cast(pa.binary()).to_pylist(), np.asarray(coded.indices)
+        words, flat = utf8(coded.dictionary), np.asarray(coded.indices)
         often = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
         number = np.empty(len(words), "<u4")
         number[often] = np.arange(len(words), dtype="<u4")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,16 @@ def words_of(text: Column) -> Column:
 
 
 def utf8(column: pa.Array) -> list[bytes]:
-    """UTF-8 of each value; empty bytes for nulls."""
-    return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
+    """UTF-8 of each value of a text or binary column; empty bytes for nulls."""
+    if not len(column):
+        return []
+    if column.null_count:
+        return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
+    _, ends, data = column.buffers()
+    ends = np.frombuffer(ends, np.int32)[column.offset:column.offset + len(column) + 1].tolist()
+    data = data.slice(ends[0], ends[-1] - ends[0]).to_pybytes() if ends[-1] > ends[0] else b""
+    first = ends[0]
+    return [data[a - first:b - first] for a, b in zip(ends, ends[1:])]
 
 
 def partitions(spark: SparkSession) -> int:
