@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakesync.llm.shared import batches, partitions, text_of, utf8
+from lakesync.llm.shared import batches, partitions, split_words, text_of, utf8
 
 #: Bytes of text after which a block is closed.
 BLOCK_BYTES = 6_000_000
@@ -139,10 +139,8 @@ def _blocks(parts: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple]:
     """
 
     def closed():
-        split = pc.ascii_split_whitespace(pa.concat_arrays([part.column(1) for part in held]))
-        real = np.asarray(pc.binary_length(split.values)) > 0  # blanks at the ends of a text give empty words
-        sizes = np.diff(np.concatenate(([0], np.cumsum(real)))[np.asarray(split.offsets)]).astype("<u4")
-        coded = split.values.filter(pa.array(real)).dictionary_encode()
+        sizes, words = split_words(pa.concat_arrays([part.column(1) for part in held]))
+        coded = words.dictionary_encode()
         words, flat = utf8(coded.dictionary), np.asarray(coded.indices)
         often = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
         number = np.empty(len(words), "<u4")
@@ -156,7 +154,7 @@ def _blocks(parts: Iterator[pa.RecordBatch], shards: int) -> Iterator[tuple]:
             by_shard.append((int(shard[chosen[0]]), at, [words[i] for i in chosen.tolist()]))
             at += len(chosen)
         block = xxhash.xxh3_64_intdigest(b"\n".join(words)) - (1 << 63)
-        return block, by_shard, place, [i for part in held for i in part.column(0).to_pylist()], sizes, number[flat]
+        return block, by_shard, place, [i for part in held for i in part.column(0).to_pylist()], sizes.astype("<u4"), number[flat]
 
     held, weight = [], 0
     for part in parts:

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,14 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [data[a - first:b - first] for a, b in zip(ends, ends[1:])]
 
 
+def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.StringArray]:
+    """Number of words of each text, and the words of all texts in a row (null texts have none)."""
+    split = pc.ascii_split_whitespace(texts.fill_null(""))
+    real = np.asarray(pc.binary_length(split.values)) > 0  # blanks at the ends of a text give empty words
+    sizes = np.diff(np.concatenate(([0], np.cumsum(real)))[np.asarray(split.offsets)])
+    return sizes.astype(np.int64), split.values.filter(pa.array(real))
+
+
 def partitions(spark: SparkSession) -> int:
     """Number of tasks data is dealt to: the session's own setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

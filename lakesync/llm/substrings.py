@@ -3,7 +3,8 @@
 A passage is any run of ``window`` words. Phrases: each window has a chosen phrase of ``phrase`` words (the one with the
 least hash), so equal windows choose equal phrases, and about every fourth phrase of a text is chosen. Steps:
 
-1. The chosen phrases of all documents meet by hash; those of two or more documents recur.
+1. The chosen phrases of all documents meet by hash; those of two or more different texts recur. Whole texts meet too:
+   of equal ones only the smallest id goes on, the others lose all their words.
 2. Documents go in blocks. The recurring phrases of a block become its Aho-Corasick automaton, and the block's documents
    are streamed through it, which locates every occurrence. Windows without one cannot recur; the others are candidates.
 3. Candidate windows of all documents meet by a 96-bit hash of their words, which confirms them and finds the least id.
@@ -20,101 +21,131 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakesync.llm.shared import Scratch, batches, partitions
+from lakesync.llm.shared import Scratch, batches, partitions, split_words, utf8
 
-#: Words after which a block is closed; its automaton has at most about a quarter as many phrases.
-BLOCK_WORDS = 400_000
-KEPT_WORDS = 500_000
+#: Bytes of text after which a block is closed; its automaton has at most about a quarter as many phrases as words.
+BLOCK_BYTES = 3_000_000
 
 _B1, _B2, _B3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_HASHES) > KEPT_WORDS:
-        _HASHES.clear()
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(31))) * _B2
+    return values ^ (values >> np.uint64(29))
 
 
 def _rolled(values: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
     """Hash of every run of ``size`` values, as a polynomial in ``base`` modulo 2**64, mixed at the end."""
-    total = np.zeros(len(values) - size + 1, np.uint64)
-    for j in range(size):
-        total = total * base + values[j:len(values) - size + 1 + j]
-    total ^= total >> np.uint64(31)
-    total *= _B2
-    return total ^ (total >> np.uint64(29))
-
+    count = max(0, len(values) - size + 1)
+    total = np.zeros(count, np.uint64)
+    for j in range(size if count else 0):
+        total = total * base + values[j:count + j]
+    return _mixed(total)
 
-def window_hashes(values: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """64 and 32 further bits for every window of words."""
-    other = (values ^ (values >> np.uint64(27))) * _B3
-    return _rolled(values, window, _B1), (_rolled(other, window, _B2) >> np.uint64(32)).astype(np.uint32)
 
+class Words:
+    """The words of several texts in a row, as hashes, with the places where a window may start.
 
-def chosen_phrases(values: np.ndarray, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray]:
-    """Phrase hashes by place, and for every window the place of its least phrase (the first of equal ones)."""
-    hashes = _rolled(values, phrase, _B3)
-    inside = sliding_window_view(hashes, window - phrase + 1)
-    return hashes, inside.argmin(axis=1) + np.arange(len(inside))
-
-
-def _pack(values: np.ndarray) -> bytes:
-    data = values.tobytes()
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
-
+    Everything is computed for all texts at once; a window never reaches into the next text.
+    """
 
-def _unpack(data: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), kind)
+    def __init__(self, texts: pa.Array, window: int):
+        self.sizes, self.words = split_words(texts)
+        coded = self.words.dictionary_encode()
+        known = np.fromiter(map(xxhash.xxh3_64_intdigest, utf8(coded.dictionary)), np.uint64, len(coded.dictionary))
+        self.values = known[np.asarray(coded.indices)] if len(known) else np.empty(0, np.uint64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.texts = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        ends = np.repeat(self.begins + self.sizes, self.sizes)
+        self.window = window
+        self.starts = np.flatnonzero(np.arange(len(self.values)) + window <= ends)
+
+    def chosen_phrases(self, phrase: int) -> tuple[np.ndarray, np.ndarray]:
+        """Phrase hashes by place, and for every window the place of its least phrase (the first of equal ones)."""
+        hashes = _rolled(self.values, phrase, _B3) >> np.uint64(16) << np.uint64(16)  # 48 bits: this step only sifts
+        if not len(self.starts):
+            return hashes, np.empty(0, np.int64)
+        inside = sliding_window_view(hashes, self.window - phrase + 1)
+        return hashes, inside[self.starts].argmin(axis=1) + self.starts
+
+    def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """64 and 32 further bits for the windows at some places."""
+        other = (self.values ^ (self.values >> np.uint64(27))) * _B3
+        return _rolled(self.values, self.window, _B1)[starts], (_rolled(other, self.window, _B2)[starts] >> np.uint64(32)).astype(np.uint32)
+
+    def contents(self) -> tuple[np.ndarray, np.ndarray]:
+        """64 and 31 further bits for every whole text."""
+        place = np.arange(len(self.values)) - self.begins[self.texts]
+        out = []
+        for base, values in ((_B1, self.values), (_B2, (self.values ^ (self.values >> np.uint64(27))) * _B3)):
+            powers = np.cumprod(np.full(int(self.sizes.max(initial=0)) + 1, base, np.uint64))
+            total = np.concatenate(([np.uint64(0)], np.cumsum(values * powers[place], dtype=np.uint64)))
+            out.append(_mixed(total[self.begins + self.sizes] - total[self.begins] + self.sizes.astype(np.uint64)))
+        return out[0], (out[1] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+def _pack(values: np.ndarray, rising: bool = False) -> bytes:
+    """Integers byte by byte of their value and compressed; rising ones as their differences."""
+    values = values.view(f"u{values.itemsize}")
+    if rising and len(values):
+        values = np.concatenate((values[:1], np.diff(values)))
+    data = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+    return len(data).to_bytes(8, "little") + (pa.compress(data, codec="zstd", asbytes=True) if data else b"")
+
+
+def _unpack(data: bytes, kind: type, rising: bool = False) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    if not size:
+        return np.empty(0, kind)
+    planes = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    values = np.ascontiguousarray(planes.T).view(f"u{np.dtype(kind).itemsize}").ravel()
+    return (np.cumsum(values, dtype=values.dtype) if rising else values).view(kind)
 
 
 def _written(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_table(table)
+        writer.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
 
 
 def _read(data: bytes) -> pa.Table:
-    return pa.ipc.open_stream(data).read_all()
+    return pa.ipc.open_stream(data).read_all().combine_chunks()
 
 
-def _texts(table: pa.Table) -> list[bytes]:
-    return [value or b"" for value in table.column("text").cast(pa.binary()).to_pylist()]
+def _column(table: pa.Table, name: str) -> pa.Array:
+    column = table.column(name)
+    return column.chunk(0) if column.num_chunks else pa.array([], column.type)
 
 
 def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, pa.Table]]:
-    """Runs of rows with about ``BLOCK_WORDS`` words, named by a hash of what they hold."""
+    """Runs of rows with about ``BLOCK_BYTES`` of text, named by a hash of what they hold."""
 
     def closed():
         table = pa.Table.from_batches(held).combine_chunks()
         data = _written(table)
         return xxhash.xxh3_64_intdigest(data) - (1 << 63), data, table
 
-    held, words = [], 0
+    held, weight = [], 0
     for part in parts:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(part.column("text")), 0), np.int64))
         begin = 0
-        for at, text in enumerate(part.column("text").cast(pa.binary()).to_pylist(), 1):
-            words += (text or b"").count(b" ") + 1
-            if words >= BLOCK_WORDS:
-                held.append(part.slice(begin, at - begin))
+        while begin < part.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + BLOCK_BYTES - weight, side="right")))
+            held.append(part.slice(begin, end - begin))
+            weight += int(ends[end - 1]) - before
+            begin = end
+            if weight >= BLOCK_BYTES or begin < part.num_rows:
                 yield closed()
-                held, words, begin = [], 0, at
-        if begin < part.num_rows:
-            held.append(part.slice(begin))
+                held, weight = [], 0
     if held:
         yield closed()
 
@@ -132,26 +163,25 @@ def _entries(block: int, h1: np.ndarray, h2: np.ndarray, ids: np.ndarray, count:
         return
     order = np.lexsort((ids, h2, h1))
     h1, h2, ids = h1[order], h2[order], ids[order]
-    new = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
-    first = np.flatnonzero(new)
+    first = np.flatnonzero(np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))))
     last = np.concatenate((first[1:], [len(h1)])) - 1
     h1, h2, lo, hi = h1[first], h2[first], ids[first], ids[last]
-    shards = (h1 % np.uint64(count)).astype(np.int64)
+    shards = ((h1 >> np.uint64(20)) % np.uint64(count)).astype(np.int64)
     order = np.argsort(shards, kind="stable")
     for chosen in np.split(order, np.flatnonzero(np.diff(shards[order])) + 1):
-        yield (int(shards[chosen[0]]), block, KEYS, _pack(h1[chosen]), _pack(h2[chosen]), _pack(lo[chosen]),
+        yield (int(shards[chosen[0]]), block, KEYS, _pack(h1[chosen], True), _pack(h2[chosen]), _pack(lo[chosen]),
                _pack(hi[chosen] - lo[chosen]), None)
 
 
 def _recurring(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one shard's entries, those whose key is in two or more documents, with the least id, back to their blocks."""
+    """Of one shard's entries, those whose key has two or more ids, with the least one, back to their blocks."""
 
     def rows():
         held = []
         for part in parts:
-            for block, *packed in zip(*(part.column(name).to_pylist() for name in ("block", "h1", "h2", "lo", "hi"))):
-                h1, h2, lo, hi = (_unpack(data, kind) for data, kind in zip(packed, (np.uint64, np.uint32, np.int64, np.int64)))
-                held.append((block, h1, h2, lo, lo + hi))
+            for block, h1, *packed in zip(*(part.column(name).to_pylist() for name in ("block", "h1", "h2", "lo", "hi"))):
+                h2, lo, hi = (_unpack(data, kind) for data, kind in zip(packed, (np.uint32, np.int64, np.int64)))
+                held.append((block, _unpack(h1, np.uint64, True), h2, lo, lo + hi))
         if not held:
             return
         h1, h2, lo, hi = (np.concatenate([entry[i] for entry in held]) for i in range(1, 5))
@@ -161,13 +191,14 @@ def _recurring(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least, most = np.minimum.reduceat(lo[order], first)[group], np.maximum.reduceat(hi[order], first)[group]
         low, keep = np.empty_like(lo), np.empty(len(lo), bool)
         low[order], keep[order] = least, least < most
+        low[h2 == 0] = 0  # of phrases it is enough to know that they recur
         at = 0
         for block, own, *_ in held:
             here = np.s_[at:at + len(own)]
             at += len(own)
-            if keep[here].any():
-                mask = keep[here]
-                yield (None, block, KEYS, _pack(h1[here][mask]), _pack(h2[here][mask]), _pack(low[here][mask]), None, None)
+            mask = keep[here]
+            if mask.any():
+                yield (None, block, KEYS, _pack(h1[here][mask], True), _pack(h2[here][mask]), _pack(low[here][mask]), None, None)
 
     return batches(rows(), _ENTRY)
 
@@ -180,7 +211,7 @@ def _by_block(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple, byt
             if at != block:
                 block, keys, table = at, [], None
             if kind == KEYS:
-                keys.append((_unpack(h1, np.uint64), _unpack(h2, np.uint32), _unpack(lo, np.int64)))
+                keys.append((_unpack(h1, np.uint64, True), _unpack(h2, np.uint32), _unpack(lo, np.int64)))
                 continue
             if table is None:
                 table = tuple(np.concatenate([key[i] for key in keys]) if keys else np.empty(0, kind) for i, kind in enumerate((np.uint64, np.uint32, np.int64)))
@@ -189,50 +220,44 @@ def _by_block(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple, byt
             yield block, table, rows
 
 
-def _locate(texts: list[bytes], recurring: np.ndarray, window: int, phrase: int) -> list[tuple[list[bytes], np.ndarray, np.ndarray]]:
-    """Per text its words, their hashes and which windows are candidates; phrases are found by the block's automaton."""
-    made, automaton = [], ahocorasick.Automaton()
-    for text in texts:
-        words = text.split()
-        values = word_hashes(words)
-        if len(words) < window or not len(recurring):
-            made.append((words, values, None))
-            continue
-        hashes, least = chosen_phrases(values, window, phrase)
-        places = np.unique(least)
-        at = np.minimum(np.searchsorted(recurring, hashes[places]), len(recurring) - 1)
-        for place in places[recurring[at] == hashes[places]].tolist():
-            automaton.add_word(" " + b" ".join(words[place:place + phrase]).decode("utf-8", "replace") + " ", 0)
-        made.append((words, values, least))
-    if len(automaton):
-        automaton.make_automaton()
-    out = []
-    for words, values, least in made:
-        found = np.zeros(len(words) + 1, bool)
-        if least is not None and len(automaton):
-            line = " " + b" ".join(words).decode("utf-8", "replace") + " "
-            ends = np.cumsum([len(word.decode("utf-8", "replace")) + 1 for word in words])  # place of the blank after each word
-            last = np.searchsorted(ends, np.fromiter((end for end, _ in automaton.iter(line)), np.int64))
-            found[last - phrase + 1] = True
-        out.append((words, values, np.flatnonzero(found[least]) if least is not None else np.empty(0, np.int64)))
-    return out
-
-
-def _known(keys: tuple, h1: np.ndarray, h2: np.ndarray, doc_id: int) -> np.ndarray:
-    """Which of the windows a document with a smaller id has."""
-    if not len(keys[0]):
-        return np.zeros(len(h1), bool)
+def _least_id(keys: tuple, h1: np.ndarray, h2: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
+    """The least id of each key that recurs; ``otherwise`` of the others."""
+    out = otherwise.copy()
     at = np.searchsorted(keys[0], h1)
-    out = np.zeros(len(h1), bool)
-    while True:  # keys with an equal first part lie side by side
+    while len(keys[0]):  # keys with an equal first part lie side by side
         here = at < len(keys[0])
         here[here] = keys[0][at[here]] == h1[here]
         if not here.any():
-            return out
+            break
         same = here.copy()
         same[here] = keys[1][at[here]] == h2[here]
-        out[same] = keys[2][at[same]] < doc_id
+        out[same] = keys[2][at[same]]
         at = at + here
+    return out
+
+
+def _located(words: Words, recurring: np.ndarray, phrase: int, open_: np.ndarray) -> np.ndarray:
+    """Starts of the windows of open texts whose least phrase the automaton of the recurring phrases finds."""
+    hashes, least = words.chosen_phrases(phrase)
+    places = np.unique(least[open_[words.texts[words.starts]]]) if len(least) else least
+    at = np.minimum(np.searchsorted(recurring, hashes[places]), max(0, len(recurring) - 1))
+    places = places[recurring[at] == hashes[places]] if len(recurring) else places[:0]
+    if not len(places):
+        return words.starts[:0]
+    spelled = utf8(words.words)
+    automaton = ahocorasick.Automaton()
+    _, distinct = np.unique(hashes[places], return_index=True)
+    for place in places[distinct].tolist():
+        automaton.add_word((b" " + b" ".join(spelled[place:place + phrase]) + b" ").decode("utf-8", "replace"), True)
+    automaton.make_automaton()
+    found = np.zeros(len(words.values) + 1, bool)
+    for text in np.unique(words.texts[places]).tolist():
+        begin, size = int(words.begins[text]), int(words.sizes[text])
+        line = (b" " + b" ".join(spelled[begin:begin + size]) + b" ").decode("utf-8", "replace")
+        ends = np.cumsum(np.asarray(pc.utf8_length(words.words.slice(begin, size)), np.int64) + 1)  # the blank after each word
+        last = np.searchsorted(ends, np.fromiter((end for end, _ in automaton.iter(line)), np.int64))
+        found[begin + last - phrase + 1] = True
+    return words.starts[found[least] & open_[words.texts[words.starts]]]
 
 
 def dedup(docs: DataFrame, window: int = 13, phrase: int = 6, scratch: Scratch | None = None) -> DataFrame:
@@ -246,65 +271,73 @@ def dedup(docs: DataFrame, window: int = 13, phrase: int = 6, scratch: Scratch |
     scratch = scratch or Scratch(docs.sparkSession)
     count = partitions(docs.sparkSession)
     docs = docs.drop("n_words", "n_removed")
-    result_fields = [*docs.schema.fields, *docs.sparkSession.range(0).selectExpr("id AS n_words", "id AS n_removed").schema.fields]
-    result_schema = type(docs.schema)(result_fields)
+    result_schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = docs.columns
 
-    def phrases(parts):
+    def ids_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        ids = _column(table, "doc_id")
+        return np.asarray(ids.fill_null(0).cast(pa.int64())), ~np.asarray(ids.is_null().to_numpy(zero_copy_only=False))
+
+    def first_keys(parts):
         for block, _, table in _blocks(parts):
-            hashes, ids = [], []
-            for doc_id, text in zip(table.column("doc_id").to_pylist(), _texts(table)):
-                values = word_hashes(text.split())
-                if doc_id is not None and len(values) >= window:
-                    found, least = chosen_phrases(values, window, phrase)
-                    hashes.append(found[np.unique(least)])
-                    ids.append(np.full(len(hashes[-1]), doc_id))
-            if hashes:
-                h1 = np.concatenate(hashes)
-                yield from _entries(block, h1, np.zeros(len(h1), np.uint32), np.concatenate(ids), count)
+            words = Words(_column(table, "text"), window)
+            ids, named = ids_of(table)
+            hashes, least = words.chosen_phrases(phrase)
+            places = np.unique(least)
+            places = places[named[words.texts[places]]]
+            content, more = words.contents()
+            whole = named & (words.sizes >= window)
+            yield from _entries(
+                block, np.concatenate((hashes[places], content[whole])), np.concatenate((np.zeros(len(places), np.uint32), more[whole])),
+                np.concatenate((content[words.texts[places]].view(np.int64), ids[whole])), count)
 
     def rows_of(parts):
         for block, data, _ in _blocks(parts):
             yield None, block, ROWS, None, None, None, None, data
 
+    def final(block: int, table: pa.Table, removed: np.ndarray):
+        if table.num_rows:
+            yield None, block, FINAL, None, None, None, None, _written(table.append_column("n_removed", pa.array(removed, pa.int64())))
+
+    def emptied(table: pa.Table) -> pa.Table:
+        place = table.schema.get_field_index("text")
+        return table.set_column(place, table.schema.field(place), pa.array([""] * table.num_rows, table.schema.field(place).type))
+
     def candidates(parts):
         for block, keys, data in _by_block(parts):
             table = _read(data)
-            located = _locate(_texts(table), keys[0], window, phrase)
-            ids, h1s, h2s, owners, open_rows = table.column("doc_id").to_pylist(), [], [], [], []
-            for row, (doc_id, (words, values, spots)) in enumerate(zip(ids, located)):
-                if doc_id is not None and len(spots):
-                    h1, h2 = window_hashes(values, window)
-                    h1s.append(h1[spots])
-                    h2s.append(h2[spots])
-                    owners.append(np.full(len(spots), doc_id))
-                    open_rows.append(row)
-            sizes = pa.array([len(words) for words, *_ in located], pa.int64())
-            table = table.append_column("n_words", sizes)
-            final = np.setdiff1d(np.arange(table.num_rows), open_rows)
-            if len(final):
-                done = table.take(final)
-                yield None, block, FINAL, None, None, None, None, _written(done.append_column("n_removed", pa.array(np.zeros(len(final), np.int64))))
-            if open_rows:
-                yield None, block, ROWS, None, None, None, None, _written(table.take(open_rows))
-                yield from _entries(block, np.concatenate(h1s), np.concatenate(h2s), np.concatenate(owners), count)
+            words = Words(_column(table, "text"), window)
+            ids, named = ids_of(table)
+            long = named & (words.sizes >= window)
+            copy = long & (_least_id(keys, *words.contents(), ids) < ids)
+            starts = _located(words, keys[0][keys[1] == 0], phrase, long & ~copy)
+            table = table.append_column("n_words", pa.array(words.sizes))
+            waits = np.zeros(table.num_rows, bool)
+            waits[words.texts[starts]] = True
+            yield from final(block, emptied(table.filter(pa.array(copy))), words.sizes[copy])
+            kept = ~copy & ~waits
+            yield from final(block, table.filter(pa.array(kept)), np.zeros(int(kept.sum()), np.int64))
+            if waits.any():
+                yield None, block, ROWS, None, None, None, None, _written(table.filter(pa.array(waits)))
+                yield from _entries(block, *words.windows(starts), ids[words.texts[starts]], count)
 
     def cleaned(parts):
         for _, keys, data in _by_block(parts):
             table = _read(data)
-            texts, removed = [], []
-            for doc_id, text in zip(table.column("doc_id").to_pylist(), _texts(table)):
-                words = text.split()
-                h1, h2 = window_hashes(word_hashes(words), window)
-                known = np.flatnonzero(_known(keys, h1, h2, doc_id))
-                edge = np.zeros(len(words) + 1, np.int64)
-                np.add.at(edge, known, 1)
-                np.add.at(edge, known + window, -1)
-                gone = np.cumsum(edge[:-1]) > 0
-                removed.append(int(gone.sum()))
-                texts.append(b" ".join([word for word, g in zip(words, gone.tolist()) if not g]) if removed[-1] else text)
+            words = Words(_column(table, "text"), window)
+            ids, _ = ids_of(table)
+            owner = ids[words.texts[words.starts]]
+            known = words.starts[_least_id(keys, *words.windows(words.starts), owner) < owner]
+            edge = np.zeros(len(words.values) + 1, np.int64)
+            np.add.at(edge, known, 1)
+            np.add.at(edge, known + window, -1)
+            gone = np.cumsum(edge[:-1]) > 0
+            removed = np.bincount(words.texts[gone], minlength=table.num_rows)
+            offsets = np.concatenate(([0], np.cumsum(words.sizes - removed)))
+            others = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.words.filter(pa.array(~gone)))
             place = table.schema.get_field_index("text")
-            table = table.set_column(place, table.schema.field(place), pa.array(texts, pa.binary()).cast(table.schema.field(place).type))
+            text = pc.if_else(pa.array(removed > 0), pc.binary_join(others, " "), _column(table, "text"))
+            table = table.set_column(place, table.schema.field(place), text)
             yield from table.append_column("n_removed", pa.array(removed, pa.int64())).to_batches()
 
     def unpacked(parts):
@@ -321,10 +354,10 @@ def dedup(docs: DataFrame, window: int = 13, phrase: int = 6, scratch: Scratch |
     def in_blocks(rows: DataFrame) -> DataFrame:
         return rows.repartition(count, "block").sortWithinPartitions("block", "kind")
 
-    known = met(docs.select(names).mapInArrow(to_rows(phrases), _TYPES))
+    known = met(docs.select(names).mapInArrow(to_rows(first_keys), _TYPES))
     held = docs.select(names).mapInArrow(to_rows(rows_of), _TYPES)
     judged = scratch.cut(in_blocks(known.unionByName(held)).mapInArrow(to_rows(candidates), _TYPES))
     again = met(judged.where(F.col("kind") == KEYS)).unionByName(judged.where(F.col("kind") == ROWS))
     changed = in_blocks(again).mapInArrow(cleaned, result_schema)
-    final = judged.where(F.col("kind") == FINAL).select("rows").mapInArrow(unpacked, result_schema)
-    return changed.unionByName(final)
+    done = judged.where(F.col("kind") == FINAL).select("rows").mapInArrow(unpacked, result_schema)
+    return changed.unionByName(done)
