@@ -41,7 +41,7 @@ def passages_removed(rows, window=13):
 
 
 def plain_line(line):
-    return re.sub(r"[ \t-\r]+", " ", line).strip(" ").lower()
+    return line.strip(" \t\r\x0b\x0c").lower()
 
 
 def lines_removed(rows, size=9, least=0.8):
