@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakesync.catalog import Tables, landed, query
 from lakesync.mapping.crm import merged_away
 from lakesync.operators import apply, quality, state, tree, windows
-from lakesync.operators.dedup import newest
+from lakesync.operators.dedup import newest, newest_counted
 from lakesync.operators.ranking import keyset_chunks
 from lakesync.plans.workspace import page_refs, readable_pages, skipped_pages
 from lakesync.sources.listing import changes_since
@@ -122,8 +122,10 @@ def dedup_newest_ties(t: Tables):
     SELECT l_returnflag, count(*) AS staged, count(DISTINCT (l_orderkey, l_linenumber)) AS in_table
     FROM lineitem GROUP BY l_returnflag""")
 def staged_counts(t: Tables):
-    counts = quality.key_check(t.lineitem, LINE_KEY, ["l_returnflag"])
-    return counts.select("l_returnflag", F.col("n_rows").alias("staged"), F.col("n_keys").alias("in_table"))
+    # the counting of a whole-table write: every row kept says how many copies its key had
+    rows = t.lineitem.select("l_returnflag", *LINE_KEY, "l_shipdate")
+    kept = newest_counted(rows, ["l_returnflag", *LINE_KEY], "l_shipdate")
+    return kept.groupBy("l_returnflag").agg(F.sum("_copies").alias("staged"), F.count(F.lit(1)).alias("in_table"))
 
 
 # ---- windows ---------------------------------------------------------------------

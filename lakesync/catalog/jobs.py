@@ -11,14 +11,14 @@ from lakesync.catalog import Tables, landed, query
 from lakesync.catalog.mapped import CHANGED, WORKSPACE_PAGE, contact_sql, issue_sql
 from lakesync.mapping import crm, workspace
 from lakesync.operators import apply
-from lakesync.operators.tree import page_blocks
-from lakesync.plans.crm import archive_marks, modified_records
+from lakesync.plans.crm import record_change
 from lakesync.plans.documents import first_schema
-from lakesync.plans.issues import changed_issues
+from lakesync.plans.issues import issue_change
+from lakesync.plans.run import applied
 from lakesync.plans.store import SEQ, TableStore
-from lakesync.plans.workspace import page_refs, readable_pages
-from lakesync.schemas import BLOCKS, CONTACTS, ISSUES, PAGES, TableSpec
-from lakesync.session import shared_folder
+from lakesync.plans.workspace import WorkspaceLanding, block_change, object_change, page_refs
+from lakesync.schemas import PAGES, TableSpec
+from lakesync.session import remove, shared_folder
 from lakesync.sources.documents import read_documents
 from lakesync.sources.listing import archived, changes_since, live
 from lakesync.streaming.landing import upsert_stream
@@ -33,8 +33,7 @@ def sync_full(t: Tables):
     records = landed.contacts(t)
     # every archived record was landed by both listings
     landed_rows = live(records).unionByName(archived(records)).unionByName(archived(records))
-    rows = crm.object_rows(landed_rows, "contacts", landed.RUN_AT)
-    return apply.overwrite(rows, CONTACTS.key, CONTACTS.order_by, ["raw_json"]).drop("raw_json")
+    return applied(None, record_change(landed_rows, "contacts", None, landed.RUN_AT)).drop("raw_json")
 
 
 @query("sync_incremental", f"""
@@ -51,11 +50,8 @@ def sync_full(t: Tables):
     FROM c LEFT JOIN read r ON c.c_custkey = r.c_custkey LEFT JOIN latest l ON c.c_custkey = l.id""")
 def sync_incremental(t: Tables):
     target = crm.object_rows(landed.contacts(t), "contacts", SINCE)
-    records = landed.contacts(t, edited=True)
-    changed = modified_records(records, "contacts", SINCE, UNTIL)
-    merged = apply.upsert(target, crm.object_rows(changed, "contacts", UNTIL), CONTACTS.key, CONTACTS.order_by, ["raw_json"])
-    return apply.flag_archived(merged, archive_marks(records, changed, UNTIL)).select(
-        "id", "updated_at", "last_name", "archived", "archived_at")
+    change = record_change(landed.contacts(t, edited=True, typed=True), "contacts", SINCE, UNTIL)
+    return applied(target, change).select("id", "updated_at", "last_name", "archived", "archived_at")
 
 
 @query("sync_notionlike", f"""
@@ -65,10 +61,9 @@ def sync_incremental(t: Tables):
          (SELECT id, title FROM ({WORKSPACE_PAGE.format(suffix=" v2")})) v2 USING (id)
     WHERE v1.last_edited_time IS NOT NULL""")
 def sync_notionlike(t: Tables):
-    target = workspace.page_rows(changes_since(landed.pages(t), "page"), SINCE)
-    changed = changes_since(landed.pages(t, edited=True), "page", SINCE, 300)
-    rows = workspace.page_rows(changed, UNTIL)
-    return apply.upsert(target, rows, PAGES.key, PAGES.order_by, ["raw_json"]).select(
+    target = workspace.page_rows(changes_since(landed.pages(t, typed=True), "page"), SINCE)
+    changed = changes_since(landed.pages(t, edited=True, typed=True), "page", SINCE, 300)
+    return applied(target, object_change(PAGES, workspace.page_rows, changed, UNTIL, whole=False)).select(
         "id", "title", "last_edited_time", "in_trash")
 
 
@@ -80,10 +75,9 @@ def sync_notionlike(t: Tables):
         SELECT {issue_sql(" v2")} FROM orders LEFT JOIN customer ON o_custkey = c_custkey) WHERE updated
             BETWEEN epoch_us(TIMESTAMP '1999-12-31 23:55:00') AND epoch_us(TIMESTAMP '2001-06-01 12:30:00')""")
 def sync_issue(t: Tables):
-    since = datetime(2000, 1, 1, tzinfo=UTC)
-    target = apply.overwrite(changed_issues(landed.issues(t), None, since), ISSUES.key, ISSUES.order_by)
-    delta = changed_issues(landed.issues(t, edited=True), since, datetime(2001, 6, 1, 12, 30, 59, tzinfo=UTC))
-    return apply.upsert(target, delta, ISSUES.key, ISSUES.order_by)
+    since, until = datetime(2000, 1, 1, tzinfo=UTC), datetime(2001, 6, 1, 12, 30, 59, tzinfo=UTC)
+    target = applied(None, issue_change(landed.issues(t, typed=True), None, since, whole=True))
+    return applied(target, issue_change(landed.issues(t, edited=True, typed=True), since, until, whole=False))
 
 
 @query("sync_blocks", """
@@ -117,10 +111,9 @@ def sync_blocks(t: Tables):
         F.col("turn").alias("seq"), "payload")
     stored = workspace.block_rows(landed.blocks(t), SINCE)
     refs = page_refs(changes_since(pages, "page", datetime(2024, 1, 1, 0, 30, tzinfo=UTC), 300))
-    fresh = workspace.block_rows(page_blocks(readable_pages(refs, unreadable), children), UNTIL)
-    replaced = apply.replace_by_parent(stored, fresh, refs.select(F.col("id").alias("page_id")), BLOCKS.parent,
-                                       BLOCKS.key, BLOCKS.order_by, ["position"])
-    return replaced.select("page_id", "id", "type", "depth", "position")
+    change = block_change(refs, WorkspaceLanding(children=children, unreadable=unreadable, listed=pages.select(
+        F.get_json_object("payload", "$.id").alias("parent_id"))), UNTIL, whole=False)
+    return applied(stored, change).select("page_id", "id", "type", "depth", "position")
 
 
 @query("stream_upsert", """
@@ -131,7 +124,8 @@ def stream_upsert(t: Tables):
     columns = (("user_id", "BIGINT"), ("event_type", "STRING"), ("ts", "TIMESTAMP"), ("value", "DOUBLE"), ("event_id", "BIGINT"))
     spec = TableSpec("stream_upsert", columns, key=("user_id", "event_type"), order_by="ts")
     run = uuid.uuid4().hex[:8]
-    store = TableStore(t.spark, f"lakesync_{run}", run_id=run)
+    store = TableStore(t.spark, "lakesync_stream", run_id=run)
+    t.spark.sql("DROP SCHEMA IF EXISTS lakesync_stream CASCADE")  # what the call before this one returned
     events = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events*.parquet")
     fields = {name: F.col(name) for name, _ in columns}
     fields["ts"] = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -141,7 +135,9 @@ def stream_upsert(t: Tables):
         typed = batch.select(F.from_json("payload", spec.ddl).alias("e")).select("e.*")
         return typed.withColumn(SEQ, F.col("event_id"))
 
-    upsert_stream(payloads, rows, store, spec, f"{shared_folder(t.spark)}/stream-{run}").awaitTermination()
+    progress = f"{shared_folder(t.spark)}/stream-{run}"
+    upsert_stream(payloads, rows, store, spec, progress).awaitTermination()
+    remove(t.spark, progress)
     return store.read(spec.name).drop("event_id")
 
 

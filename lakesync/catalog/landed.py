@@ -50,8 +50,11 @@ def paged(records: DataFrame, by: str | None = None, field: str = "results") ->
     return rows.groupBy(*keys).agg(F.collect_list("item").alias(field))
 
 
-def contacts(t: Tables, edited: bool = False) -> DataFrame:
-    """Customers as CRM records; ``edited`` is how they read after a later change of name."""
+def contacts(t: Tables, edited: bool = False, typed: bool = False) -> DataFrame:
+    """Customers as CRM records; ``edited`` is how they read after a later change of name.
+
+    Here and below, ``typed`` adds the columns a typed landing has next to the payload.
+    """
     changed = minutes_after_base("c_custkey")
     gone = F.col("c_acctbal") < 0
     name = F.concat("c_name", F.lit(" v2")) if edited else F.col("c_name")
@@ -66,7 +69,8 @@ def contacts(t: Tables, edited: bool = False) -> DataFrame:
                ).alias("hs_merged_object_ids"))
     return land(t.only("customer"), json_object(
         id=text("c_custkey"), createdAt=F.lit("2024-01-01T00:00:00Z"), updatedAt=iso(changed), archived=gone,
-        archivedAt=F.when(gone, iso(changed)), properties=properties))
+        archivedAt=F.when(gone, iso(changed)), properties=properties),
+        *[text("c_custkey").alias("id"), changed.alias("modified"), gone.alias("archived"), F.when(gone, changed).alias("archived_at")] if typed else [])
 
 
 def companies(t: Tables) -> DataFrame:
@@ -98,7 +102,7 @@ def issue_updated() -> Column:
                                + F.pmod("o_orderkey", F.lit(86400)))
 
 
-def issues(t: Tables, edited: bool = False) -> DataFrame:
+def issues(t: Tables, edited: bool = False, typed: bool = False) -> DataFrame:
     """Orders as issues, assigned to their customer; urgent ones have no reporter."""
     stamp = "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"
     rows = t.only("orders").join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "left")
@@ -113,14 +117,15 @@ def issues(t: Tables, edited: bool = False) -> DataFrame:
         F.date_format(issue_updated(), stamp).alias("updated"),
         F.when(F.col("o_orderstatus") == "P", F.col("o_custkey")).alias("customfield_2"),
         F.when(F.col("o_orderstatus") == "P", F.struct(F.col("c_mktsegment").alias("value"))).alias("customfield_1"))
-    return land(rows, json_object(key=F.concat(F.lit("ORD-"), text("o_orderkey")), fields=fields))
+    return land(rows, json_object(key=F.concat(F.lit("ORD-"), text("o_orderkey")), fields=fields),
+                *[issue_updated().alias("modified")] if typed else [])
 
 
 def _quoted(column: Column) -> Column:
     return F.concat(F.lit('"'), column, F.lit('"'))
 
 
-def pages(t: Tables, edited: bool = False) -> DataFrame:
+def pages(t: Tables, edited: bool = False, typed: bool = False) -> DataFrame:
     """Documents as workspace pages.
 
     Parents vary with the language; trash flags, titles and missing edit times
@@ -150,7 +155,9 @@ def pages(t: Tables, edited: bool = False) -> DataFrame:
         F.lit('"created_by":{"object":"user","id":"u1"},"last_edited_by":{"object":"user","id":'), _quoted(source),
         F.lit('},'), trash, F.lit(',"parent":'), parent, F.lit(',"url":"https://ws.example.com/p'), text("doc_id"),
         F.lit('","public_url":null,"properties":'), title, F.lit("}"))
-    return land(t.only("documents", "doc_id", "source", "lang", "n_chars"), record)
+    edited_at = F.when(source != "src7", minutes_after_base("doc_id"))
+    return land(t.only("documents", "doc_id", "source", "lang", "n_chars"), record,
+                *[F.lit("page").alias("kind"), edited_at.alias("edited")] if typed else [])
 
 
 def data_sources(t: Tables) -> DataFrame:
@@ -210,4 +217,4 @@ def documents(t: Tables, extra: bool = False) -> DataFrame:
     # a number in some documents, text in others
     mixed = F.when(F.col("l_returnflag") == "N", '"N"').otherwise(text("l_linenumber"))
     record = F.concat(F.lit('{"mixed":'), mixed, F.lit(","), F.substr(json_object(**fields), F.lit(2)))
-    return land(t.only("lineitem"), record, "l_shipdate", "l_linestatus")
+    return land(t.only("lineitem"), record, "l_shipdate", "l_linestatus", F.col("l_shipdate").cast("timestamp").alias("modified"))

@@ -147,9 +147,8 @@ def mask_text(t: Tables):
                 WHEN contains(text, 'worthless') THEN 'abuse' ELSE 'other' END AS kind, lang, count(*) AS n_docs
     FROM documents GROUP BY 1, 2""")
 def classify_errors(t: Tables):
-    rules = [text.ErrorRule("token = ", "secret", "a key"), text.ErrorRule("@mail", "address", "a person"),
-             text.ErrorRule("worthless", "abuse", "a tone")]
-    kind = text.classify(F.col("text"), rules, "other")["kind"]
+    rules = [text.ErrorRule("token = ", "secret"), text.ErrorRule("@mail", "address"), text.ErrorRule("worthless", "abuse")]
+    kind = text.classify(F.col("text"), rules, "other")
     return t.documents.groupBy(kind.alias("kind"), "lang").agg(F.count(F.lit(1)).alias("n_docs"))
 
 

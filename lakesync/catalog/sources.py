@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakesync.catalog import Tables, landed, query
-from lakesync.mapping.crm import link_rows
+from lakesync.mapping.crm import link_rows, open_cursors
 from lakesync.operators import apply, quality
 from lakesync.plans.crm import deals_by_stage as by_stage
 from lakesync.plans.crm import linked_names
@@ -44,7 +44,8 @@ def paging_check(t: Tables):
         "listing",
         F.when(end & (kind != "5-LOW"), None).when(kind == "3-MEDIUM", F.expr("page div 2")).otherwise(F.col("page") + 1)
         .cast("string").alias("token"),
-        (end & ~kind.isin("4-NOT SPECIFIED", "5-LOW")).alias("is_last"))
+        # some pages do not say whether they are the last one
+        F.when(~(end & (kind == "4-NOT SPECIFIED")) & ((kind != "2-HIGH") | end), end & (kind != "5-LOW")).alias("is_last"))
     return quality.paging_faults(headers, "listing", strict=True)
 
 
@@ -72,6 +73,22 @@ def error_triage(t: Tables):
         F.count(F.lit(1)).alias("n_errors"))
 
 
+@query("link_cursors", """
+    WITH lines AS (SELECT DISTINCT l_orderkey AS o, l_linenumber AS n FROM lineitem),
+         ends AS (SELECT o, max(n) AS n, count(*) AS c FROM lines GROUP BY o)
+    SELECT CAST(o AS VARCHAR) AS from_id, CAST(n AS VARCHAR) AS cursor FROM ends WHERE c > 1 AND o % 7 = 3""")
+def link_cursors(t: Tables):
+    # one page per line of an order, each naming the next; every seventh order lacks its last page
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n")).distinct()
+    orders = lines.groupBy("o").agg(F.sort_array(F.collect_set("n")).alias("ns"))
+    steps = orders.select("o", F.size("ns").alias("c"), F.col("ns")[0].alias("first"), F.posexplode("ns").alias("i", "n"), F.col("ns").alias("all"))
+    steps = steps.where(~((F.col("o") % 7 == 3) & (F.col("c") > 1) & (F.col("i") == F.col("c") - 1)))
+    after = F.get("all", F.col("i") + 1).cast("string")
+    result = F.struct(F.struct(landed.text("o").alias("id")).alias("from"), F.struct(F.struct(after.alias("after")).alias("next")).alias("paging"))
+    cursor = F.when(F.col("n") != F.col("first"), landed.text("n"))
+    return open_cursors(landed.land(steps, landed.json_object(results=F.array(result)), cursor.alias("cursor")))
+
+
 @query("live_plus_archived", "SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus = 'F' AS archived FROM orders")
 def live_plus_archived(t: Tables):
     records = landed.deals(t)

@@ -27,9 +27,9 @@ def overwrite(staged: DataFrame, key: Sequence[str], order_by: str, tie: Sequenc
 
 
 def upsert(target: DataFrame, staged: DataFrame, key: Sequence[str], order_by: str,
-           tie: Sequence[str] = ()) -> DataFrame:
-    """Staged rows replace their key's row or are added, whatever their age."""
-    fresh = newest(staged, key, order_by, tie).select(*target.columns)
+           tie: Sequence[str] = (), unique: bool = False) -> DataFrame:
+    """Staged rows replace their key's row or are added, whatever their age; ``unique`` ones hold each key once."""
+    fresh = (staged if unique else newest(staged, key, order_by, tie)).select(*target.columns)
     return without_keys(target, staged, key).unionByName(fresh)
 
 
@@ -44,6 +44,17 @@ def flag_archived(target: DataFrame, marks: DataFrame) -> DataFrame:
     return target.join(latest, "id", "left").select(*[flagged.get(c, F.col(c)) for c in target.columns])
 
 
+def needed_marks(target: DataFrame, marks: DataFrame, staged: DataFrame | None = None) -> DataFrame:
+    """The latest mark per id that changes something: the row is there and not yet so flagged, or is about to be replaced."""
+    latest = marks.groupBy("id").agg(F.max("archived_at").alias("archived_at"))
+    rows = target.select("id", F.col("archived").alias("_flag"), F.col("archived_at").alias("_at"))
+    open_ = ~F.coalesce(F.col("_flag"), F.lit(False)) | ~F.col("_at").eqNullSafe(F.col("archived_at"))
+    changing = latest.join(rows, "id").where(open_).select("id", "archived_at")
+    if staged is not None:
+        changing = changing.unionByName(latest.join(staged.select("id").distinct(), "id", "left_semi")).distinct()
+    return changing
+
+
 def replace_by_parent(target: DataFrame, staged: DataFrame, parents: DataFrame, parent: str,
                       key: Sequence[str], order_by: str, tie: Sequence[str] = ()) -> DataFrame:
     """All rows of the listed parents give way to the staged ones; a parent without any is cleared."""

@@ -27,9 +27,9 @@ def paging_faults(pages: DataFrame, listing: str, strict: bool) -> DataFrame:
     must say which page is last and never repeat a token; otherwise a missing
     or repeated cursor simply ends the listing.
     """
+    said_last = F.coalesce(F.col("is_last"), F.lit(False))
     per_token = pages.groupBy(listing, "token").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("is_last").alias("_last"),
-        F.count_if(~F.col("is_last")).alias("_open"))
+        F.count(F.lit(1)).alias("_n"), F.max(said_last).alias("_last"), F.count_if(~said_last).alias("_open"))
     missing = F.sum(F.when(F.col("token").isNull(), F.col("_open")).otherwise(0))
     repeated = F.max(F.when(F.col("token").isNotNull(), F.col("_open"))) > 1
     if strict:

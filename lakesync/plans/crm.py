@@ -3,110 +3,117 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from contextlib import suppress
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
-from typing import Any
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.mapping.crm import LINK_PAIRS, link_rows, merged_away, object_rows, with_modified
+from lakesync.mapping.crm import LINK_PAIRS, link_rows, merged_away, object_rows, open_cursors
+from lakesync.operators.quality import untolerated_errors
 from lakesync.operators.windows import half_open, instant
-from lakesync.plans.ledger import Ledger
-from lakesync.plans.modes import described, started, summary, wants_full
-from lakesync.plans.store import SEQ, TableStore, Written
+from lakesync.plans.ledger import Ledger, Step
+from lakesync.plans.run import Change, run_objects, selected, started, wants_full
+from lakesync.plans.store import SEQ, TableStore
 from lakesync.schemas import ASSOCIATIONS, CRM_STATE, CRM_TABLES
-from lakesync.sources.listing import archived_ids, live, live_ids, read_by_ids
+from lakesync.sources.landing import typed_records
+from lakesync.sources.listing import live_ids
 
 LINKS = "associations"
 OBJECTS = (*CRM_TABLES, LINKS)
+# Categories of partial errors that mean nothing is missing.
+TOLERATED_RECORDS = ("OBJECT_NOT_FOUND",)
+TOLERATED_LINKS = ("NO_ASSOCIATIONS_FOUND", "OBJECT_NOT_FOUND")
 
 
 @dataclass(frozen=True)
 class CrmLanding:
-    """Landed payloads: all records per object, live and archived, and link pages per object pair."""
+    """Landed payloads: all records per object, live and archived, and link pages per object pair.
+
+    ``answers`` are the raw answers the records came in, if they were landed:
+    an error in one that is not tolerated fails the object.
+    """
 
     records: Mapping[str, DataFrame]
     links: Mapping[tuple[str, str], DataFrame] = field(default_factory=dict)
+    answers: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def modified_records(records: DataFrame, kind: str, since: datetime, until: datetime,
                      overlap_seconds: int = 300) -> DataFrame:
-    """Live records changed in ``[since - overlap, until)``."""
-    dated = with_modified(live(records), kind)
-    return half_open(dated, "modified", since, until, overlap_seconds).drop("modified")
+    """Live records changed in ``[since - overlap, until)``; on landed typed columns this reaches the scan."""
+    typed = typed_records(records, kind)
+    return half_open(typed.where("NOT archived"), "modified", since, until, overlap_seconds)
 
 
-def archive_marks(records: DataFrame, changed: DataFrame, run_at: datetime) -> DataFrame:
-    """Archived ids with their time, and merged-away ids stamped with the run's."""
-    gone = merged_away(changed).withColumn("archived_at", instant(run_at))
-    return archived_ids(records).unionByName(gone)
+def record_change(records: DataFrame, kind: str, since: datetime | None, run_at: datetime,
+                  overlap_seconds: int = 300, answers: DataFrame | None = None) -> Change:
+    """All records, or from ``since`` the changed ones with the ids that are archived or were merged away.
 
-
-def sync_object(store: TableStore, kind: str, records: DataFrame, since: datetime | None, run_at: datetime,
-                overlap_seconds: int = 300) -> Written:
-    """Without ``since`` the table is replaced by all records, else changes are merged and archivals flagged."""
+    Archived ids come with their time, merged-away ones with the run's.
+    """
     spec, keep = CRM_TABLES[kind], [c for c in (SEQ,) if c in records.columns]
+    gates = {} if answers is None else {f"{kind} were not all answered": untolerated_errors(answers, TOLERATED_RECORDS)}
     if since is None:
-        return store.replace_all(spec, object_rows(records, kind, run_at, keep))
-    changed = modified_records(records, kind, since, run_at, overlap_seconds)
-    written = store.upsert(spec, object_rows(changed, kind, run_at, keep))
-    store.flag_archived(spec, archive_marks(records, changed, run_at))
-    return written
+        return Change(spec, object_rows(records, kind, run_at, keep), whole=True, gates=gates, reached=lambda _: run_at)
+    typed = typed_records(records, kind)
+    changed = modified_records(typed, kind, since, run_at, overlap_seconds)
+    archived = typed.where("archived").select("id", "archived_at")
+    marks = archived.unionByName(merged_away(changed).withColumn("archived_at", instant(run_at)))
+    return Change(spec, object_rows(changed, kind, run_at, keep), marks=marks, gates=gates, reached=lambda _: run_at)
 
 
-def sync_links(store: TableStore, landing: CrmLanding, objects: Sequence[str], run_at: datetime) -> Written:
-    """Links of all live source records.
+def pair_status(spark, picked: Sequence[str], tables: Sequence[str]) -> DataFrame:
+    """``from_object, to_object, status`` of every pair: read, not selected, or without a source table."""
+    known = spark.createDataFrame(list(LINK_PAIRS), "from_object string, to_object string")
+    status = (F.when(~F.col("from_object").isin(*picked), "not selected")
+              .when(~F.col("from_object").isin(*tables) if tables else F.lit(True), "no source table").otherwise("read"))
+    return known.withColumn("status", status)
 
-    Only when every pair was read does the table give way to the result; a
-    partial run merges, and fails afterwards if a source table was unreadable.
+
+def link_change(store: TableStore, landing: CrmLanding, picked: Sequence[str], run_at: datetime) -> Change:
+    """Links of all live source records, over one frame of all pairs.
+
+    The result replaces the table only if every pair was read. A pair whose
+    source table is missing fails the object, after the others are merged.
     """
-    frames, missing = [], []
-    for pair in LINK_PAIRS:
-        if pair[0] not in objects:
-            continue
-        if not store.exists(pair[0]):
-            missing.append(f"{pair[0]}->{pair[1]}: source table {store.name(pair[0])} cannot be read, sync it first")
-            continue
-        sources = live_ids(store.read(pair[0])).withColumnRenamed("id", "from_id")
-        frames.append(read_by_ids(link_rows(landing.links[pair], *pair, run_at), sources, "from_id")
-                      .select(*ASSOCIATIONS.names))
-    empty = store.spark.createDataFrame([], ASSOCIATIONS.schema)
-    links = reduce(DataFrame.unionByName, frames, empty)
-    write = store.replace_all if len(frames) == len(LINK_PAIRS) else store.upsert
-    written = write(ASSOCIATIONS, links)
-    if missing:
-        raise RuntimeError("; ".join(missing) + f" ({written.rows} row(s) merged for the other pairs)")
-    return written
+    tables = [name for name in CRM_TABLES if store.exists(name)]
+    status = [tuple(row) for row in pair_status(store.spark, picked, tables).collect()]  # one row per pair
+    pairs = [(a, b) for a, b, state in status if state == "read"]
+    lacking = ", ".join(f"{a}->{b}" for a, b, state in status if state == "no source table")
+    empty = store.spark.createDataFrame([], "payload string, cursor string, from_object string, to_object string")
+    pages = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), [
+        landing.links[pair].select(*[c for c in ("payload", "cursor") if c in landing.links[pair].columns],
+                                   F.lit(pair[0]).alias("from_object"), F.lit(pair[1]).alias("to_object")) for pair in pairs], empty)
+    nobody = store.spark.createDataFrame([], "from_object string, from_id string")
+    sources = reduce(DataFrame.unionByName, [
+        live_ids(store.read(name)).select(F.lit(name).alias("from_object"), F.col("id").alias("from_id"))
+        for name in sorted({a for a, _ in pairs})], nobody)
+    rows = link_rows(pages, F.col("from_object"), F.col("to_object"), run_at)
+    rows = rows.join(sources.distinct(), ["from_object", "from_id"], "left_semi").select(*ASSOCIATIONS.names)
+    return Change(
+        ASSOCIATIONS, rows, whole=len(pairs) == len(LINK_PAIRS), reached=lambda _: run_at,
+        gates={"link pages were not all landed": open_cursors(pages),
+               "links were not all answered": untolerated_errors(pages, TOLERATED_LINKS)},
+        lacking=f"no source table for {lacking}" if lacking else "")
 
 
 def sync_crm(store: TableStore, landing: CrmLanding, objects: Sequence[str] = OBJECTS, mode: str | None = None,
-             overlap_seconds: int = 300, now: datetime | None = None) -> list[dict[str, Any]]:
-    """Sync each object in turn; one failing does not stop the others. The next watermark is the run start."""
+             overlap_seconds: int = 300, now: datetime | None = None) -> DataFrame:
+    """Sync the objects and return the report; the next watermark is the run start."""
     full, run_at = wants_full(mode), started(now)
     store.ensure_schema()
-    ledger = Ledger(store, CRM_STATE)
-    selected = [name for name in OBJECTS if name in objects]
-    plan = ledger.plan(selected, full, always_full=[LINKS], always_note="re-read in full on every run")
-    report = []
-    for name in selected:
-        step = plan[name]
+    ledger, picked = Ledger(store, CRM_STATE), selected(OBJECTS, objects)
+    plan = ledger.plan(picked, full, always_full=[LINKS], always_note="all links are read on every run")
+
+    def records(kind: str, step: Step) -> Change:
         since = step.watermark if step.mode == "incremental" else None
-        try:
-            if name == LINKS:
-                written = sync_links(store, landing, selected, run_at)
-            else:
-                written = sync_object(store, name, landing.records[name], since, run_at, overlap_seconds)
-            ledger.success(name, step.mode, written.rows, run_at, run_at)
-        except Exception as error:  # recorded in the report; the other objects still run
-            with suppress(Exception):  # the failure is in the report either way
-                ledger.failure(name, step.mode, described(error), run_at)
-            report.append(summary(name, step.mode, "FAILED", 0, step.watermark, step.note, described(error)))
-        else:
-            report.append(summary(name, step.mode, "SUCCESS", written.rows, run_at, step.note, None))
-    return report
+        return record_change(landing.records[kind], kind, since, run_at, overlap_seconds, landing.answers.get(kind))
+
+    changes = {kind: partial(records, kind) for kind in CRM_TABLES}
+    changes[LINKS] = lambda step: link_change(store, landing, picked, run_at)
+    return run_objects(store, ledger, plan, changes, run_at)
 
 
 def deals_by_stage(deals: DataFrame) -> DataFrame:

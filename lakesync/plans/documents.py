@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lakesync.plans.modes import started, wants_full
+from lakesync.plans.run import started, wants_full
 from lakesync.plans.store import TableStore
 from lakesync.plans.tables import stored_watermark, table_mode
 from lakesync.schemas import TableSpec

@@ -54,12 +54,12 @@ class TableStore:
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.namespace}")
 
     def exists(self, table: str) -> bool:
-        if self.spark.catalog.tableExists(self.name(table)):
-            return True
-        return self._restore(table)
+        """Whether the table can be read; asking changes nothing."""
+        return self.spark.catalog.tableExists(self.name(table))
 
     def ensure(self, spec: TableSpec) -> None:
-        if not self.exists(spec.name):
+        """For writers: bring back a table whose swap was cut off, or create it."""
+        if not self.exists(spec.name) and not self._restore(spec.name):
             self._create(spec.name, spec.ddl)
 
     def read(self, table: str) -> DataFrame:
@@ -82,15 +82,20 @@ class TableStore:
         self.spark.sql(f"ALTER TABLE {self.name(table)} RENAME TO {schema}.{to}")
 
     def _restore(self, table: str) -> bool:
-        """Bring back a table whose swap was cut off between its two renames."""
-        if not self.spark.catalog.databaseExists(self.namespace):
-            return False
-        old = [t.tableName for t in self.spark.sql(
-            f"SHOW TABLES IN {self.namespace} LIKE '{table}__old_*'").collect()]
+        """Bring back a table whose swap was cut off between its two renames: the latest commit set aside."""
+        old = self._set_aside(table)
         if old:
-            self._rename(sorted(old)[-1], table)
+            self._rename(old[-1][1], table)
         return bool(old)
 
+    def _set_aside(self, table: str) -> list[tuple[int, str]]:
+        """Former states of a table with their commit numbers, oldest first."""
+        if not self.spark.catalog.databaseExists(self.namespace):
+            return []
+        prefix = f"{table}__old_"
+        names = [t.tableName for t in self.spark.sql(f"SHOW TABLES IN {self.namespace} LIKE '{prefix}*'").collect()]
+        return sorted((int(n[len(prefix):]), n) for n in names if n[len(prefix):].isdigit())
+
     # ---- writes --------------------------------------------------------------
 
     def replace_all(self, spec: TableSpec, rows: DataFrame, dedup: bool = True) -> Written:
@@ -99,18 +104,27 @@ class TableStore:
             rows = newest_counted(rows, spec.key, spec.order_by, _tie(rows), COPIES)
         return self._swap(spec, rows.drop(SEQ))
 
-    def upsert(self, spec: TableSpec, rows: DataFrame) -> Written:
+    def upsert(self, spec: TableSpec, rows: DataFrame, marks: DataFrame | None = None, unique: bool = False) -> Written:
+        """Merge the rows and flag the ids of ``marks`` in one rewrite; marks that change nothing touch nothing."""
         self.ensure(spec)
         with self._staged(spec, rows) as (staged, outcome):
             written = outcome()
-            if written.rows:
+            if marks is not None:
+                needed = apply.needed_marks(self.read(spec.name), marks, staged)
+                with self._staged(spec, needed, order_by="archived_at", suffix="marks") as (flags, flagged):
+                    if written.rows or flagged().rows:
+                        touched = staged.select(*spec.bucket_by).unionByName(flags.select(*spec.bucket_by))
+                        self._rewrite(spec, touched, lambda old: apply.flag_archived(
+                            apply.upsert(old, staged, spec.key, spec.order_by, _tie(rows), unique), flags))
+            elif written.rows:
                 self._rewrite(spec, staged, lambda old: apply.upsert(
-                    old, staged, spec.key, spec.order_by, _tie(rows)))
+                    old, staged, spec.key, spec.order_by, _tie(rows), unique))
         return written
 
     def flag_archived(self, spec: TableSpec, marks: DataFrame) -> int:
-        """Flag the ids of ``marks`` (``id``, ``archived_at``) archived; no ids leaves the table alone."""
-        with self._staged(spec, marks, order_by="archived_at", suffix="marks") as (staged, outcome):
+        """Flag the ids of ``marks`` (``id``, ``archived_at``) archived; returns how many rows that changes."""
+        needed = apply.needed_marks(self.read(spec.name), marks)
+        with self._staged(spec, needed, order_by="archived_at", suffix="marks") as (staged, outcome):
             written = outcome()
             if written.rows:
                 self._rewrite(spec, staged, lambda old: apply.flag_archived(old, staged))
@@ -158,7 +172,8 @@ class TableStore:
             self.drop(following)
 
     def _swap(self, spec: TableSpec, result: DataFrame) -> Written:
-        following, old = f"{spec.name}__next_{self.run_id}", f"{spec.name}__old_{self.run_id}"
+        following, aside = f"{spec.name}__next_{self.run_id}", self._set_aside(spec.name)
+        old = f"{spec.name}__old_{aside[-1][0] + 1 if aside else 1}"
         try:
             if self.buckets:
                 result = result.withColumn(BUCKET, _bucket(spec, self.buckets))
@@ -167,8 +182,8 @@ class TableStore:
             if replaced:
                 self._rename(spec.name, old)
             self._rename(following, spec.name)
-            if replaced:
-                self.drop(old)
+            for _, former in self._set_aside(spec.name):  # also what runs cut off after their commit left behind
+                self.drop(former)
         finally:
             self.drop(following)
         return outcome()
@@ -201,11 +216,13 @@ class RowLevelStore(TableStore):
          .saveAsTable(self.name(spec.name)))
         return outcome()
 
-    def upsert(self, spec: TableSpec, rows: DataFrame) -> Written:
+    def upsert(self, spec: TableSpec, rows: DataFrame, marks: DataFrame | None = None, unique: bool = False) -> Written:
         self.ensure(spec)
         with self._staged(spec, rows) as (staged, outcome):
-            fresh = apply.overwrite(staged, spec.key, spec.order_by, _tie(rows)).drop(SEQ)
+            fresh = (staged if unique else apply.overwrite(staged, spec.key, spec.order_by, _tie(rows))).drop(SEQ)
             self._merge(spec, fresh, spec.key).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+            if marks is not None:
+                self.flag_archived(spec, marks)
             return outcome()
 
     def flag_archived(self, spec: TableSpec, marks: DataFrame) -> int:

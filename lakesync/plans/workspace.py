@@ -2,147 +2,135 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from typing import Any
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.functions.payload import RECORD, text_at, with_record
+from lakesync.functions.payload import RECORD, with_record
 from lakesync.mapping.workspace import block_rows, data_source_rows, in_trash, page_rows, user_rows
 from lakesync.operators.dedup import newest
 from lakesync.operators.tree import page_blocks
 from lakesync.operators.windows import from_micros, open_ended
 from lakesync.plans.ledger import Ledger, Step
-from lakesync.plans.modes import described, started, summary, wants_full
+from lakesync.plans.run import Change, run_objects, selected, started, wants_full
 from lakesync.plans.store import SEQ, TableStore
 from lakesync.schemas import BLOCKS, DATA_SOURCES, PAGES, USERS, WORKSPACE_STATE, WORKSPACE_TABLES
+from lakesync.session import Scratch
 from lakesync.sources.listing import changes_since
 
 OBJECTS = tuple(WORKSPACE_TABLES)
-Outcome = tuple[int, datetime | None, str | None]
 
 
 @dataclass(frozen=True)
 class WorkspaceLanding:
-    """Landed payloads. ``children`` is one row per listed block: ``parent_id``, ``seq``, ``payload``;
-    ``unreadable`` holds the ``page_id`` of pages whose content could not be read."""
+    """Landed payloads. ``children`` is one row per listed block: ``parent_id``, ``seq``, ``payload``, and ``landing`` if
+    lists land repeatedly. ``unreadable`` holds the ``page_id`` of pages whose content could not be read, ``listed`` the
+    ``parent_id`` of every child list that was landed, empty ones included; with it a page that lacks its list fails
+    the blocks instead of losing them."""
 
     users: DataFrame | None = None
     data_sources: DataFrame | None = None
     pages: DataFrame | None = None
     children: DataFrame | None = None
     unreadable: DataFrame | None = None
+    listed: DataFrame | None = None
 
 
 def page_refs(pages: DataFrame) -> DataFrame:
     """Newest reference per page (``id``, ``edited``, ``in_trash``) of a discovery feed."""
     keep = [c for c in (SEQ,) if c in pages.columns]
-    record = F.col(RECORD)
-    refs = with_record(pages).select(text_at(record, "id").alias("id"), "edited", in_trash(record).alias("in_trash"), *keep)
+    refs = with_record(pages).select(F.get_json_object("payload", "$.id").alias("id"), "edited", in_trash(F.col(RECORD)).alias("in_trash"), *keep)
     return newest(refs, ["id"], "edited", keep).drop(*keep)
 
 
+def page_outcome(refs: DataFrame, unreadable: DataFrame | None) -> DataFrame:
+    """``page_id, outcome`` of every reference: trashed, skipped (not readable) or walked."""
+    pages = refs.select(F.col("id").alias("page_id"), "in_trash")
+    if unreadable is None:
+        pages = pages.withColumn("_closed", F.lit(None).cast("boolean"))
+    else:
+        pages = pages.join(unreadable.select("page_id", F.lit(True).alias("_closed")).distinct(), "page_id", "left")
+    outcome = F.when(F.col("in_trash"), "trashed").when(F.col("_closed"), "skipped").otherwise("walked")
+    return pages.select("page_id", outcome.alias("outcome"))
+
+
 def readable_pages(refs: DataFrame, unreadable: DataFrame | None) -> DataFrame:
     """Pages to walk: not in the trash, content readable."""
-    pages = refs.filter("NOT in_trash").select(F.col("id").alias("page_id"))
-    return pages if unreadable is None else pages.join(unreadable.select("page_id"), "page_id", "left_anti")
+    return page_outcome(refs, unreadable).where("outcome = 'walked'").select("page_id")
 
 
 def skipped_pages(refs: DataFrame, unreadable: DataFrame) -> DataFrame:
-    return refs.filter("NOT in_trash").select(F.col("id").alias("page_id")).join(
-        unreadable.select("page_id"), "page_id", "left_semi")
-
-
-class _Run:
-    def __init__(self, store: TableStore, landing: WorkspaceLanding, plan: dict[str, Step], overlap_seconds: int,
-                 run_at: datetime):
-        self.store, self.landing, self.plan, self.run_at = store, landing, plan, run_at
-        self.overlap = timedelta(seconds=overlap_seconds)
-        self._discovered: DataFrame | None = None
-
-    def since(self, name: str) -> datetime | None:
-        step = self.plan[name]
-        return None if step.mode == "full" else step.watermark - self.overlap
-
-    def discovered(self) -> DataFrame:
-        """One change feed for pages and blocks, reaching back to the earlier of their thresholds."""
-        if self._discovered is None:
-            thresholds = [self.since(n) for n in ("pages", "blocks") if n in self.plan]
-            lowest = None if None in thresholds else min(thresholds)
-            self._discovered = changes_since(self.landing.pages, "page", lowest).drop(RECORD).persist()
-        return self._discovered
-
-    def close(self) -> None:
-        if self._discovered is not None:
-            self._discovered.unpersist()
-
-    def users(self, full: bool) -> Outcome:
-        written = self.store.replace_all(USERS, user_rows(self.landing.users, self.run_at, _seq(self.landing.users)))
-        return written.rows, None, None
-
-    def data_sources(self, full: bool) -> Outcome:
-        feed = changes_since(self.landing.data_sources, "data_source", self.since("data_sources"))
-        rows = data_source_rows(feed, self.run_at, _seq(feed))
-        written = (self.store.replace_all if full else self.store.upsert)(DATA_SOURCES, rows)
-        return written.rows, written.newest, None
-
-    def pages(self, full: bool) -> Outcome:
-        feed = open_ended(self.discovered(), "edited", self.since("pages"))
-        rows = page_rows(feed, self.run_at, _seq(feed))
-        written = (self.store.replace_all if full else self.store.upsert)(PAGES, rows)
-        note = "no pages visible: none is shared with this sync" if full and not written.rows else None
-        return written.rows, written.newest, note
-
-    def blocks(self, full: bool) -> Outcome:
-        changed = open_ended(page_refs(self.discovered()), "edited", self.since("blocks")).persist()
-        try:
-            roots = readable_pages(changed, self.landing.unreadable)
-            rows = block_rows(page_blocks(roots, self.landing.children, [SEQ]), self.run_at)
-            if full:
-                written = self.store.replace_all(BLOCKS, rows)
-            else:
-                written = self.store.replace_by_parent(BLOCKS, rows, changed.select(F.col("id").alias("page_id")))
-            latest = from_micros(changed.agg(F.max(F.unix_micros("edited"))).first()[0])
-            skipped = 0 if self.landing.unreadable is None else skipped_pages(changed, self.landing.unreadable).count()
-        finally:
-            changed.unpersist()
-        note = f"{skipped} page(s) skipped (deleted or no longer shared)" if skipped else None
-        return written.rows, latest, note
+    return page_outcome(refs, unreadable).where("outcome = 'skipped'").select("page_id")
+
+
+def object_change(spec, mapped: Callable[..., DataFrame], feed: DataFrame, run_at: datetime, whole: bool, **more) -> Change:
+    """Mapped rows of a feed, replacing the table or merged into it."""
+    return Change(spec, mapped(feed, run_at, [c for c in (SEQ,) if c in feed.columns]), whole=whole, **more)
+
+
+def block_change(refs: DataFrame, landing: WorkspaceLanding, run_at: datetime, whole: bool) -> Change:
+    """Content of the changed pages: walked anew if readable, cleared if trashed or no longer readable."""
+    roots = readable_pages(refs, landing.unreadable)
+    stamp = "landing" if "landing" in landing.children.columns else None
+    rows = block_rows(page_blocks(roots, landing.children, [SEQ], stamp), run_at)
+    gates = {}
+    if landing.listed is not None:
+        unlisted = roots.join(landing.listed.select(F.col("parent_id").alias("page_id")), "page_id", "left_anti")
+        gates["child lists of pages were not landed"] = unlisted
+
+    def skipped() -> str | None:
+        count = 0 if landing.unreadable is None else skipped_pages(refs, landing.unreadable).count()
+        return f"{count} unreadable pages cleared" if count else None
+
+    return Change(BLOCKS, rows, whole=whole, parents=None if whole else refs.select(F.col("id").alias("page_id")), gates=gates, note=skipped,
+                  reached=lambda _: from_micros(refs.agg(F.max(F.unix_micros("edited"))).first()[0]))
+
+
+def workspace_changes(landing: WorkspaceLanding, plan: Mapping[str, Step], overlap: timedelta, run_at: datetime,
+                      scratch: Scratch) -> dict[str, Callable[[Step], Change]]:
+    """How each object changes from its step of the plan."""
+
+    def since(step: Step) -> datetime | None:
+        return None if step.mode == "full" else step.watermark - overlap
+
+    @cache
+    def discovered() -> DataFrame:
+        """One change feed for pages and blocks, back to the earlier of their thresholds, written once."""
+        bounds = [since(plan[name]) for name in ("pages", "blocks") if name in plan]
+        return scratch.cut(changes_since(landing.pages, "page", None if None in bounds else min(bounds)).drop(RECORD))
+
+    def users(step: Step) -> Change:
+        return object_change(USERS, user_rows, landing.users, run_at, True, reached=lambda _: None)
+
+    def data_sources(step: Step) -> Change:
+        return object_change(DATA_SOURCES, data_source_rows, changes_since(landing.data_sources, "data_source", since(step)), run_at, step.mode == "full")
+
+    def pages(step: Step) -> Change:
+        feed, whole = open_ended(discovered(), "edited", since(step)), step.mode == "full"
+        return object_change(PAGES, page_rows, feed, run_at, whole, note=lambda: "no page is visible" if whole and feed.isEmpty() else None)
+
+    def blocks(step: Step) -> Change:
+        refs = scratch.cut(open_ended(page_refs(discovered()), "edited", since(step)))
+        return block_change(refs, landing, run_at, step.mode == "full")
+
+    return {"users": users, "data_sources": data_sources, "pages": pages, "blocks": blocks}
 
 
 def sync_workspace(store: TableStore, landing: WorkspaceLanding, objects: Sequence[str] = OBJECTS,
-                   mode: str | None = None, overlap_seconds: int = 300,
-                   now: datetime | None = None) -> list[dict[str, Any]]:
-    """Sync each object in turn; one failing does not stop the others.
+                   mode: str | None = None, overlap_seconds: int = 300, now: datetime | None = None) -> DataFrame:
+    """Sync the objects and return the report.
 
     The next watermark is the newest edit seen, or the stored one when nothing changed.
     """
-    full, run_at = wants_full(mode, "cdc"), started(now)
+    full, run_at, scratch = wants_full(mode, "cdc"), started(now), Scratch(store.spark)
     store.ensure_schema()
     ledger = Ledger(store, WORKSPACE_STATE)
-    selected = [name for name in OBJECTS if name in objects]
-    plan = ledger.plan(selected, full, always_full=["users"], changed="cdc")
-    run, report = _Run(store, landing, plan, overlap_seconds, run_at), []
+    plan = ledger.plan(selected(OBJECTS, objects), full, always_full=["users"], changed="cdc")
     try:
-        for name in selected:
-            step = plan[name]
-            try:
-                rows, latest, extra = getattr(run, name)(step.mode == "full")
-                watermark = latest or step.watermark
-                ledger.success(name, step.mode, rows, watermark, run_at)
-            except Exception as error:  # recorded in the report; the other objects still run
-                ledger.failure(name, step.mode, described(error), run_at)
-                report.append(summary(name, step.mode, "FAILED", 0, step.watermark, step.note, described(error)))
-            else:
-                note = "; ".join(n for n in (step.note, extra) if n) or None
-                report.append(summary(name, step.mode, "SUCCESS", rows, watermark, note, None))
+        return run_objects(store, ledger, plan, workspace_changes(landing, plan, timedelta(seconds=overlap_seconds), run_at, scratch), run_at)
     finally:
-        run.close()
-    return report
-
-
-def _seq(df: DataFrame) -> list[str]:
-    return [c for c in (SEQ,) if c in df.columns]
+        scratch.drop_all()

@@ -112,6 +112,8 @@ def read_documents(lines: DataFrame, schema: T.StructType, watermark_field: str
     """
     if watermark_field is None and (since is not None or until is not None):
         raise ValueError("since and until need a watermark field")
+    if watermark_field is not None and "modified" in lines.columns:  # a typed landing: before anything is parsed
+        lines = closed(lines, "modified", since, until, overlap_seconds)
     named = T.StructType([f for f in schema.fields if f.name != EXTRA])
     typed = once(lines.select("payload"), _plain=plain_json(F.col("payload")))
     typed = once(typed, _doc=F.from_json("_plain", named, {"mode": "FAILFAST"}))

@@ -8,9 +8,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesync.functions.payload import RECORD, each, once, text_at, with_record
-from lakesync.functions.times import parse_iso, to_time
+from lakesync.functions.payload import each, once
+from lakesync.functions.times import to_time
 from lakesync.operators.windows import open_ended
+from lakesync.sources.landing import typed_objects
 
 
 def landed_files(spark: SparkSession, path: str) -> DataFrame:
@@ -68,9 +69,7 @@ def live_ids(table: DataFrame) -> DataFrame:
 def changes_since(objects: DataFrame, kind: str, since: datetime | None = None, overlap_seconds: int = 0) -> DataFrame:
     """Landed objects of one type edited since the watermark; partial ones (no edit time) are left out.
 
-    Adds ``edited`` and the parsed record.
+    Adds ``edited``. Typed landings are narrowed before any payload is parsed.
     """
-    record = F.col(RECORD)
-    feed = once(with_record(objects).filter(text_at(record, "object") == kind),
-                edited=parse_iso(text_at(record, "last_edited_time"), "last_edited_time"))
-    return open_ended(feed, "edited", since, overlap_seconds)
+    typed = typed_objects(objects)
+    return open_ended(typed.where(F.col("kind") == kind).drop("kind"), "edited", since, overlap_seconds)

@@ -169,11 +169,14 @@ def test_masking(spark):
 
 def test_masking_takes_the_longest_secret_first():
     assert text.uri_secrets("x://ab:abc@h/db") == ["abc", "ab", "h"]
+    assert text.uri_secrets("x://us%2Fer:p%3Aw@One.example:27017,two.example/db?a=b@c") == [
+        "One.example", "two.example", "us%2Fer", "us/er", "p%3Aw", "p:w"]
+    assert text.uri_secrets("x://h.example") == ["h.example"] and text.uri_secrets("x:///path") == []
 
 
 def test_classify_first_rule_wins(spark):
     messages = ["x bad auth MongoTimeoutException", "MongoTimeoutException", "something else"]
-    found = evaluate(spark, lambda c: text.classify(c, text.DOCUMENT_ERROR_RULES, "MongoError")["kind"], messages)
+    found = evaluate(spark, lambda c: text.classify(c, text.DOCUMENT_ERROR_RULES, "MongoError"), messages)
     assert found == ["MongoAuthError", "MongoError", "MongoError"]
 
 
