@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.shared import batches, partitions, text_of
+from lakesync.llm.shared import batches, partitions, text_of, utf8
 
 EMPTY = "-" * 8
 
@@ -48,25 +48,50 @@ def terms(text: bytes) -> set[bytes]:
 
 
 def lexicon(docs: DataFrame, band: Band = Band()) -> list[bytes]:
-    """Terms of the band, sorted. Document frequencies are counted over all documents, summed per task first."""
+    """Terms of the band, sorted. Document frequencies are counted over all documents.
 
+    Tasks sum up what they read and send the sums dealt by term and packed; each term's sums meet in one place.
+    """
+    count = partitions(docs.sparkSession)
+    packed_schema = pa.schema([("shard", pa.int32()), ("terms", pa.binary()), ("n", pa.binary())])
     schema = pa.schema([("term", pa.binary()), ("n", pa.int64())])
 
+    def packed(held: dict[bytes, int]) -> Iterator[tuple]:
+        by_shard: dict[int, list[bytes]] = {}
+        for term in sorted(held):
+            by_shard.setdefault(xxhash.xxh32_intdigest(term) % count, []).append(term)
+        for shard, words in by_shard.items():
+            data = b"\n".join(words)
+            yield (shard, len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True),
+                   np.array([held[word] for word in words], "<u4").tobytes())
+
     def counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, int] = {}
+        def rows():
+            held: dict[bytes, int] = {}
+            for part in parts:
+                for value in utf8(part.column(0)):
+                    for term in terms(value):
+                        held[term] = held.get(term, 0) + 1
+                if len(held) > 400_000:  # bounded memory: what a task says twice is added up
+                    yield from packed(held)
+                    held = {}
+            yield from packed(held)
+
+        return batches(rows(), packed_schema, size=64)
+
+    def summed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[bytes, int] = {}
         for part in parts:
-            for value in part.column(0).to_pylist():
-                for term in terms(value):
-                    held[term] = held.get(term, 0) + 1
-            if len(held) > 500_000:  # bounded memory: Spark adds up what a task says twice
-                yield from batches(held.items(), schema)
-                held = {}
-        yield from batches(held.items(), schema)
-
-    texts = docs.select(text_of().cast("binary").alias("text"))
-    total = docs.count()
-    counts = texts.mapInArrow(counted, "term binary, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = counts.where((F.col("n") > band.low * total) & (F.col("n") <= max(1.0, band.high * total))).select("term").collect()
+            for words, numbers in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                words = pa.decompress(words[8:], int.from_bytes(words[:8], "little"), codec="zstd", asbytes=True).split(b"\n")
+                for word, n in zip(words, np.frombuffer(numbers, "<u4").tolist()):
+                    total[word] = total.get(word, 0) + n
+        yield from batches(total.items(), schema)
+
+    size = docs.count()
+    texts = docs.select(text_of().alias("text")).mapInArrow(counted, "shard int, terms binary, n binary")
+    counts = texts.repartitionById(count, "shard").mapInArrow(summed, "term binary, n long")
+    found = counts.where((F.col("n") > band.low * size) & (F.col("n") <= max(1.0, band.high * size))).select("term").collect()
     return sorted(bytes(row["term"]) for row in found)
 
 
