@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,7 +19,16 @@ def to_amount(text: Column) -> Column:
     DECIMAL(38,18), which is the quicker way.
     """
     text = F.replace(F.trim(text), F.lit("_"), F.lit(""))
-    text = F.when(F.contains(F.lower(text), F.lit("e")), _written_out(text)).otherwise(text)
+    scaled = F.contains(F.lower(text), F.lit("e"))
+    return F.when(scaled & text.rlike(_NUMBER), _bound(_written_out(text), _rounded)).when(~scaled, _rounded(text))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _rounded(text: Column) -> Column:
     dot = F.instr(text, ".")
     short = (dot == 0) | (F.length(text) - dot <= 18)
     narrow = F.bround(text.try_cast("decimal(38,18)"), 6).cast(AMOUNT)
@@ -26,23 +37,31 @@ def to_amount(text: Column) -> Column:
 
 
 def _written_out(text: Column) -> Column:
-    """A number in exponent form as plain digits; NULL if it is none or has more integer digits than fit.
+    """A number in exponent form as plain digits; NULL if it has more integer digits than fit.
 
     The point moves within the significant digits; far to the left of them the
     number rounds to zero whatever they are.
     """
     power = F.regexp_extract(text, r"[eE]([+-]?\d+)$", 1)
-    power = F.coalesce(power.try_cast("int"), F.when(power.startswith("-"), -1_000_000).otherwise(1_000_000))
     whole = F.regexp_extract(text, r"^[+-]?(\d*)", 1)
     digits = F.concat(whole, F.regexp_extract(text, r"^[+-]?\d*\.(\d*)", 1))
-    significant = F.ltrim(digits, F.lit("0"))
-    size = F.length(significant)
-    point = F.length(whole) + power - (F.length(digits) - size)  # digits before the point, negative for zeros behind it
-    inside = F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), significant)).when(
-        point >= size, F.concat(significant, F.repeat(F.lit("0"), point - size))).otherwise(
-        F.concat(F.substr(significant, F.lit(1), point), F.lit("."), F.substr(significant, point + 1)))
-    spelled = F.when((size == 0) | (point < -12), F.lit("0")).when(point <= 32, inside)
-    return F.when(text.rlike(_NUMBER), F.concat(F.when(text.startswith("-"), "-").otherwise(""), spelled))
+    parts = F.struct(
+        F.coalesce(power.try_cast("int"), F.when(power.startswith("-"), -1_000_000).otherwise(1_000_000)).alias("power"),
+        F.length(whole).alias("whole"), F.length(digits).alias("all"), F.ltrim(digits, F.lit("0")).alias("significant"))
+
+    def placed(p: Column) -> Column:
+        size = F.length(p["significant"])
+        # digits before the point, negative for zeros behind it
+        return F.struct(p["significant"].alias("digits"), size.alias("size"), (p["whole"] + p["power"] - (p["all"] - size)).alias("point"))
+
+    def spelled(p: Column) -> Column:
+        digits, size, point = p["digits"], p["size"], p["point"]
+        inside = F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)).when(
+            point >= size, F.concat(digits, F.repeat(F.lit("0"), point - size))).otherwise(
+            F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1)))
+        return F.when((size == 0) | (point < -12), F.lit("0")).when(point <= 32, inside)
+
+    return F.concat(F.when(text.startswith("-"), "-").otherwise(""), _bound(parts, lambda p: _bound(placed(p), spelled)))
 
 
 def _round_digits(text: Column, dot: Column) -> Column:

@@ -170,7 +170,7 @@ def test_masking(spark):
 def test_masking_takes_the_longest_secret_first():
     assert text.uri_secrets("x://ab:abc@h/db") == ["abc", "ab", "h"]
     assert text.uri_secrets("x://us%2Fer:p%3Aw@One.example:27017,two.example/db?a=b@c") == [
-        "One.example", "two.example", "us%2Fer", "us/er", "p%3Aw", "p:w"]
+        "One.example", "two.example", "us%2Fer", "p%3Aw", "us/er", "p:w"]
     assert text.uri_secrets("x://h.example") == ["h.example"] and text.uri_secrets("x:///path") == []
 
 
