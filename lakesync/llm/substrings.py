@@ -111,7 +111,8 @@ def _unpack(data: bytes, kind: type, rising: bool = False) -> np.ndarray:
 
 def _written(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    codec = pa.Codec("zstd", compression_level=6)  # texts are most of what is shuffled
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=codec)) as writer:
         writer.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
 
@@ -125,13 +126,14 @@ def _column(table: pa.Table, name: str) -> pa.Array:
     return column.chunk(0) if column.num_chunks else pa.array([], column.type)
 
 
-def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, pa.Table]]:
-    """Runs of rows with about ``BLOCK_BYTES`` of text, named by a hash of what they hold."""
+def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """Runs of rows with about ``BLOCK_BYTES`` of text, named by a hash of their ids and texts."""
 
     def closed():
         table = pa.Table.from_batches(held).combine_chunks()
-        data = _written(table)
-        return xxhash.xxh3_64_intdigest(data) - (1 << 63), data, table
+        name = xxhash.xxh3_64(str(table.column("doc_id").to_pylist()))
+        name.update(b"\0".join(utf8(_column(table, "text"))))
+        return name.intdigest() - (1 << 63), table
 
     held, weight = [], 0
     for part in parts:
@@ -279,7 +281,7 @@ def dedup(docs: DataFrame, window: int = 13, phrase: int = 6, scratch: Scratch |
         return np.asarray(ids.fill_null(0).cast(pa.int64())), ~np.asarray(ids.is_null().to_numpy(zero_copy_only=False))
 
     def first_keys(parts):
-        for block, _, table in _blocks(parts):
+        for block, table in _blocks(parts):
             words = Words(_column(table, "text"), window)
             ids, named = ids_of(table)
             hashes, least = words.chosen_phrases(phrase)
@@ -292,8 +294,8 @@ def dedup(docs: DataFrame, window: int = 13, phrase: int = 6, scratch: Scratch |
                 np.concatenate((content[words.texts[places]].view(np.int64), ids[whole])), count)
 
     def rows_of(parts):
-        for block, data, _ in _blocks(parts):
-            yield None, block, ROWS, None, None, None, None, data
+        for block, table in _blocks(parts):
+            yield None, block, ROWS, None, None, None, None, _written(table)
 
     def final(block: int, table: pa.Table, removed: np.ndarray):
         if table.num_rows:
