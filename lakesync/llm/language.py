@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -23,6 +23,8 @@ UNKNOWN = "und"
 LONGEST = 48
 #: Distinct words whose results a task keeps; then it starts anew.
 KEPT_WORDS = 300_000
+#: Distinct words learned of each language at least, and the slices they are ranked in.
+LEAST_WORDS, SLICES = 512, 16
 
 
 @dataclass
@@ -140,25 +142,32 @@ def fit(words: list[bytes], labels: np.ndarray, weight: np.ndarray, languages: l
     return net
 
 
-def train(docs: DataFrame, per_language: int = 400, words: int = 40_000, languages: int = 64) -> Network:
+def train(docs: DataFrame, per_language: int = 400, words: int = 40_000) -> Network:
     """Fit on labelled rows whose crc32(doc_id as text) mod 3 is not 1.
 
-    The sample is bounded: the ``languages`` most frequent values of ``lang``, about ``per_language`` documents of each
-    (those with the smallest hash of their id), and of their distinct words the ``words`` with the smallest hash.
-    A null id counts as not held out. Without any labelled row the network has no language and everything is ``und``.
+    Every value of ``lang`` in these rows is learned. The sample is bounded for each: about ``per_language`` documents
+    (those with the smallest hash of their id), and of their distinct words an equal share of ``words``, at least
+    ``LEAST_WORDS``, those with the smallest hash. A null id counts as not held out. Without any labelled row the
+    network has no language and everything is ``und``.
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     known = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL").where(~held_out)
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    spread = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit("sample")), F.lit(1 << 30))
+    # The row with the smallest hash is taken in any case, so that no language is without a document.
+    counts = known.groupBy("lang").agg(F.count("*").alias("_n"), F.min(F.when(F.length(F.trim(text_of())) > 0, spread)).alias("_least")).collect()
     if not counts:
         return Network.fresh([])
-    share = F.lit(None).cast("double")
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, per_language / row["count"]))).otherwise(share)
-    spread = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit("sample")), F.lit(1 << 30)) / (1 << 30)
-    chosen = known.where(spread < share).select("lang", F.explode(words_of(text_of())).alias("word"))
-    pairs = chosen.groupBy("lang", "word").count().orderBy(F.xxhash64("word", "lang"), "lang", "word").limit(words)
-    found = pairs.select("lang", F.substring(F.col("word").cast("binary"), 1, LONGEST).alias("word"), "count").collect()
+    limits = docs.sparkSession.createDataFrame([(row["lang"], max(int(min(1.0, per_language / row["_n"]) * (1 << 30)), (row["_least"] or 0) + 1)) for row in counts],
+                                               "lang string, _limit long")
+    chosen = known.join(F.broadcast(limits), "lang").where(spread < F.col("_limit")).select("lang", F.explode(words_of(text_of())).alias("word"))
+    pairs = chosen.groupBy("lang", "word").count()
+    # Slices by hash, so that the words of a frequent language are not ranked in one task.
+    most = max(LEAST_WORDS, words // len(counts))
+    order = F.xxhash64("word", "lang")
+    ranked = pairs.withColumn("_order", order).withColumn("_slice", F.pmod(order, F.lit(SLICES)))
+    ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy("lang", "_slice").orderBy("_order", "word")))
+    pairs = ranked.where(F.col("_rank") <= -(-most // SLICES))
+    found = pairs.select("lang", F.substring(F.col("word").cast("binary"), 1, LONGEST).alias("word"), "count").orderBy("_order", "lang", "word").collect()
     names = sorted({row["lang"] for row in found})
     if not names:
         return Network.fresh([])
@@ -174,6 +183,8 @@ class Labeller:
 
     def __init__(self, net: Network):
         self.net, self.codes, self.sums, self.used = net, {}, np.zeros((1024, len(net.languages)), np.float32), 0
+        # with more languages fewer words are kept and read at once
+        self.most, self.batch = (max(64, n * 64 // max(64, len(net.languages))) for n in (KEPT_WORDS, 4096))
 
     def pooled(self, text: bytes) -> np.ndarray:
         """Mean distribution over all bytes of the words of a text."""
@@ -187,7 +198,7 @@ class Labeller:
 
     def prepare(self, texts: list[bytes]) -> None:
         """Run the network for the new words of many texts at once."""
-        if self.used > KEPT_WORDS:
+        if self.used > self.most:
             self.codes, self.used = {}, 0
         new = set()
         for text in texts:
@@ -200,12 +211,12 @@ class Labeller:
             more = np.zeros((2 * (self.used + len(ordered)), self.sums.shape[1]), np.float32)
             more[:self.used] = self.sums[:self.used]
             self.sums = more
-        for start in range(0, len(ordered), 4096):
-            words = ordered[start:start + 4096]
+        for start in range(0, len(ordered), self.batch):
+            words = ordered[start:start + self.batch]
             pieces = [(i, word[a:a + LONGEST]) for i, word in enumerate(words) for a in range(0, len(word), LONGEST)]
             sums = np.zeros((len(words), self.sums.shape[1]), np.float32)
-            for at in range(0, len(pieces), 4096):
-                owners, parts = zip(*pieces[at:at + 4096])
+            for at in range(0, len(pieces), self.batch):
+                owners, parts = zip(*pieces[at:at + self.batch])
                 chance, mask = position_probabilities(self.net, list(parts))
                 np.add.at(sums, np.array(owners), (chance * mask[:, :, None]).sum(axis=0))
             self.sums[self.used:self.used + len(words)] = sums

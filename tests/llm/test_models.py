@@ -79,3 +79,12 @@ def test_held_out_labels_are_not_learned(spark):
     turned = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
     probe = np.random.default_rng(0).normal(size=(50, len(quality.FEATURES)))
     assert (quality.train(docs, labels).score(probe) == quality.train(docs, turned).score(probe)).all()
+
+
+def test_every_language_is_learned(spark):
+    """More than 64 values of lang, and one with most words of all."""
+    rows = [(n, f"{chr(0x4E00 + 40 * (n % 70))}{chr(0x4E05 + 40 * (n % 70))} " * 3, f"l{n % 70:02}") for n in range(700)]
+    rows += [(1000 + n, " ".join(f"word{n}x{k}" for k in range(500)), "big") for n in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language.train(docs, words=200)
+    assert net.languages == sorted({row[2] for row in rows})
