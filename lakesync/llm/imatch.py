@@ -17,9 +17,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesync.llm.shared import batches, partitions, text_of, utf8
+from lakesync.llm.shared import Scratch, batches, marked, maybe_in, partitions, text_of, utf8
 
 EMPTY = "-" * 8
+#: A text with fewer terms of the band, or with most of its terms outside, is known by others too: from above and from
+#: below the band as many as are missing, at most ``MOST``.
+FEWEST, MOST = 32, 128
 
 
 @dataclass(frozen=True)
@@ -47,8 +50,36 @@ def terms(text: bytes) -> set[bytes]:
     return {word.strip(b".,;:!?\"'()[]") for word in text.lower().split()} - {b""}
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """Terms of the band, sorted, and the terms above it, the rarest first."""
+
+    words: list[bytes]
+    above: list[bytes]
+
+
+def _distinct_texts(docs: DataFrame) -> tuple[DataFrame, int]:
+    """One row of each text, and their number. Only texts that have copies may move, and of each but one row.
+
+    ``docs`` must give the same rows in the same order when read again, as a table does.
+    """
+    rows = docs.select(text_of().alias("text")).withColumn("_row", F.monotonically_increasing_id())
+    hashed = rows.withColumn("_a", F.xxhash64("text")).withColumn("_b", F.xxhash64(F.lit(1), "text"))
+    groups = Scratch(docs.sparkSession).cut(hashed.groupBy("_a", "_b").agg(F.min("_row").alias("_row"), F.count("*").alias("_n")))
+    repeated = groups.where("_n > 1").select("_a")
+    seen = marked(hashed.drop("_b"), "_a", repeated)
+    firsts = maybe_in(groups.select("_a", "_row"), "_a", repeated).select("_row")
+    once_each = maybe_in(seen.where("_maybe").select("text", "_row"), "_row", firsts).join(firsts, "_row", "left_semi").select("text")
+    return seen.where("NOT _maybe").select("text").unionByName(once_each), groups.count()
+
+
 def lexicon(docs: DataFrame, band: Band = Band()) -> list[bytes]:
-    """Terms of the band, sorted. Document frequencies are counted over all documents.
+    """Terms of the band, sorted. Document frequencies are counted over distinct texts, so copies weigh once."""
+    return lexicon_and_above(docs, band).words
+
+
+def lexicon_and_above(docs: DataFrame, band: Band = Band()) -> Lexicon:
+    """The lexicon, and the terms above the band: at most (mean distinct terms) / ``band.high`` of them.
 
     Tasks sum up what they read and send the sums dealt by term and packed; each term's sums meet in one place.
     """
@@ -88,36 +119,62 @@ def lexicon(docs: DataFrame, band: Band = Band()) -> list[bytes]:
                     total[word] = total.get(word, 0) + n
         yield from batches(total.items(), schema)
 
-    size = docs.count()
-    texts = docs.select(text_of().alias("text")).mapInArrow(counted, "shard int, terms binary, n binary")
+    distinct, size = _distinct_texts(docs)
+    texts = distinct.mapInArrow(counted, "shard int, terms binary, n binary")
     counts = texts.repartitionById(count, "shard").mapInArrow(summed, "term binary, n long")
-    found = counts.where((F.col("n") > band.low * size) & (F.col("n") <= max(1.0, band.high * size))).select("term").collect()
-    return sorted(bytes(row["term"]) for row in found)
+    found = [(row["n"], bytes(row["term"])) for row in counts.where(F.col("n") > band.low * size).collect()]
+    most = max(1.0, band.high * size)
+    return Lexicon(sorted(term for n, term in found if n <= most), [term for _, term in sorted(pair for pair in found if pair[0] > most)])
 
 
 class Printer:
     """Fingerprints texts against a fixed lexicon."""
 
-    def __init__(self, words: list[bytes], band: Band):
+    def __init__(self, words: list[bytes], band: Band, above: list[bytes] = ()):
+        self.band, self.above, self.others = band, {word: i for i, word in enumerate(above)}, {}
         self.places = {word: i for i, word in enumerate(words)}
         self.hashes = np.array([xxhash.xxh64_intdigest(word, band.seed) for word in words], dtype="<u8")
+        self.members = self._drawn(words)
+
+    def _drawn(self, words: list[bytes]) -> np.ndarray:
+        """Which subset (row) has which word; drawn by the word alone, so that words outside the lexicon have their subsets too."""
         rows = []
-        for share in band.parts:
-            for number in range(band.subsets):
-                draw = np.array([xxhash.xxh32_intdigest(word, hash((band.seed, number, int(share * 1e6))) & 0xFFFFFFFF) for word in words], dtype=np.uint64)
+        for share in self.band.parts:
+            for number in range(self.band.subsets):
+                draw = np.array([xxhash.xxh32_intdigest(word, hash((self.band.seed, number, int(share * 1e6))) & 0xFFFFFFFF) for word in words], dtype=np.uint64)
                 rows.append(draw < np.uint64(share * 2 ** 32))
-        self.members = np.array(rows, dtype=bool).reshape(band.size, len(words))
+        return np.array(rows, dtype=bool).reshape(self.band.size, len(words))
+
+    def _filled(self, words: set[bytes], found: np.ndarray, more: int) -> tuple[np.ndarray, np.ndarray]:
+        """Members and hashes of the found terms and of ``more`` on either side of the band: from those above it the
+        rarest, from those below it, whose frequencies nobody keeps, the least hashes, which edits seldom change."""
+        hashed = lambda word: (xxhash.xxh64_intdigest(word, self.band.seed), word)
+        rest = sorted(words & self.above.keys(), key=self.above.get)[:more]
+        rest += sorted((word for word in words if word not in self.places and word not in self.above), key=hashed)[:more]
+        if len(self.others) > 50_000:
+            self.others = {}
+        new = [word for word in rest if word not in self.others]
+        if new:
+            self.others.update(zip(new, self._drawn(new).T))
+        hashes = np.concatenate([self.hashes[found], np.array([xxhash.xxh64_intdigest(word, self.band.seed) for word in rest], dtype="<u8")])
+        seen = np.concatenate([self.members[:, found], *[self.others[word][:, None] for word in rest]], axis=1)
+        order = np.argsort(hashes, kind="stable")
+        return seen[:, order], hashes[order]
 
     def fingerprint(self, text: bytes) -> str:
         """Per subset one hex digit with the number of its terms in the text (up to 15) and seven of the hash of these
-        terms, distinct and sorted; dashes where there are none. A text without any term is known by its own hash."""
-        get = self.places.get
-        found = {get(word) for word in terms(text)}
+        terms, distinct and sorted; dashes where there are none. A text with few terms of the lexicon is known by some of
+        its other terms too, one without any word by its own hash."""
+        get, words = self.places.get, terms(text)
+        found = {get(word) for word in words}
         found.discard(None)
-        if not found:
+        if not words:
             return EMPTY * len(self.members) + xxhash.xxh128_hexdigest(text)
         found = np.fromiter(sorted(found), np.int64, len(found))
-        seen, hashes = self.members[:, found], self.hashes[found]
+        # in the order of hashes, so that equal sets of terms agree whether or not texts were filled up
+        found = found[np.argsort(self.hashes[found], kind="stable")]
+        more = min(MOST, max(FEWEST, len(words) // 2) - len(found))
+        seen, hashes = self._filled(words, found, more) if more > 0 else (self.members[:, found], self.hashes[found])
         return "".join([f"{min(n, 15):x}" + xxhash.xxh32_hexdigest(hashes[row].tobytes())[1:] if n else EMPTY
                         for row, n in zip(seen, seen.sum(axis=1).tolist())])
 
@@ -142,10 +199,10 @@ def likeness(a: str, b: str) -> float:
 
 def fingerprints(docs: DataFrame, band: Band = Band(), words: list[bytes] | None = None) -> DataFrame:
     """``doc_id, fingerprint`` of every document, in one pass; equal texts have equal fingerprints."""
-    words = lexicon(docs, band) if words is None else words
+    known = lexicon_and_above(docs, band) if words is None else Lexicon(words, [])
 
     def made(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        printer = Printer(words, band)
+        printer = Printer(known.words, band, known.above)
         for part in parts:
             found = [printer.fingerprint(value) for value in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.string())], ["doc_id", "fingerprint"])
@@ -193,14 +250,14 @@ def compared_with_next(docs: DataFrame, band: Band = Band()) -> DataFrame:
 
     A single document is its own next one. Repeated ids follow each other by text; null ids come last.
     """
-    words = lexicon(docs, band)
+    known = lexicon_and_above(docs, band)
     schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
     kinds = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
                        ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def compared(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        printer = Printer(words, band)
+        printer = Printer(known.words, band, known.above)
 
         def rows():
             held, done = None, None  # the row that waits for its successor, and the slice that has met its extra rows

@@ -47,3 +47,18 @@ def test_hard_rows(spark):
     assert imatch.fingerprints(docs.limit(0)).count() == 0
     known = {r["doc_id"]: r["fingerprint"] for r in imatch.fingerprints(docs).collect()}
     assert known[3] == known[4] and imatch.likeness(known[3], known[-2]) == 0
+
+
+def test_copies_and_rare_languages_keep_fingerprints(spark):
+    """A third of all rows is one text, and one text has only terms below the band."""
+    rng = np.random.default_rng(3)
+    rows = [(n, " ".join(f"w{k}" for k in rng.integers(0, 3000, 60))) for n in range(1000)]
+    copied, rare = (" ".join(f"{mark}{k}" for k in range(198)) for mark in ("copied", "rare"))
+    rows += [(2000 + n, copied) for n in range(500)] + [(5000, rare)]
+    rows += [(6000 + n, f"{copied} common{n}") for n in range(400)]  # near copies: the terms are above the band anyway
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["near_edited"], r["near_next"]) for r in imatch.compared_with_next(docs).collect()}
+    assert len(got) == len(rows) and min(got[i][0] for i in [*range(2000, 2499), 5000]) > 0.05
+    assert all(got[i][0] > got[i][1] for i in (2000, 5000))  # the next text is another one
+    twice = docs.where("doc_id < 1000").unionByName(docs.where("doc_id = 7").crossJoin(spark.range(300)).select("doc_id", "text"))
+    assert imatch.lexicon(twice) == imatch.lexicon(docs.where("doc_id < 1000"))
