@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakesync.llm import bpe, chat, imatch, language, lines, packing, quality, rules, simhash, substrings
+from lakesync.llm import bpe, chat, imatch, language, lines, packing, quality, rules, simhash, substrings, winnow
 from lakesync.llm.shared import text_of, words_of
 from lakesync.session import configure
 
@@ -138,4 +138,26 @@ def fuzzy_lines(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(text_of(), 256).alias("kept_sha256"))
 
 
+@query("op11_winnowed_leaks", r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+sized AS (SELECT item_id, words, least(10, len(words)) AS n FROM items WHERE len(words) > 0),
+wanted AS (SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS i FROM sized)),
+places AS (SELECT r, n, i, array_to_string(words[i:i + n - 1], ' ') AS w
+  FROM (SELECT r, n, words, unnest(range(1, len(words) - n + 2)) AS i
+    FROM docs, (SELECT DISTINCT n FROM sized) WHERE len(words) >= n)),
+found AS (SELECT r, n, i, item_id FROM places JOIN wanted USING (n, w)),
+hit AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM (SELECT DISTINCT r, n, i FROM found)) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+  FROM (SELECT DISTINCT r, item_id FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)""")
+def winnowed_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.digest(winnow.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
