@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakesync.llm import bpe, chat, imatch, language, lines, packing, quality, rules, simhash, substrings, winnow
+from lakesync.llm import bond, bpe, chat, imatch, language, lines, packing, quality, rules, simhash, substrings, winnow
 from lakesync.llm.shared import text_of, words_of
 from lakesync.session import configure
 
@@ -160,4 +160,21 @@ def winnowed_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.digest(winnow.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark")))
 
 
+@query("op12_vertical_negatives", r"""
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.r AS a, a.vec_id AS anchor_id, v.r, v.vec_id, a.label = v.label AS same, list_inner_product(a.q, v.q)::BIGINT AS score
+  FROM v AS a JOIN v ON a.r <> v.r WHERE a.vec_id % 100 = 0),
+positives AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.a, p.r ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.a = n.a AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10""")
+def vertical_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.hard_negatives(vectors.select("vec_id", label.alias("label"), "embedding"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
