@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakesync.llm import bond, bpe, chat, imatch, language, lines, packing, quality, rules, simhash, substrings, winnow
+from lakesync.llm import bond, bpe, chat, imatch, language, lines, packing, quality, rules, simhash, substrings, trie, winnow
 from lakesync.llm.shared import text_of, words_of
 from lakesync.session import configure
 
@@ -177,4 +177,31 @@ def vertical_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return bond.hard_negatives(vectors.select("vec_id", label.alias("label"), "embedding"))
 
 
+@query("op13_prefix_trie", r"""
+WITH own AS (SELECT conv_id, coalesce(text, '') AS text, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS said, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (SELECT conv_id, list(struct_pack(said := said, chars := length(text)) ORDER BY turn NULLS FIRST, said) AS turns FROM own GROUP BY conv_id),
+coded AS (SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ord(substring(conv_id::VARCHAR, i, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))),
+    4294967295) % 6 AS h FROM lists),
+rebuilt AS (SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:h], c.turns[h + 1:]) AS turns
+  FROM coded c LEFT JOIN lists b ON b.conv_id = c.conv_id - c.conv_id % 100),
+told AS (SELECT conv_id, list_transform(turns, lambda t: t.said) AS said, list_transform(turns, lambda t: t.chars) AS chars FROM rebuilt),
+members AS (SELECT conv_id, said, chars, unnest(range(0, len(said) + 1)) AS depth FROM told),
+nodes AS (SELECT depth, array_to_string(said[1:depth], ' ') AS path, min(conv_id) AS conv_id, count(*) AS n_convs, min(said[1:depth]) AS steps,
+    coalesce(min(chars[depth]), 0) AS chars, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(said)), '') AS ends
+  FROM members GROUP BY ALL),
+linked AS (SELECT n.*, p.conv_id AS parent_conv_id, p.path AS above
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = array_to_string(n.steps[1:n.depth - 1], ' ')),
+born AS (SELECT above AS path, depth - 1 AS depth, count(*) AS n FROM linked WHERE depth > 0 GROUP BY ALL),
+told_twice AS (SELECT l.*, coalesce(b.n, 0) AS n_children FROM linked l LEFT JOIN born b USING (path, depth)),
+sums AS (SELECT array_to_string(steps[1:k], ' ') AS path, k AS depth, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM told_twice) GROUP BY ALL)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ends) AS ends_sha256
+FROM told_twice JOIN sums USING (path, depth)""")
+def prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
