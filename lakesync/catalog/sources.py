@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakesync.catalog import Tables, landed, query
 from lakesync.mapping.crm import link_rows, open_cursors
-from lakesync.operators import apply, quality
+from lakesync.operators import apply, paging, quality
 from lakesync.plans.crm import deals_by_stage as by_stage
 from lakesync.plans.crm import linked_names
 from lakesync.plans.documents import first_schema
@@ -49,6 +50,52 @@ def paging_check(t: Tables):
     return quality.paging_faults(headers, "listing", strict=True)
 
 
+_CHAIN_SQL = """
+    WITH pages AS (SELECT DISTINCT o_orderpriority AS listing, o_orderkey // 100 AS page FROM orders),
+    chain AS (SELECT listing, CASE WHEN row_number() OVER w > 1 THEN CAST(page AS VARCHAR) END AS asked, row_number() OVER w AS pos,
+                     CAST(lead(page) OVER w AS VARCHAR) AS token, count(*) OVER (PARTITION BY listing) AS n
+              FROM pages WINDOW w AS (PARTITION BY listing ORDER BY page)),
+    landed AS (SELECT *, CASE listing WHEN '1-URGENT' THEN pos > 1 WHEN '2-HIGH' THEN pos % 10 <> 5 WHEN '3-MEDIUM' THEN pos < n ELSE true END AS here
+               FROM chain),
+    named AS (SELECT *, lag(here) OVER w AS here_before, lead(here) OVER w AS here_after
+              FROM landed WINDOW w AS (PARTITION BY listing ORDER BY pos))"""
+
+
+def _chained_pages(t: Tables):
+    """Orders in pages of a hundred keys, a listing per priority: of three listings the first, the last or every tenth page is lost."""
+    place = Window.partitionBy("listing").orderBy("page")
+    pages = t.orders.select(F.col("o_orderpriority").alias("listing"), F.expr("o_orderkey div 100").alias("page")).distinct()
+    chain = pages.select(
+        "listing", F.when(F.row_number().over(place) > 1, F.col("page").cast("string")).alias("asked"), F.row_number().over(place).alias("at"),
+        F.lead("page").over(place).cast("string").alias("token"))
+    lost = (F.when(F.col("listing") == "1-URGENT", F.col("at") == 1).when(F.col("listing") == "2-HIGH", F.col("at") % 10 == 5)
+            .when(F.col("listing") == "3-MEDIUM", F.col("token").isNull()).otherwise(False))
+    # one listing ends by a last cursor that leads back into it
+    last = F.col("token").isNull()
+    back = F.when(last & (F.col("listing") == "4-NOT SPECIFIED"), F.col("asked")).otherwise(F.col("token"))
+    return chain.where(~lost).select("listing", "asked", back.alias("token"), (last & (F.col("listing") != "4-NOT SPECIFIED")).alias("is_last"))
+
+
+@query("paging_chain", _CHAIN_SQL + f"""
+    SELECT listing, '{paging.FIRST}' AS fault, NULL AS cursor FROM named WHERE NOT here AND pos = 1
+    UNION ALL SELECT listing, '{paging.NEXT}', asked FROM named WHERE NOT here AND here_before AND pos < n
+    UNION ALL SELECT listing, '{paging.BEFORE}', asked FROM named WHERE here AND NOT here_before
+    UNION ALL SELECT listing, '{paging.LAST}', asked FROM named WHERE NOT here AND pos = n
+    UNION ALL SELECT listing, '{paging.TWICE}', asked FROM named WHERE listing = '4-NOT SPECIFIED' AND pos = n
+    UNION ALL SELECT listing, '{paging.LAST}', NULL FROM named WHERE listing = '4-NOT SPECIFIED' AND pos = n""")
+def paging_chain(t: Tables):
+    return paging.chain_faults(_chained_pages(t))
+
+
+@query("page_places", _CHAIN_SQL + """
+    , runs AS (SELECT *, max(CASE WHEN NOT here_before OR (listing = '4-NOT SPECIFIED' AND pos = n) THEN pos END) OVER
+                  (PARTITION BY listing ORDER BY pos) AS begun FROM named WHERE here)
+    SELECT r.listing, r.asked, b.asked AS run, r.pos - coalesce(r.begun, 1) AS place
+    FROM runs r LEFT JOIN named b ON b.listing = r.listing AND b.pos = r.begun""")
+def page_places(t: Tables):
+    return paging.page_places(_chained_pages(t))
+
+
 @query("batch_read", "SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def batch_read(t: Tables):
     return listing.read_by_ids(t.documents.select("doc_id", "lang", "source", "n_chars"), t.labels, "doc_id")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.mapping.crm import LINK_PAIRS, link_rows, merged_away, object_rows, open_cursors
+from lakesync.operators.paging import TWICE, incomplete_listings
 from lakesync.operators.quality import untolerated_errors
 from lakesync.operators.windows import half_open, instant
 from lakesync.plans.ledger import Ledger, Step
@@ -25,6 +26,8 @@ OBJECTS = (*CRM_TABLES, LINKS)
 # Categories of partial errors that mean nothing is missing.
 TOLERATED_RECORDS = ("OBJECT_NOT_FOUND",)
 TOLERATED_LINKS = ("NO_ASSOCIATIONS_FOUND", "OBJECT_NOT_FOUND")
+# A cursor that comes again ends these listings.
+TOLERATED_PAGING = (TWICE,)
 
 
 @dataclass(frozen=True)
@@ -32,12 +35,15 @@ class CrmLanding:
     """Landed payloads: all records per object, live and archived, and link pages per object pair.
 
     ``answers`` are the raw answers the records came in, if they were landed:
-    an error in one that is not tolerated fails the object.
+    an error in one that is not tolerated fails the object. ``pages`` are the
+    listing pages per object (``listing``, ``asked``, ``token``): one that is
+    missing from its chain fails the object.
     """
 
     records: Mapping[str, DataFrame]
     links: Mapping[tuple[str, str], DataFrame] = field(default_factory=dict)
     answers: Mapping[str, DataFrame] = field(default_factory=dict)
+    pages: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def modified_records(records: DataFrame, kind: str, since: datetime, until: datetime,
@@ -48,13 +54,16 @@ def modified_records(records: DataFrame, kind: str, since: datetime, until: date
 
 
 def record_change(records: DataFrame, kind: str, since: datetime | None, run_at: datetime,
-                  overlap_seconds: int = 300, answers: DataFrame | None = None) -> Change:
+                  overlap_seconds: int = 300, answers: DataFrame | None = None,
+                  pages: DataFrame | None = None) -> Change:
     """All records, or from ``since`` the changed ones with the ids that are archived or were merged away.
 
     Archived ids come with their time, merged-away ones with the run's.
     """
     spec, keep = CRM_TABLES[kind], [c for c in (SEQ,) if c in records.columns]
     gates = {} if answers is None else {f"{kind} were not all answered": untolerated_errors(answers, TOLERATED_RECORDS)}
+    if pages is not None:
+        gates[f"{kind} listings are not complete"] = incomplete_listings(pages, TOLERATED_PAGING)
     if since is None:
         return Change(spec, object_rows(records, kind, run_at, keep), whole=True, gates=gates, reached=lambda _: run_at)
     typed = typed_records(records, kind)
@@ -109,7 +118,7 @@ def sync_crm(store: TableStore, landing: CrmLanding, objects: Sequence[str] = OB
 
     def records(kind: str, step: Step) -> Change:
         since = step.watermark if step.mode == "incremental" else None
-        return record_change(landing.records[kind], kind, since, run_at, overlap_seconds, landing.answers.get(kind))
+        return record_change(landing.records[kind], kind, since, run_at, overlap_seconds, landing.answers.get(kind), landing.pages.get(kind))
 
     changes = {kind: partial(records, kind) for kind in CRM_TABLES}
     changes[LINKS] = lambda step: link_change(store, landing, picked, run_at)

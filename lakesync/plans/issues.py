@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 
 from lakesync.mapping.issue import issue_rows
 from lakesync.operators.dedup import newest
-from lakesync.operators.quality import paging_faults
+from lakesync.operators.paging import incomplete_listings
 from lakesync.operators.windows import by_minute
 from lakesync.plans.run import Change, commit, started, wants_full
 from lakesync.plans.store import SEQ, TableStore
@@ -34,11 +34,12 @@ def issue_change(records: DataFrame, since: datetime | None, until: datetime, wh
                  where: Column | None = None, pages: DataFrame | None = None, name: str = ISSUES.name) -> Change:
     """The newest row of each changed issue.
 
-    ``pages`` (``listing``, ``token``, ``is_last``) are the pages the records
-    came on: a listing that does not say where it ends fails the run.
+    ``pages`` are the pages the records came on: ``listing``, ``token``,
+    ``is_last`` and, if they landed with the cursor they answer, ``asked``. A
+    listing that lacks a page, or does not say where it ends, fails the run.
     """
     changed = changed_issues(records, since, until, overlap_seconds, where)
-    gates = {} if pages is None else {"a listing is not complete": paging_faults(pages, "listing", strict=True).where("status != 'ok'")}
+    gates = {} if pages is None else {"a listing is not complete": incomplete_listings(pages)}
     rows = newest(changed, ISSUES.key, "updated", [c for c in (SEQ,) if c in changed.columns])
     return Change(replace(ISSUES, name=name), rows, whole=whole, unique=True, gates=gates)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 from functools import cache
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lakesync.functions.payload import RECORD, with_record
 from lakesync.mapping.workspace import block_rows, data_source_rows, in_trash, page_rows, user_rows
 from lakesync.operators.dedup import newest
+from lakesync.operators.paging import TWICE, incomplete_listings
 from lakesync.operators.tree import page_blocks
 from lakesync.operators.windows import from_micros, open_ended
 from lakesync.plans.ledger import Ledger, Step
@@ -23,6 +24,8 @@ from lakesync.session import Scratch
 from lakesync.sources.listing import changes_since
 
 OBJECTS = tuple(WORKSPACE_TABLES)
+# A cursor that comes again ends these listings.
+TOLERATED_PAGING = (TWICE,)
 
 
 @dataclass(frozen=True)
@@ -30,7 +33,8 @@ class WorkspaceLanding:
     """Landed payloads. ``children`` is one row per listed block: ``parent_id``, ``seq``, ``payload``, and ``landing`` if
     lists land repeatedly. ``unreadable`` holds the ``page_id`` of pages whose content could not be read, ``listed`` the
     ``parent_id`` of every child list that was landed, empty ones included; with it a page that lacks its list fails
-    the blocks instead of losing them."""
+    the blocks instead of losing them. ``feeds`` are the listing pages per object (``listing``, ``asked``, ``token``; pages
+    and blocks share those of ``pages``): one that is missing from its chain fails the object."""
 
     users: DataFrame | None = None
     data_sources: DataFrame | None = None
@@ -38,6 +42,7 @@ class WorkspaceLanding:
     children: DataFrame | None = None
     unreadable: DataFrame | None = None
     listed: DataFrame | None = None
+    feeds: Mapping[str, DataFrame] = field(default_factory=dict)
 
 
 def page_refs(pages: DataFrame) -> DataFrame:
@@ -117,7 +122,19 @@ def workspace_changes(landing: WorkspaceLanding, plan: Mapping[str, Step], overl
         refs = scratch.cut(open_ended(page_refs(discovered()), "edited", since(step)))
         return block_change(refs, landing, run_at, step.mode == "full")
 
-    return {"users": users, "data_sources": data_sources, "pages": pages, "blocks": blocks}
+    def gated(name: str, change: Callable[[Step], Change]) -> Callable[[Step], Change]:
+        listed = landing.feeds.get("pages" if name == "blocks" else name)
+        if listed is None:
+            return change
+
+        def build(step: Step) -> Change:
+            made = change(step)
+            return replace(made, gates={f"{name} listings are not complete": incomplete_listings(listed, TOLERATED_PAGING), **made.gates})
+
+        return build
+
+    changes = {"users": users, "data_sources": data_sources, "pages": pages, "blocks": blocks}
+    return {name: gated(name, change) for name, change in changes.items()}
 
 
 def sync_workspace(store: TableStore, landing: WorkspaceLanding, objects: Sequence[str] = OBJECTS,
