@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from lakesync.operators import state
 from lakesync.operators.windows import from_micros, instant
-from lakesync.plans.store import RowLevelStore, TableStore
+from lakesync.plans.merge import RowLevelStore
+from lakesync.plans.store import TableStore
 from lakesync.schemas import TableSpec
 
 

@@ -1,6 +1,7 @@
 """Whole sync jobs over several runs against a scratch warehouse."""
 
 import json
+import threading
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
@@ -12,7 +13,8 @@ from lakesync.plans.crm import CrmLanding, modified_records, sync_crm
 from lakesync.plans.documents import sync_documents
 from lakesync.plans.issues import changed_issues, preview, sync_issues
 from lakesync.plans.run import require_success
-from lakesync.plans.store import BUCKET, RowLevelStore, TableStore
+from lakesync.plans.merge import RowLevelStore
+from lakesync.plans.store import BUCKET, TableStore
 from lakesync.plans.workspace import WorkspaceLanding, sync_workspace
 from lakesync.schemas import BLOCKS, CONTACTS, CRM_STATE, ISSUES
 from lakesync.sources.landing import land, landed, typed_issues, typed_objects, typed_records
@@ -40,8 +42,16 @@ def payloads(spark, records):
 
 
 def leftovers(store):
-    names = [r.tableName for r in store.spark.sql(f"SHOW TABLES IN {store.namespace}").collect()]
-    return [n for n in names if "__" in n]
+    """Tables and partitions that neither a table nor the state before it reads."""
+    names = {r.tableName for r in store.spark.sql(f"SHOW TABLES IN {store.namespace}").collect()}
+    left = {n for n in names if "__" in n}
+    for table in names - left:
+        states = [s for s in store._snapshots(table) if s]
+        left -= {s.data for s in states}
+        if states:
+            stored = {r[0] for r in store.spark.sql(f"SHOW PARTITIONS {store.name(states[0].data)}").collect()}
+            left |= stored - {f"{BUCKET}={b}/key_version={v}" for s in states for b, v in enumerate(s.versions)}
+    return sorted(left)
 
 
 # ---- issues ----------------------------------------------------------------------
@@ -326,30 +336,90 @@ def test_bucket_left_empty_is_dropped(spark, namespace):
     assert [r["page_id"] for r in store.read("blocks").collect()] == ["q"]
 
 
-def test_table_cut_off_between_renames_is_restored(spark, store):
+@pytest.mark.parametrize("write", ["upsert", "replace_all"])
+def test_write_cut_off_before_its_commit_changes_nothing(spark, store, monkeypatch, write):
     store.replace_all(CONTACTS, contacts(spark, ["1"], "old"))
-    # a run before that one was cut off after its commit and left an older state behind
-    store.replace_all(replace(CONTACTS, name="stale"), contacts(spark, ["9"], "stale"))
-    store._rename("stale", "contacts__old_9")
-    store._rename("contacts", "contacts__old_10")
-    assert not store.exists("contacts") and len(leftovers(store)) == 2  # a reader repairs nothing
-    later = TableStore(spark, store.namespace, buckets=store.buckets)
-    later.upsert(CONTACTS, contacts(spark, ["2"], "new"))
-    assert {r["id"] for r in later.read("contacts").collect()} == {"1", "2"} and not leftovers(store)
+    crashed = TableStore(spark, store.namespace, buckets=store.buckets)
 
+    def cut_off(*_):
+        raise KeyboardInterrupt  # nothing of the writer runs any more
 
-def test_reader_during_a_swap_changes_nothing(spark, store, monkeypatch):
+    monkeypatch.setattr(crashed, "_point", cut_off)
+    monkeypatch.setattr(crashed, "_discard", lambda table: None)
+    with pytest.raises(KeyboardInterrupt):
+        getattr(crashed, write)(CONTACTS, contacts(spark, ["1", "2"], "lost"))
+    assert [(r["id"], r["email"]) for r in store.read("contacts").collect()] == [("1", "old")] and leftovers(store)
+    later = TableStore(spark, store.namespace, buckets=store.buckets)
+    later.upsert(CONTACTS, contacts(spark, ["2"], "new"))
+    assert {(r["id"], r["email"]) for r in later.read("contacts").collect()} == {("1", "old"), ("2", "new")} and not leftovers(store)
+
+
+def test_reader_never_fails_while_a_writer_commits(spark, store):
+    store.replace_all(CONTACTS, contacts(spark, [str(i) for i in range(9)], "0"))
+    seen, failed, done = [], [], threading.Event()
+
+    def read():
+        other = TableStore(spark, store.namespace)
+        while not done.is_set():
+            try:
+                seen.append(sorted({r["email"] for r in other.read("contacts").collect()}))
+            except Exception as error:  # what the test is about
+                failed.append(error)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1, 6):
+        rows = contacts(spark, [str(i) for i in range(9)], str(n))
+        store.upsert(CONTACTS, rows) if n % 2 else store.replace_all(CONTACTS, rows)
+    done.set()
+    reader.join()
+    assert not failed and len(seen) > 3
+    assert all(len(emails) == 1 for emails in seen)  # the state before a commit or after, never a mixture
+    assert store.read("contacts").select("email").distinct().collect()[0][0] == "5" and not leftovers(store)
+
+
+def test_second_writer_is_refused(spark, store):
     store.replace_all(CONTACTS, contacts(spark, ["1"], "old"))
-    seen, rename = [], store._rename
+    before = store._snapshots("contacts")[0]
+    store.upsert(CONTACTS, contacts(spark, ["2"], "new"))
+    with pytest.raises(RuntimeError, match="another writer"):
+        store._point("contacts", before, before)
+
+
+def test_rows_read_again_unchanged_touch_nothing(spark, store):
+    """The overlap of two windows: rows that come again as they are stored, only read later."""
+    def rows(ids, version, at):
+        return contacts(spark, ids, version).withColumn("_ingested_at", F.lit(at))
+
+    first = store.upsert(CONTACTS, rows([str(i) for i in range(50)], "a", T0))
+    assert (first.rows, first.changed) == (50, 50)
+    state = store._snapshots("contacts")
+    again = store.upsert(CONTACTS, rows([str(i) for i in range(20, 50)], "a", T0 + HOUR))
+    assert (again.rows, again.changed, again.touched) == (30, 0, 0) and store._snapshots("contacts") == state
+    mixed = store.upsert(CONTACTS, rows(["20", "21"], "a", T0 + HOUR).unionByName(rows(["22", "new"], "b", T0 + HOUR)))
+    assert (mixed.rows, mixed.changed) == (4, 2) and 1 <= mixed.touched <= 2
+    stored = {r["id"]: (r["email"], r["_ingested_at"].hour) for r in store.read("contacts").collect()}
+    assert len(stored) == 51 and stored["20"] == ("a", 12) and stored["22"] == ("b", 13) and stored["new"] == ("b", 13)
+
+
+def test_pages_with_the_same_blocks_touch_nothing(spark, namespace):
+    store = TableStore(spark, namespace, buckets=16)
+    store.ensure_schema()
+
+    def blocks_of(rows):
+        frame = spark.createDataFrame(rows, "page_id string, id string, position int")
+        return frame.select(*[F.col(n) if n in frame.columns else F.lit(None).cast(t).alias(n) for n, t in BLOCKS.columns])
 
-    def watched(table, to):
-        rename(table, to)
-        other = TableStore(spark, store.namespace, buckets=store.buckets)
-        seen.append(other.exists("contacts"))
+    def pages(*names):
+        return spark.createDataFrame([(n,) for n in names], "page_id string")
 
-    monkeypatch.setattr(store, "_rename", watched)
-    store.replace_all(CONTACTS, contacts(spark, ["2"], "new"))
-    assert seen == [False, True] and [r["id"] for r in store.read("contacts").collect()] == ["2"] and not leftovers(store)
+    rows = [(f"p{n}", f"b{m}", m) for n in range(12) for m in range(3)]
+    store.replace_all(BLOCKS, blocks_of(rows))
+    everything = pages(*(f"p{n}" for n in range(12)))
+    assert store.replace_by_parent(BLOCKS, blocks_of(rows), everything).touched == 0
+    moved = [(p, b, 9 if (p, b) == ("p3", "b1") else m) for p, b, m in rows if (p, b) != ("p5", "b2") and p != "p7"]
+    assert 1 <= store.replace_by_parent(BLOCKS, blocks_of(moved), everything).touched <= 3
+    assert sorted((r["page_id"], r["id"], r["position"]) for r in store.read("blocks").collect()) == sorted(moved)
 
 
 def test_marks_that_change_nothing_touch_no_bucket(spark, namespace):
