@@ -30,9 +30,14 @@ def json_object(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows as the many files of a landing would deal them to tasks; the driver's tables are single files."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def land(rows: DataFrame, record: Column, *keep: str | Column) -> DataFrame:
     """The record of each row as its ``payload``, built once as if it had been read from a file."""
-    return once(rows.select(record.alias("_payload"), *keep), payload=F.col("_payload")).drop("_payload")
+    return once(dealt(rows.select(record.alias("_payload"), *keep)), payload=F.col("_payload")).drop("_payload")
 
 
 def text(column: str) -> Column:

@@ -82,7 +82,7 @@ def to_amount(t: Tables):
     spelled = F.when(F.col("l_linenumber") % 2 == 0, moved).otherwise(spelled)
     bad = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     lines = t.only("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_linenumber")
-    landed_text = once(lines, spelled=F.concat(spelled, F.when(bad, " USD").otherwise("")))
+    landed_text = once(landed.dealt(lines), spelled=F.concat(spelled, F.when(bad, " USD").otherwise("")))
     return landed_text.select("l_orderkey", "l_partkey", "l_suppkey", values.to_amount(F.col("spelled")).alias("amount"))
 
 
@@ -139,7 +139,8 @@ def json_dynamic_path(t: Tables):
     SELECT doc_id, text, substring(text, 1, 1000) AS message FROM masked""")
 def mask_text(t: Tables):
     masked = text.mask_uri(F.col("text"), _URI, host_suffixes=["example.com"])
-    return t.only("documents", "doc_id", "text").select("doc_id", masked.alias("text")).withColumn("message", text.shortened(F.col("text"), 1000))
+    docs = landed.dealt(t.only("documents", "doc_id", "text"))
+    return docs.select("doc_id", masked.alias("text")).withColumn("message", text.shortened(F.col("text"), 1000))
 
 
 @query("classify_errors", """

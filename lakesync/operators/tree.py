@@ -54,29 +54,93 @@ def numbered_children(children: DataFrame, order_by: Sequence[str], scratch: Scr
 def walk(roots: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Every block reachable from each ``page_id`` of ``roots``, once per page: its ``edge``, ``depth`` and ``path``.
 
-    One join per level, of narrow rows. A block listed more than once keeps its
-    first place in reading order, which is its smallest path. A place with a
-    larger path than one already found is not followed, so every walk ends,
-    also where a block is its own ancestor or lists its page.
+    A block listed more than once keeps its first place in reading order, which
+    is its smallest path. Blocks listed once have one way up, whatever its
+    length: each finds the nearest page or repeated block above it by pointer
+    jumping, in as many joins as the longest way has binary digits. Only
+    repeated blocks (and what is below a page that is listed as a block) are
+    walked level by level, over edges that span the ways between them.
+    """
+    pages = roots.select(F.col("page_id").alias("top")).where("top IS NOT NULL").distinct()
+    repeated = edges.groupBy(F.col("id").alias("top")).agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR top IS NULL").select("top")
+    tops = scratch.cut(pages.unionByName(repeated).distinct())
+    listed_tops = edges.join(tops, edges["id"].eqNullSafe(tops["top"]), "left_semi")
+    single = edges.join(tops, edges["id"].eqNullSafe(tops["top"]), "left_anti")
+    ways = _ways(single, tops, scratch)
+    # below a page that is itself a block that is gone into, a block may have two places on one page
+    both = scratch.cut(listed_tops.where("descend").select(F.col("id").alias("top")).join(pages, "top", "left_semi").distinct())
+    knotted = ways.join(both, "top", "left_semi")
+    links = scratch.cut(_links(listed_tops, ways.join(both, "top", "left_anti"), tops).unionByName(
+        _links(listed_tops, knotted.select(F.col("id").alias("top")), None)).unionByName(
+        knotted.select(F.col("parent_id").alias("_at"), "id", "parent_id", "position", "descend", "edge", F.array("position").alias("piece"))))
+    reached = _levels(roots, links, scratch)
+    places = roots.select("page_id", F.col("page_id").alias("top"), F.array().cast("array<int>").alias("_path")).distinct().unionByName(
+        reached.where("descend").select("page_id", F.col("id").alias("top"), F.col("path").alias("_path")))
+    below = ways.join(both, "top", "left_anti").join(places, "top").select(
+        "page_id", "id", "parent_id", "position", "descend", "edge", F.concat("_path", "piece").alias("path"))
+    return reached.unionByName(below).withColumn("depth", F.size("path") - 1)
+
+
+def _ways(single: DataFrame, tops: DataFrame, scratch: Scratch) -> DataFrame:
+    """Blocks listed once with ``top``, the nearest top above them, and ``piece``, the positions from there; without a top they go.
+
+    A block points at its parent, and after each round twice as far up.
+    """
+    up = tops.select(F.col("top").alias("at"), F.lit(True).alias("_found"))
+    state = scratch.cut(single.withColumn("at", F.col("parent_id")).withColumn("piece", F.array("position"))
+                        .join(up, "at", "left").withColumn("found", F.coalesce("_found", F.lit(False))).drop("_found"))
+    for _ in range(max(1, state.count().bit_length())):
+        if state.where("NOT found").isEmpty():
+            break
+        above = state.where("descend").select(F.col("id").alias("at"), F.col("at").alias("_at"), F.col("piece").alias("_piece"), F.col("found").alias("_found"))
+        jumped = state.where("NOT found").join(above, "at").withColumns(
+            {"at": F.col("_at"), "piece": F.concat("_piece", "piece"), "found": F.col("_found")}).select(*state.columns)
+        following = scratch.cut(state.where("found").unionByName(jumped))
+        scratch.drop(state)
+        state = following
+    return state.where("found").withColumnRenamed("at", "top").drop("found")
+
+
+def _links(listed: DataFrame, ways: DataFrame, tops: DataFrame | None) -> DataFrame:
+    """Edges between tops: ``piece`` are the positions from the top ``_at`` to a listed block.
+
+    The way goes over a block with a top; with ``tops`` also straight from one.
+    """
+    names = ["id", "parent_id", "position", "descend", "edge"]
+    if "piece" not in ways.columns:  # blocks that are tops now
+        return listed.join(ways, listed["parent_id"] == ways["top"], "left_semi").select(
+            F.col("parent_id").alias("_at"), *names, F.array("position").alias("piece"))
+    over = ways.where("descend").select(F.col("id").alias("_over"), F.col("top").alias("_at"), F.col("piece").alias("_piece"))
+    far = listed.join(over, listed["parent_id"] == over["_over"]).select("_at", *names, F.concat("_piece", F.array("position")).alias("piece"))
+    near = listed.join(tops, listed["parent_id"] == tops["top"], "left_semi")
+    return far.unionByName(near.select(F.col("parent_id").alias("_at"), *names, F.array("position").alias("piece")))
+
+
+def _levels(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """The blocks that links lead to, level by level from each page, each at its smallest path.
+
+    A place with a larger path than one already found is not followed, so every
+    walk ends, also where a block is its own ancestor or lists its page.
     """
     key = ["page_id", "id"]
-    edges = edges.select(F.col("parent_id").alias("_at"), "id", "edge", "position", "descend")
 
     def next_level(frontier: DataFrame) -> DataFrame:
-        found = frontier.join(edges, "_at").select(
-            "page_id", "id", F.col("_at").alias("parent_id"), "position", "descend", "edge",
-            F.concat("path", F.array("position")).alias("path"))
+        found = frontier.join(links, "_at").select(
+            "page_id", "id", "parent_id", "position", "descend", "edge", F.concat("path", "piece").alias("path"))
         return _smallest_path(found, key)
 
     empty_path = F.array().cast("array<int>").alias("path")
-    reached = level = scratch.cut(next_level(roots.select("page_id", F.col("page_id").alias("_at"), empty_path).distinct()))
+    first = next_level(roots.select("page_id", F.col("page_id").alias("_at"), empty_path).distinct())
+    if links.isEmpty():
+        return first
+    reached = level = scratch.cut(first)
     while True:
         found = next_level(level.filter("descend").select("page_id", F.col("id").alias("_at"), "path"))
         known = reached.select("page_id", "id", F.col("path").alias("_known"))
         better = scratch.cut(found.join(known, key, "left")
                              .filter(F.col("_known").isNull() | (F.col("path") < F.col("_known"))).drop("_known"))
         if better.isEmpty():
-            return reached.withColumn("depth", F.size("path") - 1)
+            return reached
         before, reached = reached, scratch.cut(_smallest_path(reached.unionByName(better), key))
         for done in {id(before): before, id(level): level}.values():
             scratch.drop(done)

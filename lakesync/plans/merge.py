@@ -15,6 +15,8 @@ from lakesync.schemas import TableSpec
 class RowLevelStore(TableStore):
     """Tables of a provider with MERGE: deltas are merged in place, nothing else is rewritten."""
 
+    merges = True
+
     def __init__(self, spark: SparkSession, namespace: str, provider: str = "delta", run_id: str | None = None):
         super().__init__(spark, namespace, provider, None, run_id)
 

@@ -75,6 +75,8 @@ class TableStore:
     commit needs stays until the next one, for readers that have begun.
     """
 
+    merges = False  # whether deltas are merged in place
+
     def __init__(self, spark: SparkSession, namespace: str, provider: str = "parquet",
                  buckets: int | None = None, run_id: str | None = None):
         self.spark, self.namespace, self.provider, self.buckets = spark, namespace, provider, buckets

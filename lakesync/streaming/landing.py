@@ -30,6 +30,8 @@ def upsert_stream(payloads: DataFrame, rows: Callable[[DataFrame], DataFrame], s
     in the order they landed; as in batch, a later file's row replaces an
     earlier one whatever its time.
     """
+    if not store.merges and not store.buckets:
+        raise ValueError("a stream needs a table with buckets: without them every batch writes the whole table anew")
     store.ensure_schema()
     store.ensure(spec)
 
