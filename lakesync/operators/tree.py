@@ -67,6 +67,9 @@ def walk(roots: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
     listed_tops = edges.join(tops, edges["id"].eqNullSafe(tops["top"]), "left_semi")
     single = edges.join(tops, edges["id"].eqNullSafe(tops["top"]), "left_anti")
     ways = _ways(single, tops, scratch)
+    starts = roots.select("page_id", F.col("page_id").alias("top"), F.array().cast("array<int>").alias("_path")).distinct()
+    if listed_tops.isEmpty():
+        return _below(ways, starts).withColumn("depth", F.size("path") - 1)
     # below a page that is itself a block that is gone into, a block may have two places on one page
     both = scratch.cut(listed_tops.where("descend").select(F.col("id").alias("top")).join(pages, "top", "left_semi").distinct())
     knotted = ways.join(both, "top", "left_semi")
@@ -74,11 +77,13 @@ def walk(roots: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
         _links(listed_tops, knotted.select(F.col("id").alias("top")), None)).unionByName(
         knotted.select(F.col("parent_id").alias("_at"), "id", "parent_id", "position", "descend", "edge", F.array("position").alias("piece"))))
     reached = _levels(roots, links, scratch)
-    places = roots.select("page_id", F.col("page_id").alias("top"), F.array().cast("array<int>").alias("_path")).distinct().unionByName(
-        reached.where("descend").select("page_id", F.col("id").alias("top"), F.col("path").alias("_path")))
-    below = ways.join(both, "top", "left_anti").join(places, "top").select(
+    places = starts.unionByName(reached.where("descend").select("page_id", F.col("id").alias("top"), F.col("path").alias("_path")))
+    return reached.unionByName(_below(ways.join(both, "top", "left_anti"), places)).withColumn("depth", F.size("path") - 1)
+
+
+def _below(ways: DataFrame, places: DataFrame) -> DataFrame:
+    return ways.join(places, "top").select(
         "page_id", "id", "parent_id", "position", "descend", "edge", F.concat("_path", "piece").alias("path"))
-    return reached.unionByName(below).withColumn("depth", F.size("path") - 1)
 
 
 def _ways(single: DataFrame, tops: DataFrame, scratch: Scratch) -> DataFrame:
@@ -130,10 +135,7 @@ def _levels(roots: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
         return _smallest_path(found, key)
 
     empty_path = F.array().cast("array<int>").alias("path")
-    first = next_level(roots.select("page_id", F.col("page_id").alias("_at"), empty_path).distinct())
-    if links.isEmpty():
-        return first
-    reached = level = scratch.cut(first)
+    reached = level = scratch.cut(next_level(roots.select("page_id", F.col("page_id").alias("_at"), empty_path).distinct()))
     while True:
         found = next_level(level.filter("descend").select("page_id", F.col("id").alias("_at"), "path"))
         known = reached.select("page_id", "id", F.col("path").alias("_known"))
