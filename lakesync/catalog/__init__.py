@@ -59,4 +59,4 @@ def shown(df: DataFrame) -> DataFrame:
 
 def load() -> None:
     """Import every module that registers queries."""
-    from lakesync.catalog import changes, jobs, mapped, scalars, sources  # noqa: F401
+    from lakesync.catalog import changes, jobs, mapped, scalars, sources, stored  # noqa: F401

@@ -124,7 +124,7 @@ def stream_upsert(t: Tables):
     columns = (("user_id", "BIGINT"), ("event_type", "STRING"), ("ts", "TIMESTAMP"), ("value", "DOUBLE"), ("event_id", "BIGINT"))
     spec = TableSpec("stream_upsert", columns, key=("user_id", "event_type"), order_by="ts")
     run = uuid.uuid4().hex[:8]
-    store = TableStore(t.spark, "lakesync_stream", run_id=run)
+    store = TableStore(t.spark, "lakesync_stream", buckets=8, run_id=run)
     t.spark.sql("DROP SCHEMA IF EXISTS lakesync_stream CASCADE")  # what the call before this one returned
     events = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events*.parquet")
     fields = {name: F.col(name) for name, _ in columns}

@@ -41,7 +41,7 @@ def rows(df):
 def test_ordered_stream_equals_batch_and_restarts(spark, namespace, tmp_path, lines):
     landing = tmp_path / "landing"
     landing.mkdir()
-    store = TableStore(spark, namespace)
+    store = TableStore(spark, namespace, buckets=4)
     third = len(lines) // 3
 
     def run():
@@ -70,7 +70,7 @@ def test_late_rows_are_kept(spark, namespace, tmp_path, lines):
     random.Random(5).shuffle(shuffled)
     for i in range(4):
         land(landing, i, shuffled[i::4])
-    store = TableStore(spark, namespace)
+    store = TableStore(spark, namespace, buckets=4)
     stream = landed_stream(spark, str(landing), max_files=1)
     upsert_stream(stream, event_rows, store, EVENTS, str(tmp_path / "progress")).awaitTermination()
     assert store.read("events").count() == len(unique)
@@ -80,7 +80,7 @@ def test_failed_batch_is_run_again(spark, namespace, tmp_path, lines):
     landing = tmp_path / "landing"
     landing.mkdir()
     land(landing, 0, lines)
-    store = TableStore(spark, namespace)
+    store = TableStore(spark, namespace, buckets=4)
 
     def broken(payloads):
         return event_rows(payloads).withColumn("value", F.raise_error(F.lit("no")).cast("double"))
