@@ -14,11 +14,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakesync.operators.dedup import newest
+from lakesync.operators.sieve import sieved
 
+# Bytes a key takes in a broadcast table, about.
+_KEY_BYTES = 100
 
-def without_keys(target: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of ``target`` whose key is not listed."""
-    return target.join(keys.select(*key).distinct(), list(key), "left_anti").select(*target.columns)
+
+def without_keys(target: DataFrame, keys: DataFrame, key: Sequence[str], count: int | None = None) -> DataFrame:
+    """Rows of ``target`` whose key is not listed.
+
+    ``count`` is the number of keys, where it is known. Keys too many to be
+    broadcast would have the whole target shuffled; then only rows whose key is
+    in a bit map of the keys are joined, and the others pass by. The target is
+    read twice for it.
+    """
+    listed = keys.select(*key).distinct()
+    if count is None or count * _KEY_BYTES <= _broadcast_bytes(target):
+        return target.join(listed, list(key), "left_anti").select(*target.columns)
+    marked = sieved(target, listed, key, count)
+    joined = marked.where("_maybe").join(listed, list(key), "left_anti")
+    return marked.where("NOT _maybe").select(*target.columns).unionByName(joined.select(*target.columns))
+
+
+def _broadcast_bytes(df: DataFrame) -> int:
+    """The session's bound for tables that are broadcast; without one (-1) nothing is."""
+    size = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(size)
 
 
 def overwrite(staged: DataFrame, key: Sequence[str], order_by: str, tie: Sequence[str] = ()) -> DataFrame:
@@ -27,10 +48,13 @@ def overwrite(staged: DataFrame, key: Sequence[str], order_by: str, tie: Sequenc
 
 
 def upsert(target: DataFrame, staged: DataFrame, key: Sequence[str], order_by: str,
-           tie: Sequence[str] = (), unique: bool = False) -> DataFrame:
-    """Staged rows replace their key's row or are added, whatever their age; ``unique`` ones hold each key once."""
+           tie: Sequence[str] = (), unique: bool = False, count: int | None = None) -> DataFrame:
+    """Staged rows replace their key's row or are added, whatever their age; ``unique`` ones hold each key once.
+
+    ``count`` is the number of staged rows, where it is known.
+    """
     fresh = (staged if unique else newest(staged, key, order_by, tie)).select(*target.columns)
-    return without_keys(target, staged, key).unionByName(fresh)
+    return without_keys(target, staged, key, count).unionByName(fresh)
 
 
 def flag_archived(target: DataFrame, marks: DataFrame) -> DataFrame:

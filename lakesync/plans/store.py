@@ -168,12 +168,13 @@ class TableStore:
             with self._staged(spec, self._changed(spec, fresh.drop(SEQ)), suffix="changed") as (changed, differing):
                 written = replace(written, changed=differing().rows)
                 if marks is None:
-                    return self._rewrite(spec, changed, lambda old: apply.upsert(old, changed, spec.key, spec.order_by, unique=True), written)
+                    return self._rewrite(spec, changed, lambda old: apply.upsert(
+                        old, changed, spec.key, spec.order_by, unique=True, count=written.changed), written)
                 needed = apply.needed_marks(self.read(spec.name), marks, changed)
                 with self._staged(spec, needed, order_by="archived_at", suffix="marks") as (flags, _):
                     touching = changed.select(*spec.bucket_by).unionByName(flags.select(*spec.bucket_by))
                     return self._rewrite(spec, touching, lambda old: apply.flag_archived(
-                        apply.upsert(old, changed, spec.key, spec.order_by, unique=True), flags), written)
+                        apply.upsert(old, changed, spec.key, spec.order_by, unique=True, count=written.changed), flags), written)
 
     def flag_archived(self, spec: TableSpec, marks: DataFrame) -> int:
         """Flag the ids of ``marks`` (``id``, ``archived_at``) archived; returns how many rows that changes."""

@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on.
 
-    Instants are read and written in UTC, and a JSON object that repeats a key
-    keeps the last value instead of failing.
+    Instants are read and written in UTC, in files as microseconds, of which
+    files keep the least and greatest so that windows skip them. A JSON object
+    that repeats a key keeps the last value instead of failing.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 

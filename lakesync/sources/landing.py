@@ -47,7 +47,16 @@ def typed_issues(records: DataFrame) -> DataFrame:
 
 
 def land(typed: DataFrame, path: str, day: date) -> None:
-    """Append typed records to a landed table; landing the same day again only adds files."""
+    """Append typed records to a landed table; landing the same day again only adds files.
+
+    Files hold ranges of kind and time and are sorted inside, so the least and
+    greatest time of files, row groups and pages let a window skip the rest.
+    Records of one instant are dealt by their content, so that it may hold any
+    share of them.
+    """
+    by = [c for c in ("kind", "modified", "edited") if c in typed.columns]
+    if by:
+        typed = typed.repartitionByRange(*by, F.xxhash64("payload")).sortWithinPartitions(*by)
     typed.withColumn(DAY, F.lit(day)).write.mode("append").partitionBy(DAY).parquet(path)
 
 

@@ -518,6 +518,25 @@ def test_windows_reach_the_scan_of_a_typed_landing(spark, tmp_path):
     assert any("landed#" in f for f in scan_filters(changed, "partitionFilters"))
 
 
+def test_a_short_window_reads_few_landed_rows(spark, tmp_path):
+    """Records land in any order; a window of an hour out of a month skips nearly all of them in the files."""
+    rows = spark.range(30 * 24 * 1000).select(
+        F.col("id").cast("string").alias("payload"), F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(30 * 86400)) + int(T0.timestamp())).alias("modified"))
+    hot = spark.range(50_000).select(F.col("id").cast("string").alias("payload"), F.lit(T0 + 40 * HOUR).alias("modified"))
+    land(rows.unionByName(hot).repartition(6), str(tmp_path / "t"), T0.date())
+    window = landed(spark, str(tmp_path / "t")).where((F.col("modified") >= T0 + 300 * HOUR) & (F.col("modified") < T0 + 301 * HOUR))
+    found = len(window.collect())
+    assert 800 < found < 1200
+
+    def read_rows(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return read_rows(node.executedPlan())
+        own = node.metrics().apply("numOutputRows").value() if node.nodeName().startswith("Scan parquet") else 0
+        return own + sum(read_rows(node.children().apply(n)) for n in range(node.children().size()))
+
+    assert found <= read_rows(window._jdf.queryExecution().executedPlan()) < 770_000 / 10  # pages hold 20,000 rows
+
+
 def scan_filters(frame, kind):
     """Filters of a frame's file scans, whole: the plan's text shortens them."""
     found = []

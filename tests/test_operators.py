@@ -46,6 +46,43 @@ def test_upsert_replaces_even_newer_rows_and_adds(spark):
     assert sorted_rows(apply.upsert(old, delta, ["k"], "t")) == [("a", 3, "y"), ("b", 1, "old"), ("c", 1, "z")]
 
 
+def shuffled_rows(df):
+    """Rows each exchange of an executed frame wrote."""
+    found, plan = [], df._jdf.queryExecution().executedPlan()
+
+    def look(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return look(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return look(node.plan())
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        for n in range(node.children().size()):
+            look(node.children().apply(n))
+
+    look(plan)
+    return found
+
+
+def test_most_rows_pass_by_the_join_with_a_delta_too_big_to_broadcast(spark):
+    target = spark.range(200_000).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.lit(1).alias("t"))
+    delta = spark.range(0, 400_000, 100).select(F.col("id").alias("k"), F.lit("new").alias("v"), F.lit(2).alias("t"))
+    nulls = frame(spark, [(None, "null key", 1)], "k bigint, v string, t int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+    try:
+        merged = apply.upsert(target.unionByName(nulls), delta, ["k"], "t", unique=True, count=4000)
+        counts = {(r["v"]): r["n"] for r in merged.groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+        assert counts == {"old": 198_000, "new": 4000, "null key": 1}
+        kept = apply.without_keys(target, delta, ["k"], 4000)
+        assert len(kept.collect()) == 198_000
+        assert max(shuffled_rows(kept)) < 200_000 / 4  # the map is built from, and the join moves, thousands of rows
+        whole = apply.without_keys(target, delta, ["k"])
+        assert len(whole.collect()) == 198_000 and max(shuffled_rows(whole)) == 200_000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_null_in_key_never_matches(spark):
     ddl = "k string, n int, t int"
     old = frame(spark, [("a", None, 1), ("b", 1, 1)], ddl)
