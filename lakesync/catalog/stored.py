@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from lakesync.catalog import Tables, landed, query
 from lakesync.mapping import crm, workspace
+from lakesync.operators.dedup import newest
 from lakesync.operators.quality import key_check
 from lakesync.plans.crm import CrmLanding, sync_crm
 from lakesync.plans.store import SEQ, TableStore, Written
 from lakesync.schemas import BLOCKS, CONTACTS, TableSpec
 from lakesync.session import Scratch
 from lakesync.streaming.landing import upsert_stream
+from lakesync.streaming.newest import newest_changes, write_changes
 
 UTC = timezone.utc
 ORDERS = TableSpec("orders_by_customer", (("customer", "BIGINT"), ("status", "STRING"), ("day", "TIMESTAMP"), ("number", "BIGINT")),
@@ -184,9 +186,12 @@ EVENTS = TableSpec("events_by_user", (("user_id", "BIGINT"), ("event_type", "STR
                    key=("user_id", "event_type"), order_by="ts")
 
 
+def _events_landing(t: Tables, scratch: Scratch) -> DataFrame:
+    return t.spark.readStream.schema(EVENTS.schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch.root}/landing")
+
+
 def _run_stream(t: Tables, store: TableStore, scratch: Scratch) -> int:
-    stream = t.spark.readStream.schema("user_id long, event_type string, ts timestamp, value double, event_id long").option(
-        "maxFilesPerTrigger", 1).parquet(f"{scratch.root}/landing")
+    stream = _events_landing(t, scratch)
     running = upsert_stream(stream, lambda batch: batch.withColumn(SEQ, F.col("event_id")), store, EVENTS, f"{scratch.root}/progress")
     running.awaitTermination()
     return sum(progress["numInputRows"] for progress in running.recentProgress)
@@ -220,3 +225,22 @@ def stream_restart(t: Tables):
         runs.append((run, _run_stream(t, store, scratch)))
     scratch.drop_all()
     return _facts(t, runs, "run string, n_read long")
+
+
+@query("stream_changes", """
+    WITH landed AS (SELECT *, 2 - event_id % 3 AS file FROM events UNION ALL SELECT *, 2 FROM events WHERE event_id % 3 = 2),
+    best AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, file ORDER BY ts DESC, event_id DESC) AS rn FROM landed),
+    firsts AS (SELECT *, max((ts, event_id)) OVER (PARTITION BY user_id, event_type ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS known
+               FROM best WHERE rn = 1),
+    changes AS (SELECT * FROM firsts WHERE known IS NULL OR (ts, event_id) > known)
+    SELECT user_id, event_type, epoch_us(max(ts)) AS ts, max_by(value, (ts, event_id)) AS value, count(*) AS n_changes FROM changes GROUP BY ALL""")
+def stream_changes(t: Tables):
+    """The newest row per key of files that land late and again, from what a stream with keyed state wrote over two runs."""
+    scratch = Scratch(t.spark)
+    for files in ([0], [1, 2]):
+        _event_files(t, scratch, files)
+        changes = newest_changes(_events_landing(t, scratch), EVENTS.key, EVENTS.order_by, "event_id")
+        write_changes(changes, f"{scratch.root}/changes", f"{scratch.root}/progress").awaitTermination()
+    log = t.spark.read.schema(EVENTS.schema).parquet(f"{scratch.root}/changes")
+    counted = log.groupBy(*EVENTS.key).agg(F.count(F.lit(1)).alias("n_changes"))
+    return newest(log, EVENTS.key, EVENTS.order_by, ["event_id"]).drop("event_id").join(counted, list(EVENTS.key))

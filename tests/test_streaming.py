@@ -8,10 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakesync.operators import apply
+from lakesync.operators.dedup import newest
 from lakesync.plans.store import TableStore
 from lakesync.schemas import TableSpec
 from lakesync.sources.listing import landed_files
 from lakesync.streaming.landing import landed_stream, upsert_stream
+from lakesync.streaming.newest import newest_changes, write_changes
 from tests.conftest import SF
 
 EVENTS = TableSpec("events", (("user_id", "BIGINT"), ("event_type", "STRING"), ("ts", "TIMESTAMP"), ("value", "DOUBLE")),
@@ -92,3 +94,35 @@ def test_failed_batch_is_run_again(spark, namespace, tmp_path, lines):
     upsert_stream(landed_stream(spark, str(landing)), event_rows, store, EVENTS,
                   str(tmp_path / "progress")).awaitTermination()
     assert store.read("events").count() > 0
+
+
+def test_changes_of_keyed_state_equal_batch_over_restarts(spark, tmp_path, lines):
+    """Late and repeated rows write nothing; what was written holds the newest row of every key, after each run."""
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    numbered = [json.dumps({**json.loads(line), "seq": n}) for n, line in enumerate(lines)]
+    missing = [json.dumps({"user_id": n, "event_type": None, "ts": None, "value": n, "seq": 10**6 + at}) for at, n in enumerate((1, 1, None))]
+    random.Random(2).shuffle(numbered)
+    third = len(numbered) // 3
+    ddl = EVENTS.ddl + ", seq BIGINT"
+
+    def read(payloads):
+        return payloads.select(F.from_json("payload", ddl).alias("e")).select("e.*")
+
+    written = []
+    for number, some in enumerate((numbered[:third] + missing, numbered[third - 40:2 * third], numbered, numbered[:5])):
+        land(landing, number, some)
+        changes = newest_changes(read(landed_stream(spark, str(landing), max_files=1)), EVENTS.key, "ts", "seq")
+        write_changes(changes, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+        log = spark.read.schema(ddl).parquet(str(tmp_path / "out"))
+        found = newest(log, EVENTS.key, "ts", ["seq"])
+        batch = newest(read(landed_files(spark, str(landing))), EVENTS.key, "ts", ["seq"])
+        as_text = lambda df: sorted(repr(tuple(r)) for r in df.select("user_id", "event_type", F.unix_micros("ts"), "value", "seq").collect())
+        assert as_text(found) == as_text(batch)
+        written.append(log.count())
+    assert written[3] == written[2] < len(numbered)  # the last file held nothing new
+
+
+def test_stream_into_a_table_without_buckets_is_refused(spark, namespace, tmp_path):
+    with pytest.raises(ValueError, match="buckets"):
+        upsert_stream(landed_stream(spark, str(tmp_path)), event_rows, TableStore(spark, namespace), EVENTS, str(tmp_path / "progress"))
