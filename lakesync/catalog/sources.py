@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakesync.catalog import Tables, landed, query
@@ -14,6 +14,8 @@ from lakesync.plans.documents import first_schema
 from lakesync.plans.issues import preview as first_issues
 from lakesync.schemas import ASSOCIATIONS
 from lakesync.sources import documents, listing
+from lakesync.sources import schema_days as days
+from lakesync.sources.landing import DAY
 
 _ISSUE_SQL = "'ORD-' || o_orderkey AS key, epoch_us(o_orderdate) + (o_orderkey % 86400) * 1000000 AS updated"
 
@@ -275,14 +277,32 @@ def string_fields(t: Tables):
     return documents.read_documents(lines, schema).groupBy("mixed").agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-@query("schema_widen", """
+_FIELDS_SQL = """
     SELECT name, type, (SELECT count(*) FROM lineitem) AS n_values FROM (VALUES
         ('_id', 'string'), ('order_no', 'bigint'), ('shipped', 'string'), ('mixed', 'string'),
         ('price', 'decimal(38,10)'), ('line', 'struct<number:bigint,quantity:decimal(38,10)>'),
-        ('flags', 'array<string>')) v(name, type)""")
+        ('flags', 'array<string>')) v(name, type)"""
+
+
+@query("schema_widen", _FIELDS_SQL)
 def schema_widen(t: Tables):
     lines = landed.documents(t)
-    schema = documents.read_schema(documents.document_schema(lines))
+    return _field_counts(lines, documents.read_schema(documents.document_schema(lines)))
+
+
+@query("schema_days", _FIELDS_SQL)
+def schema_days(t: Tables):
+    """The same from one schema per landed day (here the month shipped): the later half of the days is read in a second run."""
+    month = F.to_date(F.trunc(F.col("l_shipdate").cast("date"), "month"))
+    lines = landed.documents(t).withColumn(DAY, month)
+    first = days.day_schemas(lines.where(F.col(DAY) < "1996-01-01"))
+    known = t.spark.createDataFrame(first.collect(), days.STATE)  # a row a day
+    state = days.updated(known, days.day_schemas(lines, known))
+    found = days.whole_schema(r["found"] for r in state.collect())
+    return _field_counts(lines.drop(DAY), documents.read_schema(documents.documents_type(found)))
+
+
+def _field_counts(lines: DataFrame, schema):
     docs = documents.read_documents(lines, schema)
     counted = docs.agg(F.map_from_entries(F.array(*[
         F.struct(F.lit(f"{f.name}:{f.dataType.simpleString()}"), F.count(F.col(f.name))) for f in schema.fields])).alias("m"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 
 from lakesync.functions.payload import once
 from lakesync.operators.windows import closed
+from lakesync.sources.schema_days import variant_type
 
 ID = "_id"
 
@@ -20,16 +20,20 @@ ID = "_id"
 _EXPORTED = {"$oid": T.StringType(), "$date": T.TimestampType(), "$numberDecimal": T.DecimalType(38, 10), "$numberLong": T.LongType(),
              "$numberInt": T.IntegerType(), "$numberDouble": T.DoubleType()}
 EXTRA = "_extra"
+_MILLIS = "@"
 
 
 def plain_json(payload: Column) -> Column:
     """A document with exported types as bare values: ids and dates as text, numbers as numbers.
 
+    Dates in milliseconds are marked, to tell them from seconds.
+
     Quotes inside JSON text are escaped, so a text that looks like such a type
     is left alone.
     """
-    value = F.regexp_replace(payload, r'\{\s*"\$(?:oid|date)"\s*:\s*("(?:[^"\\]|\\.)*")\s*\}', "$1")
-    value = F.regexp_replace(value, r'\{\s*"\$number(?:Decimal|Long|Int|Double)"\s*:\s*"([-+0-9.eE]+)"\s*\}', "$1")
+    value = F.regexp_replace(payload, r'\{\s*"\$number(?:Decimal|Long|Int|Double)"\s*:\s*"([-+0-9.eE]+)"\s*\}', "$1")
+    value = F.regexp_replace(value, r'\{\s*"\$(?:oid|date)"\s*:\s*("(?:[^"\\]|\\.)*")\s*\}', "$1")
+    value = F.regexp_replace(value, r'\{\s*"\$date"\s*:\s*(-?\d+)\s*\}', f'"{_MILLIS}$1"')
     return F.when(payload.contains('"$'), value).otherwise(payload)
 
 
@@ -43,9 +47,12 @@ def document_schema(lines: DataFrame, sample_size: int | None = None) -> T.Struc
     if sample_size is not None:
         share = min(1.0, sample_size / max(1, lines.count()))
         lines = lines.sample(fraction=share, seed=0) if share < 1 else lines
-    ddl = lines.select(F.parse_json("payload").alias("doc")).agg(F.schema_of_variant_agg("doc")).first()[0]
-    ddl = re.sub(r"`(?:[^`]|``)*`|OBJECT<", lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], ddl)
-    inferred = T.StructType.fromDDL(f"doc {ddl}")["doc"].dataType
+    found = lines.select(F.parse_json("payload").alias("doc")).agg(F.schema_of_variant_agg("doc")).first()[0]
+    return documents_type(variant_type(found))
+
+
+def documents_type(inferred: T.DataType) -> T.StructType:
+    """Schema to read with from the type that documents were found to have."""
     if not isinstance(inferred, T.StructType):
         raise ValueError("no document to take a schema from")
     return _known(inferred)
@@ -116,8 +123,8 @@ def read_documents(lines: DataFrame, schema: T.StructType, watermark_field: str
         lines = closed(lines, "modified", since, until, overlap_seconds)
     named = T.StructType([f for f in schema.fields if f.name != EXTRA])
     typed = once(lines.select("payload"), _plain=plain_json(F.col("payload")))
-    typed = once(typed, _doc=F.from_json("_plain", named, {"mode": "FAILFAST"}))
-    columns = [F.col("_doc")[name].alias(name) for name in named.names]
+    typed = once(typed, _doc=F.from_json("_plain", _spelled(named), {"mode": "FAILFAST"}))
+    columns = [_instants(F.col("_doc")[f.name], f.dataType).alias(f.name) for f in named.fields]
     if EXTRA in schema.names:
         others = F.map_filter(F.from_json("_plain", "map<string,string>"), lambda name, _: ~name.isin(named.names))
         columns.append(F.when(F.size(others) > 0, F.to_json(others)).alias(EXTRA))
@@ -125,6 +132,29 @@ def read_documents(lines: DataFrame, schema: T.StructType, watermark_field: str
     return closed(docs, watermark_field, since, until, overlap_seconds) if watermark_field else docs
 
 
+def _spelled(kind: T.DataType) -> T.DataType:
+    """The type to parse with: times as they are spelled."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _spelled(f.dataType), f.nullable) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_spelled(kind.elementType))
+    return T.StringType() if isinstance(kind, T.TimestampType) else kind
+
+
+def _instants(value: Column, kind: T.DataType) -> Column:
+    """The parsed value with its times read: as text, in marked milliseconds, or as a number of seconds."""
+    if _spelled(kind) == kind:
+        return value
+    if isinstance(kind, T.StructType):
+        fields = [_instants(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: _instants(item, kind.elementType))
+    millis, seconds = value.startswith(_MILLIS), value.rlike(r"^-?\d+$")
+    return (F.when(millis, F.timestamp_millis(F.substr(value, F.lit(2)).cast("long")))
+            .when(seconds, F.timestamp_seconds(value.cast("long"))).otherwise(value.cast("timestamp")))
+
+
 def read_document_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Documents straight from landed JSON-line files; only the fields in ``schema`` are parsed."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)

@@ -302,6 +302,18 @@ def test_document_runs(spark, store):
             sync_documents(store, payloads(spark, []), table, mode=mode)
 
 
+def test_schema_of_landed_days_is_kept(spark, store):
+    def day(number, docs):
+        return payloads(spark, docs).withColumn("landed", F.to_date(F.lit(f"2026-03-0{number}")))
+
+    first, second = day(1, [{"_id": "1", "n": 1}]), day(2, [{"_id": "2", "m": "x"}])
+    assert sync_documents(store, first, "docs")["rows_in_table"] == 1
+    full = sync_documents(store, first.unionByName(second), "docs", mode="full")
+    assert full["rows_in_table"] == 2 and store.read("docs").columns == ["_id", "m", "n"]
+    kept = {(r["collection"], str(r["day"])): r["found"] for r in store.read("document_schema_days").collect()}
+    assert sorted(kept) == [("docs", "2026-03-01"), ("docs", "2026-03-02")] and "m" not in kept["docs", "2026-03-01"]
+
+
 # ---- committing ------------------------------------------------------------------------------
 
 def contacts(spark, ids, version):
