@@ -23,6 +23,9 @@ EMPTY = "-" * 8
 #: A text with fewer terms of the band, or with most of its terms outside, is known by others too: from above and from
 #: below the band as many as are missing, at most ``MOST``.
 FEWEST, MOST = 32, 128
+#: Fingerprints a task keeps, so that copies are seldom made twice.
+KEPT_PRINTS = 1 << 13
+_MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 @dataclass(frozen=True)
@@ -132,18 +135,25 @@ class Printer:
 
     def __init__(self, words: list[bytes], band: Band, above: list[bytes] = ()):
         self.band, self.above, self.others = band, {word: i for i, word in enumerate(above)}, {}
+        self.known: dict[bytes, str] = {}
         self.places = {word: i for i, word in enumerate(words)}
         self.hashes = np.array([xxhash.xxh64_intdigest(word, band.seed) for word in words], dtype="<u8")
         self.members = self._drawn(words)
 
     def _drawn(self, words: list[bytes]) -> np.ndarray:
-        """Which subset (row) has which word; drawn by the word alone, so that words outside the lexicon have their subsets too."""
+        """Which subset (row) has which word; drawn by the word alone, so that words outside the lexicon have their subsets too.
+
+        A word has one random place on a circle for each share, and the subsets of that share are arcs of this length,
+        evenly begun: they overlap as little as they can, so no word is in many of them while others are in none.
+        """
         rows = []
+        hashes = np.array([xxhash.xxh64_intdigest(word, self.band.seed) for word in words], dtype=np.uint64)
         for share in self.band.parts:
-            for number in range(self.band.subsets):
-                draw = np.array([xxhash.xxh32_intdigest(word, hash((self.band.seed, number, int(share * 1e6))) & 0xFFFFFFFF) for word in words], dtype=np.uint64)
-                rows.append(draw < np.uint64(share * 2 ** 32))
-        return np.array(rows, dtype=bool).reshape(self.band.size, len(words))
+            place = (hashes ^ np.uint64(xxhash.xxh64_intdigest(f"{self.band.seed}/{share}"))) * _MIX[0]
+            place = (place ^ (place >> np.uint64(29))) * _MIX[1]
+            begins = (np.arange(self.band.subsets, dtype=np.uint64) * np.uint64(2 ** 64 // self.band.subsets))[:, None]
+            rows.append(place[None, :] - begins >> np.uint64(32) < np.uint64(share * 2 ** 32))
+        return np.concatenate(rows)
 
     def _filled(self, words: set[bytes], found: np.ndarray, more: int) -> tuple[np.ndarray, np.ndarray]:
         """Members and hashes of the found terms and of ``more`` on either side of the band: from those above it the
@@ -165,6 +175,14 @@ class Printer:
         """Per subset one hex digit with the number of its terms in the text (up to 15) and seven of the hash of these
         terms, distinct and sorted; dashes where there are none. A text with few terms of the lexicon is known by some of
         its other terms too, one without any word by its own hash."""
+        key = xxhash.xxh3_128_digest(text)
+        if key not in self.known:
+            if len(self.known) >= KEPT_PRINTS:
+                self.known = {}
+            self.known[key] = self._print(text)
+        return self.known[key]
+
+    def _print(self, text: bytes) -> str:
         get, words = self.places.get, terms(text)
         found = {get(word) for word in words}
         found.discard(None)

@@ -25,6 +25,8 @@ LONGEST = 48
 KEPT_WORDS = 300_000
 #: Distinct words learned of each language at least, and the slices they are ranked in.
 LEAST_WORDS, SLICES = 512, 16
+#: Pieces of words for all languages together before each gets less than that, and what each gets in any case.
+MOST_WORDS, FEWEST_WORDS = 400_000, 16
 
 
 @dataclass
@@ -146,9 +148,12 @@ def train(docs: DataFrame, per_language: int = 400, words: int = 40_000) -> Netw
     """Fit on labelled rows whose crc32(doc_id as text) mod 3 is not 1.
 
     Every value of ``lang`` in these rows is learned. The sample is bounded for each: about ``per_language`` documents
-    (those with the smallest hash of their id), and of their distinct words an equal share of ``words``, at least
-    ``LEAST_WORDS``, those with the smallest hash. A null id counts as not held out. Without any labelled row the
-    network has no language and everything is ``und``.
+    (those with the smallest hash of their id), and of their distinct pieces of words (``LONGEST`` bytes of a run
+    between blanks, as in prediction; all of a run) an equal share of ``words``, those with the smallest hash. With many
+    languages the share is ``LEAST_WORDS``, as long as there are ``MOST_WORDS`` in all, and about ``FEWEST_WORDS`` at least:
+    the driver gets about ``max(words, MOST_WORDS)`` pieces, or ``FEWEST_WORDS`` for each value of ``lang`` if that is
+    more, at most. A null id counts as not held out. Without any labelled row the network has no language and everything is
+    ``und``.
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     known = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL").where(~held_out)
@@ -160,14 +165,17 @@ def train(docs: DataFrame, per_language: int = 400, words: int = 40_000) -> Netw
     limits = docs.sparkSession.createDataFrame([(row["lang"], max(int(min(1.0, per_language / row["_n"]) * (1 << 30)), (row["_least"] or 0) + 1)) for row in counts],
                                                "lang string, _limit long")
     chosen = known.join(F.broadcast(limits), "lang").where(spread < F.col("_limit")).select("lang", F.explode(words_of(text_of())).alias("word"))
-    pairs = chosen.groupBy("lang", "word").count()
+    data = F.col("word").cast("binary")
+    places = F.sequence(F.lit(0), F.floor((F.octet_length("word") - 1) / LONGEST).cast("int"))
+    pieces = chosen.select("lang", F.explode(F.transform(places, lambda at: F.substring(data, at * LONGEST + 1, F.lit(LONGEST)))).alias("word"))
+    pairs = pieces.groupBy("lang", "word").count()
     # Slices by hash, so that the words of a frequent language are not ranked in one task.
-    most = max(LEAST_WORDS, words // len(counts))
+    most = max(words // len(counts), min(LEAST_WORDS, MOST_WORDS // len(counts)), FEWEST_WORDS)
     order = F.xxhash64("word", "lang")
     ranked = pairs.withColumn("_order", order).withColumn("_slice", F.pmod(order, F.lit(SLICES)))
     ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy("lang", "_slice").orderBy("_order", "word")))
     pairs = ranked.where(F.col("_rank") <= -(-most // SLICES))
-    found = pairs.select("lang", F.substring(F.col("word").cast("binary"), 1, LONGEST).alias("word"), "count").orderBy("_order", "lang", "word").collect()
+    found = pairs.select("lang", "word", "count").orderBy("_order", "lang", "word").collect()
     names = sorted({row["lang"] for row in found})
     if not names:
         return Network.fresh([])

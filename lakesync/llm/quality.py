@@ -156,21 +156,24 @@ def fit(rows: np.ndarray, labels: np.ndarray, rounds: int = 120, pairs: int = 5,
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000) -> Model:
-    """Fit on at most ``sample`` labelled rows, those with the smallest hash of their id.
+    """Fit on at most ``sample`` rows, those with the smallest hash of their id.
 
-    Rows whose crc32(doc_id as text) mod 5 is 0 are never learned from; null ids and null labels are not either. A
-    repeated label counts as often as it is given.
+    Rows whose crc32(doc_id as text) mod 5 is 0 are never learned from; null ids and null labels are not either. A row is
+    an id with a label and a text: repeated documents and labels count once, and however many rows share an id, the
+    driver gets ``sample`` of them at most.
     """
     usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").where(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    chosen = usable.select("doc_id", F.col("quality").cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
+    chosen = usable.select("doc_id", F.col("quality").cast("int").alias("label")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by sample
 
     @arrow_udf("array<double>")
     def measured(texts: pa.Array) -> pa.Array:
         return pa.array([features(value) for value in utf8(texts)], pa.list_(pa.float64()))
 
-    found = rows.select("doc_id", "label", measured("text").alias("x")).collect()
-    found.sort(key=lambda row: (row["doc_id"], row["label"], row["x"]))  # the same model for any task order
+    once_each = rows.select("doc_id", "label", F.xxhash64("text").alias("said"), measured("text").alias("x")).groupBy("doc_id", "label", "said").agg(F.first("x").alias("x"))
+    # in an order of its own: the same model for any task order
+    found = once_each.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "x").limit(sample).collect()
+    found.sort(key=lambda row: (row["doc_id"], row["label"], row["x"]))
     return fit(np.array([row["x"] for row in found]).reshape(-1, len(FEATURES)), np.array([row["label"] for row in found], dtype=float))
 
 

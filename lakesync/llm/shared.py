@@ -1,8 +1,7 @@
-"""Helpers the operators share: lineage cuts in the shared folder, text columns for Arrow functions, word rules."""
+"""Helpers the operators share: text columns for Arrow functions, word rules."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesync.functions.payload import once  # noqa: F401
-from lakesync.session import shared_folder
+from lakesync.session import Scratch  # noqa: F401
 
 #: Characters between words, as a Java and RE2 class; the same set ``bytes.split()`` splits at.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -58,6 +57,21 @@ def partitions(spark: SparkSession) -> int:
 _MAP_BITS = 24
 
 
+def packed(docs: DataFrame, *out: str) -> DataFrame:
+    """Columns named by ``out`` and ``_doc``, a struct of all others, where their names meet no other name."""
+    others = [name for name in docs.columns if name not in out]
+    return docs.select(*out, F.struct(*[named(name) for name in others]).alias("_doc"))
+
+
+def named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unpacked(columns: list[str], **values: Column) -> list[Column]:
+    """The columns of a packed frame, some with new values."""
+    return [(values[name] if name in values else F.col("_doc").getField(name)).alias(name) for name in columns]
+
+
 def marked(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows with ``_maybe``: false only if the value is surely not among the keys (one column of longs).
 
@@ -79,36 +93,6 @@ def maybe_in(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return marked(rows, column, keys).where("_maybe").drop("_maybe")
 
 
-class Scratch:
-    """Tables written to the shared folder: lineage ends there, and a lost executor costs only a re-read.
-
-    Tables of loops are dropped as soon as the next one is written; the rest stay for the frames that read them and go
-    with ``drop_all``.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
-        self.root = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-
-    def cut(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{len(self.paths)}"
-        self.paths.append(path)
-        df.write.parquet(path)
-        back = self.spark.read.schema(df.schema).parquet(path)
-        back._scratch_path = path
-        return back
-
-    def drop(self, df: DataFrame) -> None:
-        self._delete(df._scratch_path)
-
-    def drop_all(self) -> None:
-        self._delete(self.root)
-
-    def _delete(self, path: str) -> None:
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 2048, most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Record batches of tuples, closed by number of rows or by the bytes of their binary and text values."""
     held, weight = [], 0

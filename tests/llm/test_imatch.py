@@ -1,6 +1,9 @@
 """I-Match: order, edited texts, equal texts, likeness."""
 
+from collections import Counter
+
 import numpy as np
+import xxhash
 
 from lakesync.llm import imatch
 from lakesync.llm.queries import QUERIES
@@ -62,3 +65,47 @@ def test_copies_and_rare_languages_keep_fingerprints(spark):
     assert all(got[i][0] > got[i][1] for i in (2000, 5000))  # the next text is another one
     twice = docs.where("doc_id < 1000").unionByName(docs.where("doc_id = 7").crossJoin(spark.range(300)).select("doc_id", "text"))
     assert imatch.lexicon(twice) == imatch.lexicon(docs.where("doc_id < 1000"))
+
+
+def plain_print(text, band, lexicon, above):
+    """A fingerprint, subset by subset and word by word."""
+    words = {w.strip(b".,;:!?\"'()[]") for w in text.encode().lower().split()} - {b""}
+    if not words:
+        return "-" * 8 * band.size + xxhash.xxh128_hexdigest(text.encode())
+    hashed = lambda w: xxhash.xxh64_intdigest(w, band.seed)
+    known = words & set(lexicon)
+    missing = min(imatch.MOST, max(imatch.FEWEST, len(words) // 2) - len(known))
+    if missing > 0:
+        known |= set(sorted(words & set(above), key=above.index)[:missing])
+        known |= set(sorted(words - set(lexicon) - set(above), key=lambda w: (hashed(w), w))[:missing])
+    out = ""
+    for share in band.parts:
+        for number in range(band.subsets):
+            key, inside = xxhash.xxh64_intdigest(f"{band.seed}/{share}"), []
+            for word in known:
+                draw = (hashed(word) ^ key) * 0x9E3779B97F4A7C15 % 2**64
+                draw = (draw ^ draw >> 29) * 0xC2B2AE3D27D4EB4F % 2**64
+                draw = (draw - number * (2**64 // band.subsets)) % 2**64
+                if draw >> 32 < int(share * 2**32):
+                    inside.append(hashed(word))
+            data = b"".join(h.to_bytes(8, "little") for h in sorted(inside))
+            out += f"{min(len(inside), 15):x}" + xxhash.xxh32_hexdigest(data)[1:] if inside else "-" * 8
+    return out
+
+
+def test_query_equals_plain_prints(spark):
+    """Lexicon, prints and edited prints of the whole table, recomputed term by term."""
+    band = imatch.Band()
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    distinct, counts = set(docs.values()), Counter()
+    for text in distinct:
+        counts.update({w.strip(b".,;:!?\"'()[]") for w in text.encode().lower().split()} - {b""})
+    lexicon = [w for w, n in counts.items() if band.low * len(distinct) < n <= band.high * len(distinct)]
+    above = [w for n, w in sorted((n, w) for w, n in counts.items() if n > band.high * len(distinct))]
+    order = sorted(docs, reverse=True)
+    got = {r["doc_id"]: r for r in QUERIES["op2_imatch_prints"](spark, SF).collect()}
+    for at, doc_id in enumerate(order[:120]):
+        text, following = docs[doc_id], docs[order[(at + 1) % len(order)]]
+        assert got[doc_id]["fingerprint"] == plain_print(text, band, lexicon, above)
+        if at % 4 == 0:
+            assert got[doc_id]["edited_fingerprint"] == plain_print(text[:len(text) - len(text) // 3] + following[:len(text) // 3], band, lexicon, above)

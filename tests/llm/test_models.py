@@ -1,5 +1,9 @@
 """Language network and quality model: gradients, held-out accuracy, edge cases."""
 
+import math
+from bisect import bisect_right
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -88,3 +92,107 @@ def test_every_language_is_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     net = language.train(docs, words=200)
     assert net.languages == sorted({row[2] for row in rows})
+
+
+def plain_chances(net, word):
+    """Distribution for each byte of a word, one scalar gate after the other."""
+    w = {name: value.astype(float) for name, value in net.weights.items()}
+    hidden, states = w["rec0"].shape[0], {}
+    sig = lambda v: 1 / (1 + math.exp(-v))
+    for way in "01":
+        state, states[way] = [0.0] * hidden, {}
+        for at in range(len(word)) if way == "0" else reversed(range(len(word))):
+            given = w["in" + way][word[at]] + w["b" + way]
+            back = np.array(state) @ w["rec" + way] + w["rb" + way]
+            state = [(lambda reset, update: (lambda fresh: (1 - update) * fresh + update * state[h])(math.tanh(given[2 * hidden + h] + reset * back[2 * hidden + h])))(
+                sig(given[h] + back[h]), sig(given[hidden + h] + back[hidden + h])) for h in range(hidden)]
+            states[way][at] = state
+    out = []
+    for at in range(len(word)):
+        scores = np.array(states["0"][at] + states["1"][at]) @ w["out"] + w["out_b"]
+        out.append([math.exp(v - max(scores)) for v in scores])
+        out[-1] = [v / sum(out[-1]) for v in out[-1]]
+    return out
+
+
+def test_language_query_equals_position_by_position(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    net, known = language.train(docs), {}
+    got = {r["doc_id"]: r for r in QUERIES["op5_language_network"](spark, SF).collect()}
+    checked = 0
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        pieces = [word[a:a + 48] for word in (text or "").encode().split() for a in range(0, len(word), 48)]
+        if doc_id % 4 and len(set(pieces)) > 30:  # the others, and all short ones
+            continue
+        for piece in pieces:
+            if piece not in known:
+                known[piece] = np.sum(plain_chances(net, piece), axis=0)
+        total = np.sum([known[piece] for piece in pieces], axis=0) if pieces else None
+        if total is None or not any(map(str.isalpha, text)):
+            want = ("und", 0.0)
+        else:
+            want = (net.languages[int(np.argmax(total))], max(total) / total.sum())
+        assert got[doc_id]["lang_pred"] == want[0] and abs(got[doc_id]["score"] - want[1]) < 1e-4
+        checked += 1
+    assert checked >= 50
+
+
+def plain_features(text):
+    """The features from words, lines and characters, one after the other."""
+    words, lines = text.encode().split(), [line for line in text.encode().split(b"\n") if line.split()]
+    if not words:
+        return [0.0] * 15
+    data, n = text.encode(), len(words)
+    upper, lower = sum(65 <= b <= 90 for b in data), sum(97 <= b <= 122 for b in data)
+    digits, shouts, beyond = sum(48 <= b <= 57 for b in data), sum(b in b"!?" for b in data), sum(b >= 128 for b in data)
+    marks = sum(b > 32 for b in data) - upper - lower - digits - shouts - beyond
+    counts = Counter(words)
+    pairs = {(words[i], words[i + 1]) for i in range(n - 1)}
+    return [math.log(1 + n), sum(len(w) for w in words) / n, upper / max(1, upper + lower), digits / len(data), shouts / len(data), marks / len(data),
+            beyond / len(data), len(counts) / n, len(pairs) / (n - 1) if n > 1 else 1.0, 1 - len(set(lines)) / len(lines), math.log(1 + len(lines)),
+            n / len(lines), sum(len(w) <= 3 for w in words) / n, math.log(1 + max(len(w) for w in words)), max(counts.values()) / n]
+
+
+def test_quality_query_equals_bin_by_bin(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    got = {r["doc_id"]: (r["score"], r["predicted"]) for r in QUERIES["op9_quality_model"](spark, SF).collect()}
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        x = plain_features(text or "")
+        logit = model.intercept + sum(table[bisect_right(list(edges), v)] for table, edges, v in zip(model.tables, model.edges, x))
+        for j, k, table in model.pairs:
+            logit += table[bisect_right(list(model.coarse[j]), x[j])][bisect_right(list(model.coarse[k]), x[k])]
+        want = 1 / (1 + math.exp(-logit))
+        assert abs(got[doc_id][0] - want) < 1e-9 and got[doc_id][1] == (want >= 0.3)
+    assert len(model.pairs) == 5 and len(got) == docs.count()
+
+
+def test_one_id_on_many_rows_stays_within_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows, labels, **_: seen.append((len(rows), labels.tolist())))
+    copies = spark.createDataFrame([(1, "one text " * 5)] * 300 + [(1, f"text {n} of many") for n in range(300)] + [(2, "other"), (2, "other")], "doc_id long, text string")
+    for labels, sample, want in (([(1, 1)], 10, 10), ([(2, 0), (2, 0)], 10, 1), ([(1, 1), (1, 0), (2, 1)], 1000, 603)):
+        quality.train(copies, spark.createDataFrame(labels, "doc_id long, quality int"), sample=sample)
+        assert seen[-1][0] == want
+
+
+def test_runs_without_blanks_are_learned_whole(spark):
+    """Two languages that begin alike and go on in letters of their own, in one run without blanks."""
+    rng = np.random.default_rng(1)
+    same = "".join(chr(0x4E00 + k) for k in rng.integers(0, 50, 16))
+    rows = [(n, same + "".join(chr((0x5E00, 0x6E00)[n % 2] + k) for k in rng.integers(0, 60, 60)), "xy"[n % 2]) for n in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language.train(docs)
+    held = docs.where(F.crc32(F.col("doc_id").cast("string")) % 3 == 1).select("lang", language.identify(net)["lang_pred"].alias("p")).collect()
+    assert len(held) > 150 and sum(r["lang"] == r["p"] for r in held) >= 0.95 * len(held)
+
+
+def test_many_languages_stay_within_the_bound(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "fit", lambda words, labels, weight, names: seen.append((Counter(labels.tolist()), names)))
+    monkeypatch.setattr(language, "MOST_WORDS", 100_000)
+    docs = spark.range(60_000).select("id", F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), "id") for k in range(8)]).alias("text"), F.concat(F.lit("l"), F.col("id") % 5000).alias("lang"))
+    language.train(docs.withColumnRenamed("id", "doc_id"))
+    counts, names = seen[0]
+    assert len(names) == 5000 and min(counts.values()) >= 10  # about FEWEST_WORDS, dealt by hash over slices
+    assert max(counts.values()) <= 100_000 // 5000 + 2 * language.SLICES
