@@ -40,13 +40,20 @@ class Scratch:
     """Tables written to the shared folder: lineage ends there, and a lost executor costs only a re-read.
 
     Tables of loops are dropped as soon as the next one is written; the rest
-    stay for the frames that read them and go with ``drop_all``.
+    stay for the frames that read them and go with ``drop_all``, or at the end
+    of a ``with`` block around the use of what was made from them.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
         self.root = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
 
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        self.drop_all()
+
     def cut(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{len(self.paths)}"
         self.paths.append(path)
