@@ -57,20 +57,20 @@ _CHAIN_SQL = """
     chain AS (SELECT listing, CASE WHEN row_number() OVER w > 1 THEN CAST(page AS VARCHAR) END AS asked, row_number() OVER w AS pos,
                      CAST(lead(page) OVER w AS VARCHAR) AS token, count(*) OVER (PARTITION BY listing) AS n
               FROM pages WINDOW w AS (PARTITION BY listing ORDER BY page)),
-    landed AS (SELECT *, CASE listing WHEN '1-URGENT' THEN pos > 1 WHEN '2-HIGH' THEN pos % 10 <> 5 WHEN '3-MEDIUM' THEN pos < n ELSE true END AS here
+    landed AS (SELECT *, CASE listing WHEN '1-URGENT' THEN pos > 1 WHEN '2-HIGH' THEN pos % 10 <> 5 OR pos = n WHEN '3-MEDIUM' THEN pos < n ELSE true END AS here
                FROM chain),
     named AS (SELECT *, lag(here) OVER w AS here_before, lead(here) OVER w AS here_after
               FROM landed WINDOW w AS (PARTITION BY listing ORDER BY pos))"""
 
 
 def _chained_pages(t: Tables):
-    """Orders in pages of a hundred keys, a listing per priority: of three listings the first, the last or every tenth page is lost."""
+    """Orders in pages of a hundred keys, a listing per priority: of three listings the first, the last or every tenth page but the last is lost."""
     place = Window.partitionBy("listing").orderBy("page")
     pages = t.orders.select(F.col("o_orderpriority").alias("listing"), F.expr("o_orderkey div 100").alias("page")).distinct()
     chain = pages.select(
         "listing", F.when(F.row_number().over(place) > 1, F.col("page").cast("string")).alias("asked"), F.row_number().over(place).alias("at"),
         F.lead("page").over(place).cast("string").alias("token"))
-    lost = (F.when(F.col("listing") == "1-URGENT", F.col("at") == 1).when(F.col("listing") == "2-HIGH", F.col("at") % 10 == 5)
+    lost = (F.when(F.col("listing") == "1-URGENT", F.col("at") == 1).when(F.col("listing") == "2-HIGH", (F.col("at") % 10 == 5) & F.col("token").isNotNull())
             .when(F.col("listing") == "3-MEDIUM", F.col("token").isNull()).otherwise(False))
     # one listing ends by a last cursor that leads back into it
     last = F.col("token").isNull()
