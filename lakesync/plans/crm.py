@@ -133,7 +133,10 @@ def deals_by_stage(deals: DataFrame) -> DataFrame:
 
 def linked_names(links: DataFrame, sources: DataFrame, targets: DataFrame, source_name: str,
                  target_name: str) -> DataFrame:
-    """Link traversal: one row per link with the names at both ends."""
+    """Link traversal: one row per link with the names at both ends.
+
+    Spark takes links parsed from pages for far fewer bytes than they have, and would broadcast them.
+    """
     left = sources.select(F.col("id").alias("from_id"), F.col(source_name).alias("from_name"))
     right = targets.select(F.col("id").alias("to_id"), F.col(target_name).alias("to_name"))
-    return links.select("from_id", "to_id").join(left, "from_id").join(right, "to_id")
+    return links.select("from_id", "to_id").hint("merge").join(left, "from_id").join(right, "to_id")
