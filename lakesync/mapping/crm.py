@@ -80,11 +80,12 @@ def link_rows(pages: DataFrame, from_object: str | Column, to_object: str | Colu
 def open_cursors(pages: DataFrame) -> DataFrame:
     """``from_object, to_object, from_id, cursor`` of inputs whose links go on at a cursor nothing was landed for.
 
-    A landed page says in ``cursor`` which one it answers; first pages have none.
+    A landed page says in ``cursor`` which one it answers; first pages have none. Answered cursors are as many as
+    pages, whatever size Spark takes parsed rows for, so they are not broadcast.
     """
     names = [name for name in ("from_object", "to_object") if name in pages.columns]
     asked = F.col("cursor") if "cursor" in pages.columns else F.lit(None).cast("string")
     inputs = each(pages, F.from_json("payload", _LINK_PAGE)["results"], [*names, asked.alias("_asked")], item="input")
     inputs = inputs.select(*names, F.col("input.from.id").alias("from_id"), "_asked", F.col("input.paging.next.after").alias("cursor"))
     landed = inputs.where("_asked IS NOT NULL").select(*names, "from_id", F.col("_asked").alias("cursor"))
-    return inputs.where("cursor != ''").select(*names, "from_id", "cursor").join(landed, [*names, "from_id", "cursor"], "left_anti")
+    return inputs.where("cursor != ''").select(*names, "from_id", "cursor").join(landed.hint("merge"), [*names, "from_id", "cursor"], "left_anti")
