@@ -9,8 +9,9 @@ table is not moved.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakesync.operators.dedup import newest
@@ -51,12 +52,35 @@ def upsert(target: DataFrame, staged: DataFrame, key: Sequence[str], order_by: s
            tie: Sequence[str] = (), unique: bool = False, count: int | None = None) -> DataFrame:
     """Staged rows replace their key's row or are added, whatever their age; ``unique`` ones hold each key once.
 
-    ``count`` is the number of staged rows, where it is known.
+    ``count`` is the number of staged rows, where it is known. Without it they
+    may be as many as those of the table: then both sides meet once, and
+    neither is read twice or broadcast.
     """
+    if count is None and not unique:
+        return _met(target, staged, key, order_by, tie)
     fresh = (staged if unique else newest(staged, key, order_by, tie)).select(*target.columns)
     return without_keys(target, staged, key, count).unionByName(fresh)
 
 
+def _met(target: DataFrame, staged: DataFrame, key: Sequence[str], order_by: str, tie: Sequence[str]) -> DataFrame:
+    """The newest staged row of each key that has one, and all target rows of the others, by one shuffle.
+
+    Target rows of a key are of equal rank, staged ones go before them in an
+    order of their own, so each task keeps one staged row per key before the
+    shuffle. A target row with NULL in its key meets nobody.
+    """
+    columns = target.columns
+    order = {f"_staged_{i}": F.col(c) for i, c in enumerate([order_by, *tie])}
+    old = target.select(*columns, *[F.lit(None).cast(staged.schema[c].dataType).alias(name) for name, c in zip(order, [order_by, *tie])],
+                        F.lit(None).cast("long").alias("_staged_row"),
+                        F.when(reduce(Column.__or__, [F.col(c).isNull() for c in key]), F.monotonically_increasing_id()).alias("_apart"))
+    new = staged.select(*columns, *[c.alias(name) for name, c in order.items()],
+                        F.monotonically_increasing_id().alias("_staged_row"), F.lit(None).cast("long").alias("_apart"))
+    ranking = Window.partitionBy(*key, "_apart").orderBy(
+        F.col("_staged_row").isNull(), *[F.col(name).desc_nulls_last() for name in order], "_staged_row")
+    return old.unionByName(new).withColumn("_rank", F.rank().over(ranking)).filter("_rank = 1").select(*columns)
+
+
 def flag_archived(target: DataFrame, marks: DataFrame) -> DataFrame:
     """Rows whose id is marked become archived, with the latest mark's time; nothing is added."""
     latest = marks.groupBy("id").agg(F.max("archived_at").alias("_marked_at")).withColumn("_marked", F.lit(True))
