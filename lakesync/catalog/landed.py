@@ -35,9 +35,13 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def land(rows: DataFrame, record: Column, *keep: str | Column) -> DataFrame:
-    """The record of each row as its ``payload``, built once as if it had been read from a file."""
-    return once(dealt(rows.select(record.alias("_payload"), *keep)), payload=F.col("_payload")).drop("_payload")
+def land(rows: DataFrame, record: Column, *keep: str | Column, spread: bool = False) -> DataFrame:
+    """The record of each row as its ``payload``, built once as if it had been read from a file.
+
+    ``spread`` rows come from a shuffle, which has dealt them to tasks.
+    """
+    rows = rows.select(record.alias("_payload"), *keep)
+    return once(rows if spread else dealt(rows), payload=F.col("_payload")).drop("_payload")
 
 
 def text(column: str) -> Column:
@@ -197,16 +201,19 @@ def users(t: Tables) -> DataFrame:
 
 def link_pages(t: Tables, to: str) -> DataFrame:
     """Order to part (or supplier) links, two kinds each, in continuation pages per order."""
-    kinds = F.concat(
-        F.lit('[{"category":"A","typeId":'), text("l_linenumber"), F.lit('.5,"label":null},{"category":"B","typeId":"'),
-        F.when(F.col("l_returnflag") == "A", "x").otherwise(text("l_linenumber")), F.lit('","label":'),
-        _quoted(F.col("l_returnflag")), F.lit("}]"))
-    target = F.concat(F.lit('{"toObjectId":'), text(to), F.lit(',"associationTypes":'), kinds, F.lit("}"))
-    lines = t.only("lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    pages = paged(lines.select("l_orderkey", target.alias("item")), by="l_orderkey", field="targets")
+    def target(line: Column) -> Column:
+        number = line["number"].cast("string")
+        kinds = F.concat(
+            F.lit('[{"category":"A","typeId":'), number, F.lit('.5,"label":null},{"category":"B","typeId":"'),
+            F.when(line["flag"] == "A", "x").otherwise(number), F.lit('","label":'), _quoted(line["flag"]), F.lit("}]"))
+        return F.concat(F.lit('{"toObjectId":'), line["to"].cast("string"), F.lit(',"associationTypes":'), kinds, F.lit("}"))
+
+    # lines meet as they are read and are spelled on their page, so no JSON is shuffled
+    line = F.struct(F.col(to).alias("to"), F.col("l_linenumber").alias("number"), F.col("l_returnflag").alias("flag"))
+    pages = paged(t.only("lineitem").select("l_orderkey", line.alias("item")), by="l_orderkey", field="lines")
     return land(pages, F.concat(
         F.lit('{"results":[{"from":{"id":"'), text("l_orderkey"), F.lit('"},"to":['),
-        F.array_join("targets", ","), F.lit("]}]}")))
+        F.array_join(F.transform("lines", target), ","), F.lit("]}]}")), spread=True)
 
 
 def documents(t: Tables, extra: bool = False) -> DataFrame:
