@@ -18,6 +18,9 @@ from lakesync.session import configure
 
 #: Documents with a lower quality score are rejected.
 LEAST_QUALITY = 0.3
+#: Bytes of a record batch between Spark and Python. Executors hold several at a time on both sides, next to all that
+#: earlier stages left in the process; Spark's own bound is 64 MB or 10,000 texts.
+BATCH_BYTES = 2 << 20
 
 
 def _cleaned(docs: DataFrame, clean: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -78,6 +81,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(configure(spark))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +31,8 @@ from lakesync.llm.shared import Scratch, batches, partitions, split_words, utf8
 
 #: Bytes of text after which a block is closed; its automaton has at most about a quarter as many phrases as words.
 BLOCK_BYTES = 3_000_000
+#: Bytes of packed blocks and keys after which a record batch goes back to Spark.
+_BATCH_BYTES = 4 << 20
 
 _B1, _B2, _B3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -72,8 +73,13 @@ class Words:
         hashes = _rolled(self.values, phrase, _B3) >> np.uint64(16) << np.uint64(16)  # 48 bits: this step only sifts
         if not len(self.starts):
             return hashes, np.empty(0, np.int64)
-        inside = sliding_window_view(hashes, self.window - phrase + 1)
-        return hashes, inside[self.starts].argmin(axis=1) + self.starts
+        least, place = hashes[self.starts], self.starts.copy()
+        for j in range(1, self.window - phrase + 1):  # place by place: all windows at once would be as many copies of the hashes
+            other = hashes[self.starts + j]
+            less = other < least
+            least[less] = other[less]
+            place[less] = self.starts[less] + j
+        return hashes, place
 
     def windows(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """64 and 32 further bits for the windows at some places."""
@@ -348,7 +354,7 @@ def dedup(docs: DataFrame, window: int = 13, phrase: int = 6, scratch: Scratch |
                 yield from _read(data).to_batches()
 
     def to_rows(make):
-        return lambda parts: batches(make(parts), _ENTRY, size=64)
+        return lambda parts: batches(make(parts), _ENTRY, size=64, most_bytes=_BATCH_BYTES)
 
     def met(entries: DataFrame) -> DataFrame:
         return entries.repartitionById(count, "shard").mapInArrow(_recurring, _TYPES)

@@ -1,5 +1,8 @@
 """The pipeline's stages against brute force, each on what the one before kept."""
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import __spark_entry__ as driver
 import corpus_pipeline
 from lakesync.llm import quality
@@ -72,3 +75,20 @@ def test_every_operator_is_registered():
     assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 14)) and "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "lines", "simhash", "substrings", "packing"]
     assert set(QUERIES) <= set(names)
+
+
+def test_batches_handed_to_python_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
+    """Ten thousand texts a batch, on both sides of each worker, were more than an executor had left in later stages."""
+    spark.range(4000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 600).alias("text")).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def sizes(parts):
+        for part in parts:
+            yield pa.RecordBatch.from_arrays([pa.array([part.nbytes])], ["n"])
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", lambda spark, docs, folder: docs.mapInArrow(sizes, "n long"))])
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        found = [r["n"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
+    assert sum(found) > 12e6 and max(found) < 3e6

@@ -1,6 +1,9 @@
 """Substring dedup against brute force."""
 
 import random
+import tracemalloc
+
+import pyarrow as pa
 
 from lakesync.llm import substrings
 from lakesync.llm.queries import QUERIES
@@ -30,3 +33,16 @@ def test_hard_rows(spark):
     assert got == want
     assert {r["text"] for r in found.where("doc_id IS NULL").collect()} == {shared[0], shared[1]}
     assert substrings.dedup(docs.limit(0)).count() == 0
+
+
+def test_choosing_phrases_takes_few_copies_of_the_words():
+    """Eight hashes a window were copied at once, which in a worker of the pipeline was too much memory."""
+    rng = random.Random(3)
+    texts = pa.array([" ".join(f"w{rng.randrange(50)}" for _ in range(20_000)) for _ in range(10)] + ["", None, "a " * 500])
+    words = substrings.Words(texts, 13)
+    tracemalloc.start()
+    hashes, least = words.chosen_phrases(6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 7 * words.values.nbytes
+    assert least.tolist() == [at + hashes[at:at + 8].argmin() for at in words.starts.tolist()]
